@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from salesflow.functions.numbers import nan_to_null
+from salesflow.rules import TIMESTAMP_FORMAT
 
 FACT_PARTITIONS = ("year", "month", "day")
 
@@ -54,10 +55,11 @@ def write_small(df: DataFrame, path: str) -> None:
 
 
 def write_csv(df: DataFrame, path: str, *, single_file: bool = False) -> None:
-    """CSV with header; ``single_file`` is for report-sized frames."""
+    """CSV with header and landing-format timestamps; ``single_file`` is for report-sized frames."""
     if single_file:
         df = df.coalesce(1)
-    df.write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
+    writer = df.write.mode("overwrite").option("header", True).option("escape", '"')
+    writer.option("timestampFormat", TIMESTAMP_FORMAT).csv(path)
 
 
 def cluster(df: DataFrame, keys: Sequence[str], files: int | None = None) -> DataFrame:

@@ -8,6 +8,7 @@ import uuid
 from pyspark.sql import SparkSession
 
 _SETTING = "spark.checkpoint.dir"
+_LOCAL: list[str] = []
 
 
 def scratch_root(spark: SparkSession) -> str:
@@ -17,9 +18,9 @@ def scratch_root(spark: SparkSession) -> str:
         return configured.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError(f"set {_SETTING} to a folder every executor can reach")
-    created = tempfile.mkdtemp(prefix="salesflow-")
-    spark.conf.set(_SETTING, created)
-    return created
+    if not _LOCAL:
+        _LOCAL.append(tempfile.mkdtemp(prefix="salesflow-"))
+    return _LOCAL[0]
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

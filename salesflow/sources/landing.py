@@ -134,9 +134,12 @@ def read_cleansed(spark: SparkSession, path: str) -> DataFrame:
     return clean_rows(spark.read.parquet(path)).select(*CLEANSED_COLUMNS)
 
 
-def read_fact(spark: SparkSession, path: str) -> DataFrame:
-    """The fact with its partitions discovered from the path."""
-    return spark.read.parquet(path)
+def read_fact(spark: SparkSession, path: str, *, merge_schema: bool = False) -> DataFrame:
+    """The fact with its partitions discovered from the path.
+
+    ``merge_schema`` combines files of compatible schemas; it opens every footer.
+    """
+    return spark.read.option("mergeSchema", merge_schema).parquet(path)
 
 
 def discover_csv_schema(spark: SparkSession, path: str, sampling_ratio: float = 1.0) -> T.StructType:
