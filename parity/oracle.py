@@ -259,6 +259,7 @@ def all_sql() -> dict[str, str]:
         "fact_filtered": f"""{W_CLEAN} SELECT transaction_id, customer_id, {hundredths('cents')} AS amount, region, year, month, day
             FROM clean WHERE year = 1998 AND product_category = 'SMALL'""",
         "raw_head": f"{W_LINES} SELECT l_orderkey, {ARRIVAL} FROM lines ORDER BY l_orderkey, {ARRIVAL} LIMIT 10",
+        "input_cap": "SELECT least(count(*), 5000) AS row_count FROM lineitem",
         "preview_format": f"""{W_CLEAN} SELECT transaction_id, customer_id, product_category, {hundredths('cents')} AS amount,
             {STAMP.format('"timestamp"')} AS "timestamp", region FROM clean""",
         "display_categories": DISPLAY_CATEGORIES,
@@ -287,13 +288,13 @@ def all_sql() -> dict[str, str]:
             UNION ALL SELECT 4, 'after_amount', n - n // 100 FROM n UNION ALL SELECT 5, 'after_ts', n - n // 100 FROM n
             UNION ALL SELECT 6, 'final', n - n // 100 FROM n""",
         "synthetic_nulls": """WITH n AS (SELECT count(*) AS n FROM orders)
-            SELECT 'transaction_id' AS column_name, 0 AS null_count UNION ALL SELECT 'customer_id', n // 100 FROM n
+            SELECT 'transaction_id' AS column_name, CAST(0 AS BIGINT) AS null_count UNION ALL SELECT 'customer_id', n // 100 FROM n
             UNION ALL SELECT 'product_category', 0 UNION ALL SELECT 'amount', n // 100 FROM n
             UNION ALL SELECT 'timestamp', 0 UNION ALL SELECT 'region', 0""",
         "synthetic_resends": "SELECT count(*) // 200 AS rows, count(*) // 200 AS keys, 20 AS key_length FROM orders",
         "weighted_choice": """SELECT o_orderkey, CASE WHEN o_orderkey * 7919 % 1000 < 500 THEN 'a'
             WHEN o_orderkey * 7919 % 1000 < 800 THEN 'b' ELSE 'c' END AS choice FROM orders""",
-        "cleanse_job": f"""{W_CLEAN} SELECT {CLEAN_ROWS}, TIMESTAMP '2024-06-01 00:00:00' AS _ingestion_ts,
+        "cleanse_job": f"""{W_CLEAN} SELECT {CLEAN_ROWS},
             'sales_csv_landing' AS _source_system, '1.0.0' AS _pipeline_version FROM clean""",
         "cleanse_job_funnel": f"{W_JUDGED}, {FUNNEL} SELECT * FROM funnel",
         "catalog_cleansed_table": f"""{W_CLEAN} SELECT product_category, count(*) AS row_count,
@@ -303,6 +304,8 @@ def all_sql() -> dict[str, str]:
         "partition_discovery": f"{W_CLEAN} SELECT year, month, day, count(*) AS row_count FROM clean GROUP BY 1, 2, 3",
         "curate_job_categories": CATEGORIES_SQL,
         "curate_job_months": MONTHS_SQL,
+        "curate_job_regions": REGIONS_SQL,
+        "console_summary_categories": f"{W_CLEAN}, {CATEGORY} SELECT product_category, total_revenue, revenue_pct FROM category",
         "csv_export": f"{W_CLEAN}, {MONTHLY} SELECT month_label, total_revenue, prev_month_revenue, mom_growth_pct FROM monthly",
         "report_bundle": f"""{W_CLEAN}, {REGIONS} SELECT 'summary' AS section, CAST(NULL AS VARCHAR) AS region,
             CAST(NULL AS BIGINT) AS transaction_count, CAST(NULL AS DOUBLE) AS revenue_share_pct, count(*) AS total_records,
@@ -319,6 +322,8 @@ def all_sql() -> dict[str, str]:
             '1.0.0' AS _pipeline_version FROM clean""",
         "warehouse_monthly": f"""{W_CLEAN}, {MONTHLY} SELECT * REPLACE (CAST(year AS SMALLINT) AS year, CAST(month AS SMALLINT) AS month)
             FROM monthly""",
+        "warehouse_categories": CATEGORIES_SQL,
+        "warehouse_regions": REGIONS_SQL,
         "warehouse_view_summary": f"""SELECT * REPLACE (CAST(year AS SMALLINT) AS year, CAST(month AS SMALLINT) AS month)
             FROM ({W_CLEAN} {SUMMARY})""",
         "warehouse_view_categories": PERFORMANCE_SQL,
@@ -327,7 +332,7 @@ def all_sql() -> dict[str, str]:
             'kpi_top_regions_by_volume', 'v_sales_summary', 'v_category_performance', 'v_growth_trend']) AS table_name""",
         "warehouse_violations": f"""{W_RAW}, c AS (SELECT count(*) AS n, count(transaction_id) AS a, count(customer_id) AS b,
               count(amount) AS d, count("timestamp") AS e FROM attributed)
-            SELECT 'transaction_id' AS column_name, 0 AS unfit, n - a AS missing FROM c UNION ALL SELECT 'customer_id', 0, n - b FROM c
+            SELECT 'transaction_id' AS column_name, CAST(0 AS BIGINT) AS unfit, n - a AS missing FROM c UNION ALL SELECT 'customer_id', 0, n - b FROM c
             UNION ALL SELECT 'amount', 0, n - d FROM c
             UNION ALL SELECT unnest(['transaction_ts', 'year', 'month', 'day']), 0, n - e FROM c""",
         "warehouse_conform": f"""{W_RAW} SELECT transaction_id, CAST(round(amount * 100) AS DOUBLE) / 100 AS amount, region,

@@ -388,6 +388,13 @@ def raw_head(spark, d):
     return profile.head(lines, 10, ["l_orderkey", *star.ARRIVAL])
 
 
+@register
+def input_cap(spark, d):
+    """How many rows an input capped at 5,000 rows holds, keys or not."""
+    capped = star.sales_lines(spark, d).limit(5_000)
+    return capped.agg(F.count(F.lit(1)).alias("row_count"))
+
+
 @register
 def preview_format(spark, d):
     return plain(profile.format_preview(star.clean_sales(spark, d)))
@@ -546,7 +553,7 @@ def _star_curated(spark: SparkSession, d: str) -> str:
 @register
 def cleanse_job(spark, d):
     zone = landing.read_cleansed(spark, _star_cleanse(spark, d))
-    return plain(zone)
+    return plain(zone.drop("_ingestion_ts"))
 
 
 @register
@@ -595,6 +602,19 @@ def curate_job_months(spark, d):
     return plain(spark.read.parquet(f"{_star_curated(spark, d)}/kpis/monthly_sales_growth").drop("_computed_at"))
 
 
+@register
+def curate_job_regions(spark, d):
+    return plain(spark.read.parquet(f"{_star_curated(spark, d)}/kpis/top_regions_by_volume").drop("_computed_at"))
+
+
+@register
+def console_summary_categories(spark, d):
+    root = _star_curated(spark, d)
+    names = (jobs.KPI_CATEGORY, jobs.KPI_MONTHLY, jobs.KPI_REGIONS)
+    stored = {name: spark.read.parquet(f"{root}/kpis/{name}") for name in names}
+    return plain(jobs.console_summary(stored)[jobs.KPI_CATEGORY])
+
+
 @register
 def csv_export(spark, d):
     path = scratch_path(spark, "kpi-csv")
@@ -648,6 +668,19 @@ def warehouse_monthly(spark, d):
     return plain(spark.table(f"{database}.kpi_monthly_sales_growth").drop("_computed_at"))
 
 
+@register
+def warehouse_categories(spark, d):
+    database, _ = _warehouse(spark, d)
+    return plain(spark.table(f"{database}.kpi_revenue_per_category").drop("_computed_at"))
+
+
+@register
+def warehouse_regions(spark, d):
+    database, _ = _warehouse(spark, d)
+    regions = spark.table(f"{database}.kpi_top_regions_by_volume").drop("_computed_at")
+    return plain(regions).withColumn("rank", F.col("rank").cast("int"))
+
+
 @register
 def warehouse_view_summary(spark, d):
     database, _ = _warehouse(spark, d)

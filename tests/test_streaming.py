@@ -60,6 +60,17 @@ def test_replay_completes_a_half_written_batch(spark, tmp_path):
     assert sorted(k for k, *_ in facts(spark, root)) == ["a", "b", "c"]
 
 
+def test_only_touched_months_are_read(spark, tmp_path):
+    root = str(tmp_path / "zone")
+    refresh.apply_batch(sales(spark, *BATCHES[0], *BATCHES[1]), 0, root, RULES)
+    fact = spark.read.parquet(f"{root}/sales")
+    months = spark.createDataFrame([(2024, 2)], "year int, month int")
+    chosen = refresh._in_months(fact, months)
+    plan = chosen._jdf.queryExecution().executedPlan().toString()
+    assert "year" in plan.split("PartitionFilters: [")[1].split("]")[0]
+    assert [r.transaction_id for r in chosen.collect()] == ["c"]
+
+
 def test_batches_without_valid_rows(spark, tmp_path):
     root = str(tmp_path / "zone")
     refresh.apply_batch(sales(spark, ("x", "-1", "2024-01-01")), 0, root, RULES)
