@@ -30,6 +30,7 @@ _REGISTRY: dict[str, Query] = {}
 RULES = star.STAR_RULES
 SEED = 42
 WRITE_TASKS = 8
+STATE_PARTITIONS = 8
 _BUILT: dict[tuple[str, str, str], object] = {}
 
 
@@ -779,7 +780,8 @@ def stream_dedup(spark, d):
     events = star.table(spark, d, "events").withColumn("ts", F.col("ts").cast("timestamp"))
     dedup.with_resends(events, events.filter(F.col("event_type") == "error")).write.parquet(f"{root}/in")
     stream = ingest.stream_parquet(spark, f"{root}/in", events.schema)
-    ingest.append_available(ingest.dedup_stream(stream, ["event_id"], "ts", "40 days"), f"{root}/out", f"{root}/checkpoint")
+    ingest.append_available(ingest.dedup_stream(stream, ["event_id"], "ts", "40 days"), f"{root}/out", f"{root}/checkpoint",
+                            STATE_PARTITIONS)
     return spark.read.parquet(f"{root}/out").select("event_id", "user_id", "event_type", "value")
 
 
@@ -789,7 +791,7 @@ def stream_windowed_revenue(spark, d):
     stream = _table_stream(spark, d, "events")
     timed = stream.withColumn("ts", F.col("ts").cast("timestamp"))
     totals = ingest.windowed_revenue(timed, "ts", "value", ["event_type"])
-    ingest.replace_with_totals(totals, f"{root}/out", f"{root}/checkpoint")
+    ingest.replace_with_totals(totals, f"{root}/out", f"{root}/checkpoint", STATE_PARTITIONS)
     return plain(spark.read.parquet(f"{root}/out").select(
         F.date_format("window.start", "yyyy-MM-dd").alias("day"), "event_type", "total_revenue", "transaction_count"))
 

@@ -192,7 +192,9 @@ def null_profile(df: DataFrame, columns: Sequence[str] = CONTRACT_COLUMNS) -> Da
 def fill_blank_ids(df: DataFrame) -> DataFrame:
     """A fresh UUID where the key is NULL or blank.
 
-    UUIDs differ on every evaluation: write the result before using it twice.
+    The seed is drawn when the frame is built, so a task that runs again over the
+    same rows repeats its ids. Rows that come out of a shuffle may change order:
+    write the filled rows before dedup in that case.
     """
     if KEY not in df.columns:
         return df.withColumn(KEY, F.uuid())

@@ -20,25 +20,27 @@ class ContractError(ValueError):
 
 def read_landing_csv(
     spark: SparkSession,
-    path: str | Sequence[str],
+    path: str,
     *,
-    columns: Sequence[str] = CONTRACT_COLUMNS,
+    columns: Sequence[str] | None = None,
     multi_line: bool = False,
     keep_corrupt: bool = False,
 ) -> DataFrame:
-    """Landing CSV as text columns.
+    """Landing CSV as text columns named by the header.
 
-    Rows of the wrong length are padded or trimmed; ``keep_corrupt`` adds the raw
-    line of each such row as ``_corrupt_record``. ``multi_line`` allows quoted line
-    breaks but makes every file one task, so it is off unless asked for.
+    A file whose header differs from the first one (or from ``columns``) fails the
+    read instead of shifting values. Rows of the wrong length are padded or
+    trimmed; ``keep_corrupt`` adds the raw line of each such row as
+    ``_corrupt_record``. ``multi_line`` allows quoted line breaks but makes every
+    file one task, so it is off unless asked for.
     """
-    schema = T.StructType([T.StructField(c, T.StringType()) for c in columns])
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in columns or csv_header(spark, path)])
     if keep_corrupt:
         schema = schema.add(CORRUPT, T.StringType())
     return (
         spark.read.schema(schema)
         .option("header", True)
-        .option("enforceSchema", True)
+        .option("enforceSchema", False)
         .option("escape", '"')
         .option("multiLine", multi_line)
         .option("mode", "PERMISSIVE")
@@ -79,7 +81,7 @@ def read_uploaded_csv(
     multi_line: bool = False,
 ) -> DataFrame:
     """A CSV whose header decides the column order: contract check, then typing."""
-    raw = read_landing_csv(spark, path, columns=csv_header(spark, path), multi_line=multi_line)
+    raw = read_landing_csv(spark, path, multi_line=multi_line)
     if limit is not None:
         raw = raw.limit(limit)
     return typed_projection(apply_contract(raw, on_missing).select(*CONTRACT_COLUMNS), rules)
@@ -94,6 +96,35 @@ def parse_csv_lines(lines: DataFrame, columns: Sequence[str] = CONTRACT_COLUMNS,
     return lines.select(parsed.alias("row")).select("row.*")
 
 
+def payload_lines(spark: SparkSession, text: str) -> DataFrame:
+    """CSV text the caller holds, such as a request body, one record per row.
+
+    Quoted line breaks stay inside their record.
+    """
+    records, current = [], None
+    for line in text.splitlines():
+        current = line if current is None else f"{current}\n{line}"
+        if current.count('"') % 2 == 0:
+            records.append((current,))
+            current = None
+    if current is not None:
+        records.append((current,))
+    return spark.createDataFrame(records, "value string")
+
+
+def read_csv_text(
+    spark: SparkSession, text: str, rules: CleansingRules = CleansingRules(), limit: int | None = None,
+) -> DataFrame:
+    """CSV text with a header in any order, typed; absent contract columns are NULL."""
+    if not text.strip():
+        raise ContractError("no rows provided")
+    columns = [c.strip().strip('"') for c in text.splitlines()[0].split(",")]
+    raw = parse_csv_lines(payload_lines(spark, text), columns)
+    if limit is not None:
+        raw = raw.limit(limit)
+    return typed_projection(apply_contract(raw, "add_null").select(*CONTRACT_COLUMNS), rules)
+
+
 def from_records(
     df: DataFrame,
     rules: CleansingRules = CleansingRules(),

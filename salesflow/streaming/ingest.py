@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.streaming import DataStreamWriter
 
 from salesflow.operators.cleanse import standardise, typed_projection, with_key, with_timestamp, with_valid_amount
 from salesflow.rules import MONEY, MONEY_TOTAL, TEXT_SCHEMA, CleansingRules
@@ -15,8 +16,8 @@ from salesflow.rules import MONEY, MONEY_TOTAL, TEXT_SCHEMA, CleansingRules
 def stream_landing_csv(
     spark: SparkSession, path: str, schema: T.StructType = TEXT_SCHEMA, files_per_batch: int | None = None,
 ) -> DataFrame:
-    """New landing CSV files as text columns."""
-    reader = spark.readStream.schema(schema).option("header", True).option("escape", '"')
+    """New landing CSV files as text columns; a file with another header fails the batch."""
+    reader = spark.readStream.schema(schema).option("header", True).option("enforceSchema", False).option("escape", '"')
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
     return reader.csv(path)
@@ -59,18 +60,33 @@ def windowed_revenue(
     )
 
 
-def append_available(stream: DataFrame, path: str, checkpoint: str) -> None:
-    """Process what is there now into Parquet, exactly once per input file."""
-    writer = stream.writeStream.format("parquet").outputMode("append")
-    query = writer.option("path", path).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+def _run_available(spark: SparkSession, writer: DataStreamWriter, checkpoint: str, state_partitions: int | None) -> None:
+    """Process the input present now and return.
+
+    The number of state partitions is fixed when a checkpoint is first used, so
+    it is chosen per stream from the size of its state, not left at the session's.
+    """
+    setting = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(setting)
+    if state_partitions:
+        spark.conf.set(setting, state_partitions)
+    try:
+        query = writer.option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    finally:
+        spark.conf.set(setting, before)
     query.awaitTermination()
 
 
-def replace_with_totals(totals: DataFrame, path: str, checkpoint: str) -> None:
+def append_available(stream: DataFrame, path: str, checkpoint: str, state_partitions: int | None = None) -> None:
+    """Process what is there now into Parquet, exactly once per input file."""
+    writer = stream.writeStream.format("parquet").outputMode("append").option("path", path)
+    _run_available(stream.sparkSession, writer, checkpoint, state_partitions)
+
+
+def replace_with_totals(totals: DataFrame, path: str, checkpoint: str, state_partitions: int | None = None) -> None:
     """Process what is there now and write the complete totals, replacing those of earlier batches."""
     def write(batch: DataFrame, batch_id: int) -> None:
         batch.write.mode("overwrite").parquet(path)
 
     writer = totals.writeStream.outputMode("complete").foreachBatch(write)
-    query = writer.option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
-    query.awaitTermination()
+    _run_available(totals.sparkSession, writer, checkpoint, state_partitions)

@@ -143,7 +143,9 @@ def test_null_profile_and_missing_columns(raw):
 
 
 def test_blank_ids_get_fresh_uuids(raw):
-    filled = [r.transaction_id for r in ops.fill_blank_ids(raw(row("a"), row("  "), row(None))).collect()]
+    frame = ops.fill_blank_ids(raw(row("a"), row("  "), row(None)))
+    filled = [r.transaction_id for r in frame.collect()]
+    assert filled == [r.transaction_id for r in frame.collect()]
     assert "a" in filled and len(set(filled)) == 3 and sorted(map(len, filled)) == [1, 36, 36]
 
 

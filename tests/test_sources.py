@@ -46,6 +46,15 @@ def test_malformed_rows_can_be_split_off(spark, dirty):
     assert any(r._corrupt_record.endswith(",more") for r in bad.collect())
 
 
+def test_columns_follow_the_header(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("amount,transaction_id\n5,t1\n")
+    path = str(tmp_path)
+    assert landing.read_landing_csv(spark, path).first().transaction_id == "t1"
+    (tmp_path / "b.csv").write_text("transaction_id,amount\nt2,6\n")
+    with pytest.raises(Exception, match="CSV header"):
+        landing.read_landing_csv(spark, path).collect()
+
+
 def test_multi_line_values(spark, tmp_path):
     (tmp_path / "m.csv").write_text(HEADER + '\nt1,"two\nlines",Books,1,2024-01-01 00:00:00,us-east-1\n')
     rows = landing.read_landing_csv(spark, str(tmp_path / "m.csv"), multi_line=True).collect()
@@ -67,6 +76,15 @@ def test_csv_lines(spark):
         ("t1", "a,b", "Books", "5", "2024-01-01 00:00:00", "eu-west-1")]
 
 
+def test_csv_text(spark):
+    text = 'amount,transaction_id,customer_id\n5,t1,"two\nlines"\nx,t2,c\n6,t3,c\n'
+    got = {r.transaction_id: (r.customer_id, r.amount, r.region) for r in landing.read_csv_text(spark, text).collect()}
+    assert got == {"t1": ("two\nlines", 5.0, None), "t2": ("c", None, None), "t3": ("c", 6.0, None)}
+    assert landing.read_csv_text(spark, text, limit=2).count() == 2
+    with pytest.raises(landing.ContractError):
+        landing.read_csv_text(spark, "  ")
+
+
 def test_records(spark):
     rows = [{"customer_id": "c", "amount": "12.5", "timestamp": "bad"}, {"customer_id": None, "amount": 3}]
     moment = F.lit("2024-01-15 00:00:00").cast("timestamp")

@@ -1,6 +1,5 @@
 from collections import Counter
 
-import pytest
 from pyspark.sql import functions as F
 
 from salesflow.operators import cleanse as ops
@@ -10,15 +9,6 @@ from salesflow.streaming import ingest, refresh
 RULES = CleansingRules(first_by=("timestamp",))
 
 
-@pytest.fixture(autouse=True, scope="module")
-def few_partitions(spark):
-    """State stores keep files per shuffle partition; a handful of rows needs few."""
-    before = spark.conf.get("spark.sql.shuffle.partitions")
-    spark.conf.set("spark.sql.shuffle.partitions", "2")
-    yield
-    spark.conf.set("spark.sql.shuffle.partitions", before)
-
-
 def sales(spark, *rows):
     data = [(k, "C1", "Books", a, f"{d} 10:00:00", "us-east-1") for k, a, d in rows]
     return spark.createDataFrame(data, TEXT_SCHEMA).coalesce(1)
@@ -119,7 +109,7 @@ def test_window_drops_rows_behind_the_watermark(spark, tmp_path):
     def run():
         stream = ingest.stream_parquet(spark, path, shape)
         totals = ingest.windowed_revenue(stream, "ts", "amount", [], "1 day", "1 hour")
-        ingest.append_available(totals, out, checkpoint)
+        ingest.append_available(totals, out, checkpoint, state_partitions=2)
 
     events(spark, path, ("a", "2024-01-01 10:00:00", 1.0), ("b", "2024-01-03 10:00:00", 2.0))
     run()
@@ -127,6 +117,7 @@ def test_window_drops_rows_behind_the_watermark(spark, tmp_path):
     run()
     got = {str(r.window.start)[:10]: float(r.total_revenue) for r in spark.read.parquet(out).collect()}
     assert got["2024-01-01"] == 1.0 and got["2024-01-03"] == 2.0
+    assert sorted(p.name for p in (tmp_path / "cp/state/0").iterdir() if p.name.isdigit()) == ["0", "1"]
 
 
 def test_dedup_within_watermark(spark, tmp_path):
@@ -135,5 +126,5 @@ def test_dedup_within_watermark(spark, tmp_path):
     for rows in ([("a", "2024-01-01 10:00:00", 1.0), ("b", "2024-01-01 10:05:00", 2.0)], [("a", "2024-01-01 10:10:00", 1.0)]):
         events(spark, path, *rows)
         stream = ingest.stream_parquet(spark, path, shape)
-        ingest.append_available(ingest.dedup_stream(stream, ["id"], "ts", "1 day"), out, checkpoint)
+        ingest.append_available(ingest.dedup_stream(stream, ["id"], "ts", "1 day"), out, checkpoint, state_partitions=2)
     assert sorted(r.id for r in spark.read.parquet(out).collect()) == ["a", "b"]
