@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from salesflow.llm import exact_dedup, minhash, mixture
+from salesflow.llm import decontaminate, exact_dedup, minhash, mixture
 
 Query = Callable[[SparkSession, str], DataFrame]
 _REGISTRY: dict[str, Query] = {}
@@ -30,6 +30,11 @@ def op1_near_dedup(spark: SparkSession, d: str) -> DataFrame:
     return minhash.near_groups(table(spark, d, "documents", "doc_id", "text"), words=4, percent=80)
 
 
+@register
+def op4_decontaminate(spark: SparkSession, d: str) -> DataFrame:
+    return decontaminate.decontaminate(table(spark, d, "documents", "doc_id", "text"), table(spark, d, "benchmark", "item_id", "text"))
+
+
 @register
 def op8_mixture(spark: SparkSession, d: str) -> DataFrame:
     return mixture.mix(table(spark, d, "documents", "doc_id", "source", "text")).drop("copies")
