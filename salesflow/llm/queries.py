@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from salesflow.llm import decontaminate, exact_dedup, minhash, mixture
+from salesflow.llm import decontaminate, exact_dedup, langid, minhash, mixture, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 _REGISTRY: dict[str, Query] = {}
@@ -30,6 +30,16 @@ def op1_near_dedup(spark: SparkSession, d: str) -> DataFrame:
     return minhash.near_groups(table(spark, d, "documents", "doc_id", "text"), words=4, percent=80)
 
 
+@register
+def op2_language(spark: SparkSession, d: str) -> DataFrame:
+    return langid.identified(table(spark, d, "documents", "doc_id", "text", "lang"))
+
+
+@register
+def op3_toxicity(spark: SparkSession, d: str) -> DataFrame:
+    return toxicity.judged(table(spark, d, "documents", "doc_id", "text"), table(spark, d, "labels", "doc_id", "toxic"))
+
+
 @register
 def op4_decontaminate(spark: SparkSession, d: str) -> DataFrame:
     return decontaminate.decontaminate(table(spark, d, "documents", "doc_id", "text"), table(spark, d, "benchmark", "item_id", "text"))
