@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from salesflow.llm import decontaminate, exact_dedup, langid, minhash, mixture, toxicity
+from salesflow.llm import decontaminate, exact_dedup, langid, licenses, minhash, mixture, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 _REGISTRY: dict[str, Query] = {}
@@ -45,6 +46,13 @@ def op4_decontaminate(spark: SparkSession, d: str) -> DataFrame:
     return decontaminate.decontaminate(table(spark, d, "documents", "doc_id", "text"), table(spark, d, "benchmark", "item_id", "text"))
 
 
+@register
+def op7_license_scan(spark: SparkSession, d: str) -> DataFrame:
+    found = licenses.scan(table(spark, d, "documents", "doc_id", "text"))
+    joined = [F.array_join(c, ",").alias(c) for c in ("base_labels", "labels")]
+    return found.select("doc_id", "n_words", "n_base", "first_word", "last_word", *joined, "score")
+
+
 @register
 def op8_mixture(spark: SparkSession, d: str) -> DataFrame:
     return mixture.mix(table(spark, d, "documents", "doc_id", "source", "text")).drop("copies")
