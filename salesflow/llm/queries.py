@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from salesflow.llm import decontaminate, exact_dedup, langid, licenses, minhash, mixture, toxicity
+from salesflow.llm import decontaminate, exact_dedup, langid, licenses, minhash, mixture, toxicity, url_rules
 
 Query = Callable[[SparkSession, str], DataFrame]
 _REGISTRY: dict[str, Query] = {}
@@ -61,3 +61,9 @@ def op8_mixture(spark: SparkSession, d: str) -> DataFrame:
 @register
 def op9_exact_dedup(spark: SparkSession, d: str) -> DataFrame:
     return exact_dedup.exact_groups(table(spark, d, "documents", "doc_id", "text"))
+
+
+@register
+def op10_url_rules(spark: SparkSession, d: str) -> DataFrame:
+    pages = table(spark, d, "pages", "page_id", "url")
+    return url_rules.judged(pages, url_rules.labelled_pages(spark, pages, table(spark, d, "labels", "doc_id", "quality", "toxic"))).drop("confidence")
