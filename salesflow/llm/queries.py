@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from salesflow.llm import decontaminate, exact_dedup, langid, licenses, minhash, mixture, toxicity, url_rules
+from salesflow.llm import decontaminate, exact_dedup, langid, licenses, minhash, mixture, quality, toxicity, url_rules, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 _REGISTRY: dict[str, Query] = {}
@@ -46,6 +46,18 @@ def op4_decontaminate(spark: SparkSession, d: str) -> DataFrame:
     return decontaminate.decontaminate(table(spark, d, "documents", "doc_id", "text"), table(spark, d, "benchmark", "item_id", "text"))
 
 
+@register
+def op5_quality(spark: SparkSession, d: str) -> DataFrame:
+    """The source is the host, source and language the path below it."""
+    docs = table(spark, d, "documents", "doc_id", "text", F.col("source").alias("host"), F.col("lang").alias("path"))
+    return quality.judged(docs, table(spark, d, "labels", "doc_id", "quality"))
+
+
+@register
+def op6_warc(spark: SparkSession, d: str) -> DataFrame:
+    return warc.archived(table(spark, d, "pages", "page_id", "url", "html"), least_bytes=0)
+
+
 @register
 def op7_license_scan(spark: SparkSession, d: str) -> DataFrame:
     found = licenses.scan(table(spark, d, "documents", "doc_id", "text"))
