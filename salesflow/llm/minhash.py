@@ -6,8 +6,8 @@ key, and texts that agree on one of ``BANDS`` keys are candidates: a pair at Jac
 1e-5; at 0.4 one pair in fourteen becomes a candidate. Links are confirmed on full shingle sets.
 
 Work stays linear in copies: texts with one shingle set are folded first; then each text is compared with one leader of its buckets and
-linked texts are joined into components; only members of *different* components that still share a bucket are then compared pair by pair,
-all of them, so no candidate link between components is lost. Nothing is capped.
+linked texts are joined into components; members of *different* components that still share a bucket remain. Of their pairs only those are
+compared that can reach the similarity: see ``_open_pairs``. No candidate link is lost and nothing is capped.
 
 Edge cases: a text without words has no shingles, is linked with nothing and stays; with fewer words than a shingle the whole sequence is
 one; rows with one ``doc_id`` count as one document; a row without ``doc_id`` is linked with nothing, has a null component and stays; an
@@ -20,7 +20,7 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from salesflow.llm.components import components
@@ -30,6 +30,7 @@ from salesflow.llm.wordhash import mixed, shingle_sets, text_slices
 ROWS, BANDS = 7, 48
 PLACE_BITS = 20
 STEP_ROWS = 1024
+HOT = 32
 _SPREAD = np.uint64(0x5851F42D4C957F2D)
 _ranks: list[np.ndarray] = []
 
@@ -98,6 +99,39 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return pairs.join(left, "a").join(right, "b").where(common * 100 >= (F.size("of_a") + F.size("of_b") - common) * percent).select("a", "b")
 
 
+def _open_pairs(waiting: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) of different parts that can be similar enough, from rows (key, rep, n_shingles, part) of shared buckets.
+
+    Shingles are ordered rarest first, by how many of the waiting texts hold them. Two texts that are similar enough share a shingle within the
+    first n - ceil(percent * n / 100) + 1 of each. Either one that at most HOT texts hold is shared there: those pairs come from an index of
+    rare leading shingles, at most HOT of them to a row. Or all that the two share is held by more than HOT texts: then their intersection is no
+    larger than the smaller number of such shingles in either, which few pairs of a large family of edited copies satisfy.
+    """
+    texts = stored(waiting.select("rep", "n_shingles", "part").distinct(), "texts")
+    held = texts.join(sets, "rep").select("rep", "n_shingles", "part", F.explode("shingles").alias("shingle"))
+    common = stored(held.groupBy("shingle").agg(F.count(F.lit(1)).alias("holders")).where("holders > 1"), "holders")
+    of_text = Window.partitionBy("rep")
+    several = F.count(F.lit(1)).over(of_text)
+    place = F.col("n_shingles") - several + F.row_number().over(of_text.orderBy("holders", "shingle"))
+    leading = F.col("n_shingles") - F.ceil(F.col("n_shingles") * percent / 100) + 1
+    hot = F.count(F.when(F.col("holders") > HOT, 1)).over(of_text)
+    ranked = stored(held.join(common, "shingle").select("rep", "n_shingles", "part", "shingle", "holders", hot.alias("hot"), (place <= leading).alias("leads")), "ranked")
+
+    def met(rows: DataFrame, on: str, further: str = "true") -> DataFrame:
+        one, other = (rows.select(F.col(on).alias(f"{on}_{side}"), *[F.col(c).alias(f"{c}_{side}") for c in rows.columns if c != on]) for side in "ab")
+        fits = f"n_shingles_a * 100 >= n_shingles_b * {percent} AND n_shingles_b * 100 >= n_shingles_a * {percent}"
+        return one.join(other, F.expr(f"{on}_a = {on}_b AND rep_a < rep_b AND part_a <> part_b AND {fits} AND {further}")).select(F.col("rep_a").alias("a"), F.col("rep_b").alias("b"))
+
+    rare = met(ranked.where(f"leads AND holders <= {HOT}").select("shingle", "rep", "n_shingles", "part"), "shingle")
+    mostly_hot = ranked.where(f"hot * 100 >= n_shingles * {percent}").select("rep", "hot").distinct()
+    # The most shingles a partner may have, by the bound on the intersection; a row whose bucket has no partner so small is done.
+    bounded = stored(waiting.join(mostly_hot, "rep").withColumn("most", F.floor(F.col("hot") * (100 + percent) / percent) - F.col("n_shingles")), "bounded")
+    least = stored(bounded.groupBy("key").agg(F.min("n_shingles").alias("least"), F.min("part").alias("low"), F.max("part").alias("high")).where("low < high").select("key", "least"), "least")
+    left = bounded.join(least, "key").where("most >= least").select("key", "rep", "n_shingles", "part", "most")
+    frequent = met(left, "key", "n_shingles_b <= most_a AND n_shingles_a <= most_b")
+    return rare.union(frequent).distinct()
+
+
 def near_groups(documents: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
     """A row per document: doc_id, n_shingles, component_id (least id reachable over links of ``percent`` similarity), kept."""
     docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), ascii_lower(F.coalesce("text", F.lit(""))).alias("text"))
@@ -120,10 +154,7 @@ def near_groups(documents: DataFrame, words: int = 5, percent: int = 80) -> Data
     placed = stored(bucketed.join(joined, bucketed["rep"] == joined["node"], "left").select("key", "rep", "n_shingles", F.coalesce("component", "rep").alias("part")), "placed")
     open_keys = stored(placed.groupBy("key").agg(F.min("part").alias("low"), F.max("part").alias("high")).where("low < high").select("key"), "open")
     waiting = stored(placed.join(open_keys, "key"), "waiting")
-    one, other = (waiting.select("key", *[F.col(c).alias(f"{c}_{side}") for c in ("rep", "n_shingles", "part")]) for side in "ab")
-    fits = (F.col("n_shingles_a") * 100 >= F.col("n_shingles_b") * percent) & (F.col("n_shingles_b") * 100 >= F.col("n_shingles_a") * percent)
-    across = one.join(other, (one["key"] == other["key"]) & (F.col("rep_a") < F.col("rep_b")) & (F.col("part_a") != F.col("part_b")) & fits)
-    pairs = stored(across.select(F.col("rep_a").alias("a"), F.col("rep_b").alias("b")).distinct(), "pairs")
+    pairs = stored(_open_pairs(waiting, sets, percent), "pairs")
     second = stored(_confirmed(pairs, sets, percent), "links")
     final = joined if second.isEmpty() else components(second.union(joined.select("node", "component")))
 

@@ -53,6 +53,21 @@ def test_as_brute_force(spark, words):
     assert sorted(map(tuple, out.collect())) == brute(rows, words, 80)
 
 
+@pytest.mark.parametrize("hot", [1, 6, 32])
+def test_family_of_edited_copies(spark, monkeypatch, hot):
+    monkeypatch.setattr(minhash, "HOT", hot)
+    rng = random.Random(hot)
+    base = [f"b{k}" for k in range(120)]
+    rows = []
+    for i in range(70):
+        text = list(base[rng.randrange(12):120 - rng.randrange(12)])
+        for _ in range(rng.choice([1, 3, 5, 6, 7, 8])):
+            text[rng.randrange(len(text))] = rng.choice(["same", f"own{i}{rng.random()}"])
+        rows.append((i, " ".join(text), ""))
+    out = minhash.near_groups(spark.createDataFrame(rows, SCHEMA), 4)
+    assert sorted(map(tuple, out.collect())) == brute(rows, 4, 80)
+
+
 def test_chain_of_links_is_one_group(spark):
     base = [f"c{k}" for k in range(200)]
     rows = [(i, " ".join(base[4 * i:4 * i + 100]), "") for i in range(20)]
