@@ -7,7 +7,8 @@ fingerprints within ``RADIUS`` bits agree on a block at least (pigeonhole), so n
 exactly: the weight of the item's shingles that the window holds, against the weight of all the item's shingles, must reach ``PERCENT``.
 A shingle weighs 1 + ln(items / items that hold it), so that phrases of many items count less.
 
-The benchmark is joined as a table; Spark broadcasts it only if its measured size allows and shuffles otherwise.
+Shingle places of the benchmark are counted first: up to ``BROADCAST_ROWS`` (about 30 MB) they are sent to all tasks and windows are cut while
+a text is read; beyond, narrow shingle rows are shuffled by key and only texts with a hit are read again.
 
 Edge cases: a null or wordless text is clean; null and wordless items match nothing; an item shorter than ``WORDS`` words is one shingle of
 its own length; repeated items are folded to the least item_id, which stands in ``item_ids``; an empty benchmark leaves all documents
@@ -23,6 +24,7 @@ from pyspark.sql import functions as F
 from salesflow.llm.shared import stored
 
 WORDS, PERCENT, RADIUS, BITS = 5, 80, 20, 64
+BROADCAST_ROWS = 500_000
 SEPARATORS = "[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+"
 
 
@@ -64,6 +66,22 @@ def _blocks(fingerprint: Column) -> Column:
     return F.array(*[F.struct(F.lit(k).alias("block"), F.shiftrightunsigned(fingerprint, a).bitwiseAND(F.lit((1 << (b - a)) - 1)).alias("bits")) for k, (a, b) in enumerate(zip(edges, edges[1:]))])
 
 
+def _windows_in_place(worded: DataFrame, places: DataFrame, length: int) -> DataFrame:
+    """Windows (doc_id, n_words, length, window) around shingles of items, cut while the text is read; ``places`` is small enough to send."""
+    placed = worded.select("doc_id", "words", F.posexplode("words").alias("pos", "word"))
+    keyed = placed.select("doc_id", "words", "pos", _shingle(F.col("words"), F.col("pos"), length).alias("hash"))
+    hits = keyed.join(F.broadcast(places), "hash")
+    return hits.select("doc_id", "n_words", F.lit(length).alias("length"), F.slice("words", F.greatest(F.lit(0), F.col("pos") - F.col("at")) + 1, F.col("n_words")).alias("window"))
+
+
+def _windows_by_key(worded: DataFrame, places: DataFrame, length: int) -> DataFrame:
+    """The same for a benchmark of any size: narrow shingle rows meet ``places`` by key, then the windows are cut from the texts that have any."""
+    placed = worded.select("doc_id", F.posexplode(F.transform("words", lambda w, i: _shingle(F.col("words"), i, length))).alias("pos", "hash"))
+    begins = placed.join(places, "hash").select("doc_id", "n_words", F.greatest(F.lit(0), F.col("pos") - F.col("at")).alias("begin")).distinct()
+    hits = stored(begins.withColumnRenamed("doc_id", "hit_id"), "begins")
+    return worded.join(hits, worded["doc_id"].eqNullSafe(hits["hit_id"])).select("doc_id", "n_words", F.lit(length).alias("length"), F.slice("words", F.col("begin") + 1, F.col("n_words")).alias("window"))
+
+
 def contaminated_pairs(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
     """doc_id, item_id, similarity (0.8 to 1): items that a document holds."""
     parts = stored(_item_shingles(benchmark), "item_shingles")
@@ -75,13 +93,11 @@ def contaminated_pairs(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
     places = stored(parts.select("length", "shingle", "n_words", "at").distinct(), "places")
     lengths = sorted(r[0] for r in places.select("length").distinct().collect())  # at most WORDS numbers
     worded = documents.select(F.col("doc_id").cast("long").alias("doc_id"), words_of(F.col("text")).alias("words"))
+    few = places.count() <= BROADCAST_ROWS
     windows = None
     for length in lengths:
-        placed = worded.select("doc_id", "words", F.posexplode("words").alias("pos", "word"))
-        keyed = placed.select("doc_id", "words", "pos", _shingle(F.col("words"), F.col("pos"), length).alias("hash"))
         of = places.where(F.col("length") == length).select(F.col("shingle").alias("hash"), "n_words", "at")
-        begin = F.greatest(F.lit(0), F.col("pos") - F.col("at"))
-        laid = keyed.join(of, "hash").select("doc_id", "n_words", F.lit(length).alias("length"), F.slice("words", begin + 1, F.col("n_words")).alias("window"))
+        laid = (_windows_in_place if few else _windows_by_key)(worded, of, length)
         windows = laid if windows is None else windows.union(laid)
     if windows is None:
         return documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.lit(0).cast("long").alias("item_id"), F.lit(0.0).alias("similarity")).where("false")

@@ -4,6 +4,7 @@ import re
 from collections import Counter
 
 import duckdb
+import pytest
 
 from salesflow.llm import decontaminate as ops
 
@@ -61,7 +62,9 @@ def made():
     return docs + [(100, None, "x"), (101, "", "x"), (102, "... solo!", "x")], items
 
 
-def test_as_brute_force(spark):
+@pytest.mark.parametrize("rows", [500_000, 0])
+def test_as_brute_force(spark, monkeypatch, rows):
+    monkeypatch.setattr(ops, "BROADCAST_ROWS", rows)
     docs, items = made()
     out = ops.decontaminate(spark.createDataFrame(docs, DOCS), spark.createDataFrame(items, ITEMS)).collect()
     assert {r["doc_id"]: r["item_ids"] for r in out} == brute(docs, items)
