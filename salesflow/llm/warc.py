@@ -2,7 +2,8 @@
 
 Writing: one record per page. Of pages with equal payloads (by SHA-256 and size) of at least ``least_bytes``, the least page_id is a
 ``response`` and the others ``revisit`` it; smaller payloads are all responses. Records are made as text by Spark and written by its own
-text writer, rebalanced to files of Spark's advisory partition size, so any store that Spark writes works.
+text writer, where the pages are read, so any store that Spark writes works and no payload is moved to balance files. A file holds as many
+records as make ``ARCHIVE_BYTES`` at their mean size, an eighth of what the reader can take.
 
 Reading: an archive file is read whole by one task (Spark's binary source; at most 2 GB) and parsed record by record, plain or as gzip
 members. A record is checked: version line, header block, Content-Length within the file, the two line ends after the block, and the
@@ -35,6 +36,7 @@ DATE = "2024-01-01T00:00:00Z"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 LONGEST_HEAD = 1 << 16
 BATCH_BYTES = 4 << 20
+ARCHIVE_BYTES, HEAD_BYTES = 256 << 20, 600
 _VERSION = re.compile(rb"WARC/\d\.\d\r\n")
 _CANDIDATE = re.compile(rb"WARC/\d\.\d\r\n|\x1f\x8b\x08")
 SCHEMA = ("kind string, archive string, offset long, length long, record_type string, record_id string, target_uri string, refers_to string, "
@@ -69,8 +71,10 @@ def records(pages: DataFrame, least_bytes: int = 0) -> DataFrame:
 
 
 def write_archives(pages: DataFrame, path: str, least_bytes: int = 0) -> None:
-    """One WARC file per task; the writer's line end completes each record."""
-    records(pages, least_bytes).select("record").hint("rebalance").write.option("lineSep", "\r\n").text(path)
+    """WARC files of about ARCHIVE_BYTES or less; the writer's line end completes each record."""
+    size = pages.agg(F.avg(F.coalesce(F.octet_length("html"), F.lit(0)))).first()[0] or 0
+    per_file = max(1, int(ARCHIVE_BYTES / (size + HEAD_BYTES)))
+    records(pages, least_bytes).select("record").write.option("lineSep", "\r\n").option("maxRecordsPerFile", per_file).text(path)
 
 
 @dataclass
