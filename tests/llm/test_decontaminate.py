@@ -33,7 +33,8 @@ def brute(docs, items):
         w, best = words(t), {}
         for item, i in of.items():
             n, whole = min(5, len(item)), sum(weight[g] * k for g, k in grams[item].items())
-            for at in range(max(1, len(w) - n + 1)):
+            held = shingles(w, n)
+            for at in range(max(1, len(w) - n + 1)) if any(g in held for g in grams[item]) else ():
                 there = shingles(w[at:at + len(item)], n)
                 common = sum(weight[g] * min(k, there[g]) for g, k in grams[item].items())
                 if 100 * common / whole >= 80 - 1e-9:
