@@ -259,7 +259,6 @@ def all_sql() -> dict[str, str]:
         "fact_filtered": f"""{W_CLEAN} SELECT transaction_id, customer_id, {hundredths('cents')} AS amount, region, year, month, day
             FROM clean WHERE year = 1998 AND product_category = 'SMALL'""",
         "raw_head": f"{W_LINES} SELECT l_orderkey, {ARRIVAL} FROM lines ORDER BY l_orderkey, {ARRIVAL} LIMIT 10",
-        "input_cap": "SELECT least(count(*), 5000) AS row_count FROM lineitem",
         "preview_format": f"""{W_CLEAN} SELECT transaction_id, customer_id, product_category, {hundredths('cents')} AS amount,
             {STAMP.format('"timestamp"')} AS "timestamp", region FROM clean""",
         "display_categories": DISPLAY_CATEGORIES,
@@ -273,7 +272,10 @@ def all_sql() -> dict[str, str]:
                  WHEN l_linenumber = 6 THEN l_orderkey || ',' || l_linenumber || ',' || l_partkey || ',extra' END AS record
             FROM lineitem""",
         "csv_contract_check": f"{W_RAW} SELECT {RAW_TEXT}, CAST(NULL AS VARCHAR) AS region FROM attributed",
-        "csv_text_payload": f"{W_RAW} SELECT transaction_id, customer_id, product_category, amount, region FROM attributed",
+        "csv_text_payload": f"{W_RAW} SELECT {RAW_TEXT}, region FROM attributed",
+        "csv_line_records": f"{W_RAW} SELECT {RAW_TEXT}, region FROM attributed",
+        "csv_quoted_breaks": """SELECT CAST(l_orderkey AS VARCHAR) AS order_key,
+            l_returnflag || ', "quoted"' || chr(10) || l_linestatus AS note FROM lineitem""",
         "json_records": f"""SELECT CASE WHEN o_orderpriority = '1-URGENT' THEN 'generated' ELSE CAST(o_orderkey AS VARCHAR) END AS transaction_id,
             CAST(o_custkey AS VARCHAR) AS customer_id, o_totalprice AS amount,
             CASE WHEN o_orderstatus = 'F' THEN '2024-01-15 00:00:00' ELSE {STAMP.format('o_orderdate')} END AS "timestamp",
@@ -297,6 +299,9 @@ def all_sql() -> dict[str, str]:
         "cleanse_job": f"""{W_CLEAN} SELECT {CLEAN_ROWS},
             'sales_csv_landing' AS _source_system, '1.0.0' AS _pipeline_version FROM clean""",
         "cleanse_job_funnel": f"{W_JUDGED}, {FUNNEL} SELECT * FROM funnel",
+        "cleanse_job_rejects": f"""WITH {LINES}, {JUDGED}, {ATTRIBUTES.format(source='judged')}
+            SELECT transaction_id, customer_id, product_category, amount, {STAMP.format('"timestamp"')} AS "timestamp", region, reason,
+            count(*) AS row_count FROM attributed WHERE reason <> 'ok' GROUP BY ALL""",
         "catalog_cleansed_table": f"""{W_CLEAN} SELECT product_category, count(*) AS row_count,
             {hundredths('sum(cents)')} AS total_revenue FROM clean GROUP BY 1""",
         "fact_partition_overwrite": f"""{W_CLEAN} SELECT year, month, count(*) AS row_count,
@@ -305,6 +310,7 @@ def all_sql() -> dict[str, str]:
         "curate_job_categories": CATEGORIES_SQL,
         "curate_job_months": MONTHS_SQL,
         "curate_job_regions": REGIONS_SQL,
+        "curate_two_batches": MONTHS_SQL,
         "console_summary_categories": f"{W_CLEAN}, {CATEGORY} SELECT product_category, total_revenue, revenue_pct FROM category",
         "csv_export": f"{W_CLEAN}, {MONTHLY} SELECT month_label, total_revenue, prev_month_revenue, mom_growth_pct FROM monthly",
         "report_bundle": f"""{W_CLEAN}, {REGIONS} SELECT 'summary' AS section, CAST(NULL AS VARCHAR) AS region,
@@ -316,6 +322,10 @@ def all_sql() -> dict[str, str]:
             UNION ALL SELECT 'kpi_revenue_per_category', 'SUCCESS', count(DISTINCT product_category) FROM clean
             UNION ALL SELECT 'kpi_monthly_sales_growth', 'SUCCESS', count(DISTINCT (year, month)) FROM clean
             UNION ALL SELECT 'kpi_top_regions_by_volume', 'SUCCESS', count(*) FROM regions WHERE rank <= 5""",
+        "warehouse_load_absent": f"""{W_CLEAN} SELECT 'fact_sales' AS table_name, 'SUCCESS' AS status, count(*) AS row_count FROM clean
+            UNION ALL SELECT 'kpi_revenue_per_category', 'SUCCESS', count(DISTINCT product_category) FROM clean
+            UNION ALL SELECT 'kpi_monthly_sales_growth', 'SUCCESS', count(DISTINCT (year, month)) FROM clean
+            UNION ALL SELECT 'kpi_top_regions_by_volume', 'FAILED', NULL""",
         "warehouse_fact": f"""{W_CLEAN} SELECT transaction_id, customer_id, product_category, {hundredths('cents')} AS amount,
             {STAMP.format('"timestamp"')} AS transaction_ts, region, CAST(year AS SMALLINT) AS year,
             CAST(month AS SMALLINT) AS month, CAST(day AS SMALLINT) AS day, 'sales_csv_landing' AS _source_system,
@@ -341,9 +351,11 @@ def all_sql() -> dict[str, str]:
         "clustered_layout": f"{W_CLEAN} SELECT transaction_id, product_category, {hundredths('cents')} AS amount, region FROM clean",
         "day_compaction": f"""{W_CLEAN} SELECT year, month, count(*) AS row_count, {hundredths('sum(cents)')} AS total_revenue
             FROM clean GROUP BY 1, 2""",
-        "stream_landing_ingest": f"{W_LINES} SELECT transaction_id, amount FROM lines",
-        "stream_cleanse": f"""{W_LINES} SELECT transaction_id, 'UNKNOWN' AS customer_id, 'UNKNOWN' AS product_category, amount,
-            'UNKNOWN' AS region FROM lines WHERE transaction_id IS NOT NULL AND amount BETWEEN 1 AND 50000 AND "timestamp" IS NOT NULL""",
+        "stream_landing_ingest": f"{W_RAW} SELECT {RAW_TEXT}, region FROM attributed",
+        "stream_cleanse": f"""{W_RAW} SELECT transaction_id, coalesce(customer_id, 'UNKNOWN') AS customer_id,
+            CASE WHEN product_category IN ('ECONOMY', 'LARGE', 'MEDIUM', 'SMALL', 'STANDARD') THEN product_category ELSE 'UNKNOWN' END AS product_category,
+            amount, CASE WHEN region IN ('AMERICA', 'ASIA', 'EUROPE', 'MIDDLE EAST') THEN region ELSE 'UNKNOWN' END AS region
+            FROM attributed WHERE transaction_id IS NOT NULL AND amount BETWEEN 1 AND 50000 AND "timestamp" IS NOT NULL""",
         "stream_dedup": "SELECT event_id, user_id, event_type, value FROM events",
         "stream_windowed_revenue": f"""SELECT strftime(ts, '%Y-%m-%d') AS day, event_type,
             {hundredths('sum(CAST(round(value * 100) AS BIGINT))')} AS total_revenue, count(*) AS transaction_count FROM events GROUP BY 1, 2""",

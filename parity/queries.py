@@ -29,8 +29,6 @@ Query = Callable[[SparkSession, str], DataFrame]
 _REGISTRY: dict[str, Query] = {}
 RULES = star.STAR_RULES
 SEED = 42
-WRITE_TASKS = 8
-STATE_PARTITIONS = 8
 _BUILT: dict[tuple[str, str, str], object] = {}
 
 
@@ -41,6 +39,11 @@ def _once(spark: SparkSession, d: str, name: str, build: Callable[[], object]):
     return _BUILT[key]
 
 
+def forget_built() -> None:
+    """Lets the shared builds be made anew, so that a timing holds the work and not its memory."""
+    _BUILT.clear()
+
+
 def register(query: Query) -> Query:
     _REGISTRY[query.__name__] = query
     return query
@@ -389,13 +392,6 @@ def raw_head(spark, d):
     return profile.head(lines, 10, ["l_orderkey", *star.ARRIVAL])
 
 
-@register
-def input_cap(spark, d):
-    """How many rows an input capped at 5,000 rows holds, keys or not."""
-    capped = star.sales_lines(spark, d).limit(5_000)
-    return capped.agg(F.count(F.lit(1)).alias("row_count"))
-
-
 @register
 def preview_format(spark, d):
     return plain(profile.format_preview(star.clean_sales(spark, d)))
@@ -464,10 +460,28 @@ def csv_contract_check(spark, d):
 
 @register
 def csv_text_payload(spark, d):
-    lines = star.raw_sales(spark, d)
-    as_line = _text_rows(lines).select(F.to_csv(F.struct("*")).alias("value"))
+    """Stored payloads with a header in an order of their own."""
+    path = scratch_path(spark, "payload-csv")
+    files.write_csv(_text_rows(star.raw_sales(spark, d)).select("region", "timestamp", "amount", KEY, "product_category", "customer_id"), path)
+    typed = landing.read_csv_payload(spark, path)
+    return typed.withColumn("timestamp", F.date_format("timestamp", TIMESTAMP_FORMAT))
+
+
+@register
+def csv_line_records(spark, d):
+    """CSV records in a column, parsed where they lie."""
+    as_line = _text_rows(star.raw_sales(spark, d)).select(F.to_csv(F.struct("*")).alias("value"))
     typed = rules_ops.typed_projection(landing.parse_csv_lines(as_line))
-    return typed.select(KEY, "customer_id", "product_category", "amount", "region")
+    return typed.withColumn("timestamp", F.date_format("timestamp", TIMESTAMP_FORMAT))
+
+
+@register
+def csv_quoted_breaks(spark, d):
+    """Values with line breaks, quotes and commas survive the way through a landing file."""
+    path = scratch_path(spark, "breaks-csv")
+    note = F.concat(F.col("l_returnflag"), F.lit(', "quoted"\n'), F.col("l_linestatus"))
+    files.write_csv(star.table(spark, d, "lineitem").select(F.col("l_orderkey").cast("string").alias("order_key"), note.alias("note")), path)
+    return landing.read_landing_csv(spark, path, multi_line=True)
 
 
 @register
@@ -545,7 +559,7 @@ def _star_curated(spark: SparkSession, d: str) -> str:
     def build() -> str:
         root = scratch_path(spark, "curated")
         zone = landing.read_cleansed(spark, _star_cleanse(spark, d))
-        jobs.curate(spark, zone, root, jobs.run_timestamp("2024-06-01 00:00:00"), write_tasks=WRITE_TASKS)
+        jobs.curate(spark, zone, root, jobs.run_timestamp("2024-06-01 00:00:00"), full=True)
         return root
 
     return _once(spark, d, "curated", build)
@@ -562,6 +576,17 @@ def cleanse_job_funnel(spark, d):
     return rules_ops.quality_funnel(spark.read.parquet(_star_cleanse(spark, d)))
 
 
+@register
+def cleanse_job_rejects(spark, d):
+    """Every input row that was not kept, as it came, with its reason; equal rows with their number."""
+    zone = spark.read.parquet(_star_cleanse(spark, d)).filter("reason <> 'ok'")
+    # A duplicate or keyless row stands for itself; an invalid first copy's duplicates are listed on their own.
+    rows = F.when(F.col("reason").isin("duplicate", "pk_null"), F.col("copies")).otherwise(1)
+    shown = [KEY, "customer_id", "product_category", F.col("raw_amount").cast("double").alias("amount"), F.col("raw_timestamp").alias("timestamp"), "region", "reason"]
+    return zone.select(*shown, rows.alias("row_count")).groupBy(KEY, "customer_id", "product_category", "amount", "timestamp", "region", "reason").agg(
+        F.sum("row_count").alias("row_count"))
+
+
 @register
 def catalog_cleansed_table(spark, d):
     database = f"zone_{scratch_path(spark, 'x')[-12:]}"
@@ -576,9 +601,9 @@ def fact_partition_overwrite(spark, d):
     """The whole fact, then the days of one quarter written again with doubled amounts."""
     path = scratch_path(spark, "fact")
     fact = _fact(spark, d)
-    files.write_fact(fact, path, tasks=WRITE_TASKS)
+    files.write_fact(fact, path)
     quarter = fact.filter("year = 1997 AND month <= 3").withColumn("amount", (F.col("amount") * 2).cast("decimal(12,2)"))
-    files.write_fact(quarter, path, replace_days_only=True, tasks=WRITE_TASKS)
+    files.write_fact(quarter, path, replace_days_only=True)
     stored = landing.read_fact(spark, path)
     return plain(stored.groupBy("year", "month").agg(
         F.count(F.lit(1)).alias("row_count"), F.sum("amount").alias("total_revenue")))
@@ -608,6 +633,16 @@ def curate_job_regions(spark, d):
     return plain(spark.read.parquet(f"{_star_curated(spark, d)}/kpis/top_regions_by_volume").drop("_computed_at"))
 
 
+@register
+def curate_two_batches(spark, d):
+    """The zone curated in two parts that overlap by three months; the KPI counts every row once."""
+    root = scratch_path(spark, "merged")
+    zone = landing.read_cleansed(spark, _star_cleanse(spark, d))
+    jobs.curate(spark, zone.filter("timestamp < '1998-06-01'"), root)
+    made = jobs.curate(spark, zone.filter("timestamp >= '1998-03-01'"), root)
+    return plain(made[jobs.KPI_MONTHLY].drop("_computed_at"))
+
+
 @register
 def console_summary_categories(spark, d):
     root = _star_curated(spark, d)
@@ -629,8 +664,7 @@ def csv_export(spark, d):
 def report_bundle(spark, d):
     """A whole run from landing rows, its report written as JSON and read back."""
     root = scratch_path(spark, "run")
-    report = jobs.run(spark, _star_landing(spark, d), root, RULES, jobs.run_timestamp("2024-06-01 00:00:00"),
-                      write_tasks=WRITE_TASKS)
+    report = jobs.run(spark, _star_landing(spark, d), root, RULES, jobs.run_timestamp("2024-06-01 00:00:00"))
     report.write(f"{root}/report")
     lines = spark.read.text(f"{root}/report")
     body = F.from_json("value", "region string, transaction_count bigint, revenue_share_pct double, total_records bigint, total_revenue double")
@@ -656,6 +690,24 @@ def warehouse_load_status(spark, d):
     return _warehouse(spark, d)[1].select("table_name", "status", "row_count")
 
 
+@register
+def warehouse_load_absent(spark, d):
+    """A load of which one input is absent: the others load, the failure is recorded."""
+    root = _star_curated(spark, d)
+    database = f"dw_{scratch_path(spark, 'x')[-12:]}"
+    catalog.ensure_database(spark, database, scratch_path(spark, "database"))
+    target = scratch_path(spark, "partial-warehouse")
+    warehouse.create_tables(spark, database, target)
+    opened = {
+        warehouse.FACT_SALES.name: lambda: landing.read_fact(spark, f"{root}/sales"),
+        warehouse.KPI_CATEGORY.name: lambda: spark.read.parquet(f"{root}/kpis/{jobs.KPI_CATEGORY}"),
+        warehouse.KPI_MONTHLY.name: lambda: spark.read.parquet(f"{root}/kpis/{jobs.KPI_MONTHLY}"),
+        warehouse.KPI_REGIONS.name: lambda: spark.read.parquet(f"{root}/kpis/absent"),
+    }
+    status = warehouse.load_all(spark, opened, database, target, "1", raise_on_failure=False)
+    return status.select("table_name", "status", "row_count")
+
+
 @register
 def warehouse_fact(spark, d):
     database, _ = _warehouse(spark, d)
@@ -732,8 +784,8 @@ def day_compaction(spark, d):
     """A fact written in two appends, its busiest month compacted and re-sorted."""
     path = scratch_path(spark, "compact")
     fact = star.sales_fact(spark, d, (KEY, "timestamp", "amount"))
-    files.append_fact(fact.filter("amount < 20000"), path, tasks=WRITE_TASKS)
-    files.append_fact(fact.filter("amount >= 20000"), path, tasks=WRITE_TASKS)
+    files.append_fact(fact.filter("amount < 20000"), path)
+    files.append_fact(fact.filter("amount >= 20000"), path)
     days = landing.read_fact(spark, path).filter("year = 1998 AND month = 3").select("year", "month", "day")
     files.rewrite_days(spark, path, scratch_path(spark, "staging"), days, ("timestamp", KEY))
     return plain(landing.read_fact(spark, path).groupBy("year", "month").agg(
@@ -750,25 +802,23 @@ def _table_stream(spark: SparkSession, d: str, name: str) -> DataFrame:
 def stream_landing_ingest(spark, d):
     """Landing CSV that arrives in two parts; each part is read once."""
     root = scratch_path(spark, "ingest")
-    lines = star.sales_lines(spark, d)
+    lines = star.attach_attributes(star.sales_lines(spark, d), spark, d)
     as_text = lines.select(
-        KEY, F.lit(None).cast("string").alias("customer_id"), F.lit(None).cast("string").alias("product_category"),
-        F.col("amount").cast("string").alias("amount"), F.date_format("timestamp", TIMESTAMP_FORMAT).alias("timestamp"),
-        F.lit(None).cast("string").alias("region"), "l_quantity",
+        KEY, "customer_id", "product_category", F.col("amount").cast("string").alias("amount"),
+        F.date_format("timestamp", TIMESTAMP_FORMAT).alias("timestamp"), "region", "l_quantity",
     )
     for part in (as_text.filter("l_quantity < 25"), as_text.filter("l_quantity >= 25")):
         part.drop("l_quantity").write.mode("append").option("header", True).csv(f"{root}/landing")
         stream = rules_ops.typed_projection(ingest.stream_landing_csv(spark, f"{root}/landing"))
         ingest.append_available(stream, f"{root}/out", f"{root}/checkpoint")
-    return spark.read.parquet(f"{root}/out").select(KEY, "amount")
+    return spark.read.parquet(f"{root}/out").select(*CONTRACT_COLUMNS).withColumn("timestamp", F.date_format("timestamp", TIMESTAMP_FORMAT))
 
 
 @register
 def stream_cleanse(spark, d):
     root = scratch_path(spark, "stream-cleanse")
     stream = _table_stream(spark, d, "lineitem")
-    absent = {c: F.lit(None).cast("string") for c in ("customer_id", "product_category", "region")}
-    clean = ingest.clean_stream(star.as_sales_lines(stream).withColumns(absent), RULES)
+    clean = ingest.clean_stream(star.attach_attributes(star.as_sales_lines(stream), spark, d), RULES)
     ingest.append_available(clean, f"{root}/out", f"{root}/checkpoint")
     return plain(spark.read.parquet(f"{root}/out").select(KEY, "customer_id", "product_category", "amount", "region"))
 
@@ -780,8 +830,7 @@ def stream_dedup(spark, d):
     events = star.table(spark, d, "events").withColumn("ts", F.col("ts").cast("timestamp"))
     dedup.with_resends(events, events.filter(F.col("event_type") == "error")).write.parquet(f"{root}/in")
     stream = ingest.stream_parquet(spark, f"{root}/in", events.schema)
-    ingest.append_available(ingest.dedup_stream(stream, ["event_id"], "ts", "40 days"), f"{root}/out", f"{root}/checkpoint",
-                            STATE_PARTITIONS)
+    ingest.append_available(ingest.dedup_stream(stream, ["event_id"], "ts", "40 days"), f"{root}/out", f"{root}/checkpoint")
     return spark.read.parquet(f"{root}/out").select("event_id", "user_id", "event_type", "value")
 
 
@@ -791,7 +840,7 @@ def stream_windowed_revenue(spark, d):
     stream = _table_stream(spark, d, "events")
     timed = stream.withColumn("ts", F.col("ts").cast("timestamp"))
     totals = ingest.windowed_revenue(timed, "ts", "value", ["event_type"])
-    ingest.replace_with_totals(totals, f"{root}/out", f"{root}/checkpoint", STATE_PARTITIONS)
+    ingest.replace_with_totals(totals, f"{root}/out", f"{root}/checkpoint")
     return plain(spark.read.parquet(f"{root}/out").select(
         F.date_format("window.start", "yyyy-MM-dd").alias("day"), "event_type", "total_revenue", "transaction_count"))
 
@@ -806,7 +855,7 @@ def _refreshed(spark: SparkSession, d: str) -> str:
         for era in eras:
             rows.filter(era).write.mode("append").parquet(f"{root}/landing")
             stream = ingest.stream_parquet(spark, f"{root}/landing", rows.schema)
-            refresh.refresh_available(stream, root, f"{root}/checkpoint", RULES, WRITE_TASKS)
+            refresh.refresh_available(stream, root, f"{root}/checkpoint", RULES)
         return root
 
     return _once(spark, d, "refreshed", build)

@@ -8,8 +8,10 @@ from datetime import datetime, timezone
 from pyspark.sql import SparkSession
 
 from salesflow.plans import jobs
+from salesflow.rules import CleansingRules
 from salesflow.sinks import files, warehouse
 from salesflow.sources import landing, synthetic
+from salesflow.streaming import ingest, refresh
 
 
 def parser() -> argparse.ArgumentParser:
@@ -27,7 +29,11 @@ def parser() -> argparse.ArgumentParser:
     curate = job.add_parser("curate", help="cleansed zone to the fact and the KPIs")
     curate.add_argument("--cleansed", required=True)
     curate.add_argument("--curated", required=True)
-    curate.add_argument("--write-tasks", type=int)
+    curate.add_argument("--full", action="store_true", help="replace the whole fact instead of merging touched days")
+    refreshed = job.add_parser("refresh", help="landing rows that are new since the last call into the curated zone")
+    refreshed.add_argument("--landing", required=True)
+    refreshed.add_argument("--curated", required=True)
+    refreshed.add_argument("--checkpoint", required=True)
     load = job.add_parser("load", help="curated zone to the warehouse tables and views")
     load.add_argument("--curated", required=True)
     load.add_argument("--database", default="sales_dw")
@@ -38,20 +44,24 @@ def parser() -> argparse.ArgumentParser:
 def main(arguments: list[str] | None = None) -> None:
     args = parser().parse_args(arguments)
     spark = SparkSession.builder.appName(f"salesflow-{args.job}").getOrCreate()
+    spark.conf.set("spark.sql.session.timeZone", "UTC")
     now = datetime.now(timezone.utc)
-    run_ts = jobs.run_timestamp(now.strftime("%Y-%m-%d %H:%M:%S"))
+    run_ts = jobs.run_timestamp(now.strftime("%Y-%m-%d %H:%M:%S+00:00"))
     if args.job == "generate":
         files.write_csv(synthetic.generate_sales(spark, args.rows, args.seed), args.landing)
     elif args.job == "cleanse":
-        raw = landing.read_landing_csv(spark, args.landing, multi_line=args.multi_line)
-        checked = jobs.cleanse(spark, raw, args.cleansed, run_ts=run_ts, table=args.table)
+        raw = landing.with_arrival(landing.read_landing_csv(spark, args.landing, multi_line=args.multi_line))
+        rules = CleansingRules(first_by=landing.ARRIVAL)
+        checked = jobs.cleanse(spark, raw, args.cleansed, rules, run_ts=run_ts, table=args.table)
         jobs.step_drops(jobs.quality_funnel(checked)).show(truncate=False)
     elif args.job == "curate":
         zone = landing.read_cleansed(spark, args.cleansed)
-        made = jobs.curate(spark, zone, args.curated, run_ts, write_tasks=args.write_tasks)
+        made = jobs.curate(spark, zone, args.curated, run_ts, full=args.full)
         for name, excerpt in jobs.console_summary(made).items():
             print(name)
             excerpt.show(truncate=False)
+    elif args.job == "refresh":
+        refresh.refresh_available(ingest.stream_landing_csv(spark, args.landing), args.curated, args.checkpoint)
     else:
         load_id = now.strftime("%Y%m%dT%H%M%S")
         jobs.load(spark, args.curated, args.database, args.warehouse, load_id).show(truncate=False)

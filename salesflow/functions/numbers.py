@@ -55,17 +55,21 @@ def _finite(value: Column, kind: T.DataType) -> Column:
     if isinstance(kind, T.StructType) and _has_float(kind):
         fields = [_finite(value[f.name], f.dataType).alias(f.name) for f in kind.fields]
         return F.when(value.isNotNull(), F.struct(*fields))
+    if isinstance(kind, T.MapType) and _has_float(kind):
+        return F.transform_values(value, lambda _, item: _finite(item, kind.valueType))
     return value
 
 
 def _has_float(kind: T.DataType) -> bool:
     if isinstance(kind, T.ArrayType):
         return _has_float(kind.elementType)
+    if isinstance(kind, T.MapType):
+        return _has_float(kind.valueType)
     if isinstance(kind, T.StructType):
         return any(_has_float(f.dataType) for f in kind.fields)
     return isinstance(kind, (T.DoubleType, T.FloatType))
 
 
 def nan_to_null(df: DataFrame) -> DataFrame:
-    """Replace NaN and infinities by NULL in every float, also inside arrays and structs."""
-    return df.select(*[_finite(F.col(f.name), f.dataType).alias(f.name) for f in df.schema.fields])
+    """Replace NaN and infinities by NULL in every float, also inside arrays, structs and map values."""
+    return df.select(*[_finite(F.col(f"`{f.name}`"), f.dataType).alias(f.name) for f in df.schema.fields])

@@ -11,7 +11,7 @@ from pyspark.sql import Window
 
 from salesflow.functions.numbers import ratio_half_up
 from salesflow.functions.parsing import to_moment, to_number
-from salesflow.operators.dedup import first_per_key
+from salesflow.operators.dedup import dropped_copies, first_per_key
 from salesflow.rules import CONTRACT_COLUMNS, KEY, MONEY, UNKNOWN, CleansingRules
 
 # Reasons in the order the rules are applied.
@@ -102,22 +102,47 @@ def stamp_audit(df: DataFrame, rules: CleansingRules = CleansingRules(), run_ts:
 def classify(df: DataFrame, rules: CleansingRules = CleansingRules()) -> DataFrame:
     """One row per transaction with ``copies`` and the first rule it breaks, or ``ok``.
 
-    ``copies`` is how many input rows the transaction had; rows without a key are
-    one row with reason ``pk_null``. The single shuffle on the key yields the clean
-    rows, the rejects and every number of the funnel.
+    ``copies`` is how many input rows the transaction had. Rows without a key are
+    no copies of each other: each stays, with reason ``pk_null``, past the shuffle.
+    The single shuffle on the key yields the clean rows, the rejects and every
+    number of the funnel.
     """
-    first_by = list(rules.first_by)
-    if rules.prefer_valid_copy:
-        valid = amount_is_valid(rules) & F.col("timestamp").isNotNull()
-        df = df.withColumn("_invalid", (~valid).cast("int"))
-        first_by = ["_invalid", *first_by]
+    df, first_by = _ordered_copies(df, rules)
+    first = first_per_key(with_key(df), KEY, first_by)
+    keyless = df.filter(F.col(KEY).isNull()).withColumn("copies", F.lit(1).cast("bigint"))
     reason = (
         F.when(F.col(KEY).isNull(), PK_NULL)
         .when(~amount_is_valid(rules), AMOUNT_INVALID)
         .when(F.col("timestamp").isNull(), TIMESTAMP_NULL)
         .otherwise(OK)
     )
-    return first_per_key(df, KEY, first_by).withColumn("reason", reason).drop("_invalid")
+    return first.unionByName(keyless).withColumn("reason", reason).drop("_invalid")
+
+
+def _ordered_copies(df: DataFrame, rules: CleansingRules) -> tuple[DataFrame, list[str]]:
+    """The rows and the columns that say which copy of a transaction comes first."""
+    if not rules.prefer_valid_copy:
+        return df, list(rules.first_by)
+    valid = amount_is_valid(rules) & F.col("timestamp").isNotNull()
+    return df.withColumn("_invalid", (~valid).cast("int")), ["_invalid", *rules.first_by]
+
+
+def replaced_copies(df: DataFrame, rules: CleansingRules = CleansingRules()) -> DataFrame:
+    """The rows that ``classify`` folds into a first copy, equal ones once with ``copies``."""
+    df, first_by = _ordered_copies(df, rules)
+    return dropped_copies(df, KEY, first_by).drop("_invalid")
+
+
+def standardise_kept(checked: DataFrame, rules: CleansingRules = CleansingRules()) -> DataFrame:
+    """``standardise`` for rows that passed; rejects keep their values, and their ``raw_`` text, which kept rows lose.
+
+    Only an amount that the money type cannot hold is NULL in a reject; its text remains.
+    """
+    kept = F.col("reason") == OK
+    after = standardise(checked.withColumns({f"_before_{c}": F.col(c) for c in ("product_category", "region", "customer_id")}), rules)
+    after = after.withColumns({c: F.when(kept, F.col(c)).otherwise(F.col(f"_before_{c}")) for c in ("product_category", "region", "customer_id")})
+    raw = {c: F.when(~kept, F.col(c)) for c in checked.columns if c.startswith("raw_")}
+    return after.withColumns(raw).select(*checked.columns)
 
 
 def clean_rows(checked: DataFrame) -> DataFrame:
@@ -126,7 +151,8 @@ def clean_rows(checked: DataFrame) -> DataFrame:
 
 
 def quality_counts(checked: DataFrame) -> DataFrame:
-    """The funnel as one row of counts."""
+    """The funnel as one row of counts. Rows listed as duplicates are part of their first copy's ``copies``."""
+    checked = checked.filter(F.col("reason") != DUPLICATE)
     keyed = F.col("reason") != PK_NULL
 
     def total(value: Column) -> Column:

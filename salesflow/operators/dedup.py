@@ -11,15 +11,19 @@ from pyspark.sql import functions as F
 def first_per_key(df: DataFrame, key: str, first_by: Sequence[str] = ()) -> DataFrame:
     """The first row of each key, and ``copies``, the number of rows it stands for.
 
-    ``first_by`` orders the copies (NULLs first), then the remaining columns do.
+    ``first_by`` orders the copies (NULLs first), then the remaining columns do,
+    NULLs last, so that of otherwise equal copies the fuller one stays.
     The minimum of a struct is combined on the map side, so a key holding a third
     of all rows reaches the shuffle as one row per task. NULL keys form a single
     group of their own.
     """
     ordering = [c for c in first_by if c != key]
     ordering += [c for c in df.columns if c != key and c not in ordering]
+    flags = [F.col(f"`{c}`").isNull().alias(f"_null_{i}") for i, c in enumerate(ordering) if c not in first_by]
+    ranked = [F.col(f"`{c}`") for c in ordering[:len(ordering) - len(flags)]]
+    ranked += [part for flag, c in zip(flags, ordering[len(ranked):]) for part in (flag, F.col(f"`{c}`"))]
     grouped = df.groupBy(key).agg(
-        F.min(F.struct(*[F.col(f"`{c}`") for c in ordering])).alias("_first"),
+        F.min(F.struct(*ranked)).alias("_first"),
         F.count(F.lit(1)).alias("copies"),
     )
     kept = [F.col(key) if c == key else F.col("_first")[c].alias(c) for c in df.columns]

@@ -4,16 +4,17 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from salesflow.operators import kpis, profile
 from salesflow.operators.cleanse import (
-    classify, quality_counts, quality_funnel, stamp_audit, standardise, step_drops, typed_projection,
+    DUPLICATE, classify, quality_counts, quality_funnel, replaced_copies, stamp_audit, standardise_kept, step_drops, typed_projection,
 )
-from salesflow.rules import CLEANSED_COLUMNS, CleansingRules
+from salesflow.rules import CLEANSED_COLUMNS, KEY, CleansingRules
 from salesflow.sinks import catalog, files, warehouse
-from salesflow.sources.landing import apply_contract, read_cleansed, read_fact
+from salesflow.sources.landing import ARRIVAL, apply_contract, read_cleansed, read_fact
 
 # KPI directory names.
 KPI_CATEGORY, KPI_MONTHLY, KPI_REGIONS = "revenue_per_category", "monthly_sales_growth", "top_regions_by_volume"
@@ -24,7 +25,10 @@ class EmptyResultError(ValueError):
 
 
 def run_timestamp(text: str | None = None) -> Column:
-    """One moment for a whole run. Take it once on the driver and pass it to every step."""
+    """One moment for a whole run. Take it once on the driver and pass it to every step.
+
+    Text without a zone is read in the session's zone.
+    """
     return F.current_timestamp() if text is None else F.lit(text).cast("timestamp")
 
 
@@ -34,11 +38,18 @@ def cleanse(
 ) -> DataFrame:
     """Type, classify, standardise and write the cleansed zone; returns the classified zone.
 
-    One scan, one shuffle, one write. Clean rows, rejects and the funnel are read
-    back from what was written, and the catalog table points at the clean directory.
+    Clean rows, rejects and the funnel are read back from what was written, and
+    the catalog table points at the clean directory. Every input row is in the
+    zone: rejects as they came, with amount and timestamp also as text in
+    ``raw_amount`` and ``raw_timestamp``, and the copies that a first one replaces
+    under ``reason=duplicate``, equal ones folded with their number in ``copies``.
     """
-    checked = classify(typed_projection(apply_contract(source), rules), rules)
-    files.write_classified(stamp_audit(standardise(checked, rules), rules, run_ts), path)
+    contract = apply_contract(source).withColumns({f"raw_{c}": F.col(c).cast("string") for c in ("amount", "timestamp")})
+    typed = typed_projection(contract, rules)
+    checked = classify(typed, rules)
+    copies = replaced_copies(typed, rules).withColumn("reason", F.lit(DUPLICATE))
+    rows = standardise_kept(checked.unionByName(copies), rules).drop(*ARRIVAL)
+    files.write_classified(stamp_audit(rows, rules, run_ts), path)
     if table:
         catalog.register_files(spark, table, f"{path}/reason=ok", CLEANSED_COLUMNS)
     return spark.read.parquet(path)
@@ -46,20 +57,44 @@ def cleanse(
 
 def curate(
     spark: SparkSession, cleansed: DataFrame, root: str,
-    run_ts: Column | None = None, *, replace_days_only: bool = False, write_tasks: int | None = None,
+    run_ts: Column | None = None, *, full: bool = False,
 ) -> dict[str, DataFrame]:
-    """Write the partitioned fact, then the KPIs from one pass over the written fact.
+    """Merge the cleansed rows into the partitioned fact, then compute the KPIs from the whole fact.
 
-    The monthly rollup is written too: all three KPIs read it instead of
+    Days that the rows touch are written anew, stored rows of theirs included
+    unless a new row has their key; all other days stay. ``full`` replaces the
+    whole fact instead. The monthly rollup is written too: all three KPIs read it instead of
     scanning the fact three times.
     """
     dated = kpis.add_date_parts(cleansed)
-    files.write_fact(dated, f"{root}/sales", replace_days_only=replace_days_only, tasks=write_tasks)
+    before = None if full else _fact_so_far(spark, f"{root}/sales")
+    if before is None:
+        files.write_fact(dated, f"{root}/sales")
+    else:
+        _merged_days(dated, before).write.mode("overwrite").parquet(f"{root}/merged_days")  # a path is never overwritten by a plan that reads it
+        files.write_fact(spark.read.parquet(f"{root}/merged_days"), f"{root}/sales", replace_days_only=True)
     fact = read_fact(spark, f"{root}/sales")
     kpis.monthly_rollup(kpis.measure_form(fact)).write.mode("overwrite").parquet(f"{root}/rollup")
     return write_kpis(spark, spark.read.parquet(f"{root}/rollup"), root, run_ts)
 
 
+def _fact_so_far(spark: SparkSession, path: str) -> DataFrame | None:
+    """The stored fact, or None before its first write."""
+    try:
+        return read_fact(spark, path)
+    except AnalysisException as problem:
+        if problem.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            return None
+        raise
+
+
+def _merged_days(new: DataFrame, before: DataFrame) -> DataFrame:
+    """All rows of the days that ``new`` touches: the new ones, and stored ones without a new version in their day."""
+    days = list(files.FACT_PARTITIONS)
+    touched = before.join(new.select(*days).distinct(), days, "left_semi")
+    return new.unionByName(touched.join(new.select(KEY, *days), [KEY, *days], "left_anti").select(*new.columns))
+
+
 def write_kpis(spark: SparkSession, measures: DataFrame, root: str, run_ts: Column | None = None) -> dict[str, DataFrame]:
     """Compute and write the three KPIs, and read them back."""
     made = {
@@ -76,13 +111,13 @@ def load(
     spark: SparkSession, root: str, database: str, warehouse_root: str, load_id: str, *, raise_on_failure: bool = True,
 ) -> DataFrame:
     """Load the curated fact and KPIs into the warehouse tables."""
-    frames = {warehouse.FACT_SALES.name: read_fact(spark, f"{root}/sales")}
+    frames = {warehouse.FACT_SALES.name: lambda: read_fact(spark, f"{root}/sales")}
     for spec, name in (
         (warehouse.KPI_CATEGORY, KPI_CATEGORY),
         (warehouse.KPI_MONTHLY, KPI_MONTHLY),
         (warehouse.KPI_REGIONS, KPI_REGIONS),
     ):
-        frames[spec.name] = spark.read.parquet(f"{root}/kpis/{name}")
+        frames[spec.name] = lambda name=name: spark.read.parquet(f"{root}/kpis/{name}")
     return warehouse.load_all(spark, frames, database, warehouse_root, load_id, raise_on_failure=raise_on_failure)
 
 
@@ -117,8 +152,7 @@ class Report:
 def run(
     spark: SparkSession, source: DataFrame, root: str,
     rules: CleansingRules = CleansingRules(), run_ts: Column | None = None,
-    *, on_missing: str = "add_null", limit: int | None = None, preview_rows: int = 100,
-    write_tasks: int | None = None,
+    *, on_missing: str = "add_null", preview_rows: int = 100,
 ) -> Report:
     """Contract, cleanse, curate and report, from any source frame.
 
@@ -126,14 +160,12 @@ def run(
     after cleansing wrote its zone.
     """
     source = apply_contract(source, on_missing)
-    if limit is not None:
-        source = source.limit(limit)
     checked = cleanse(spark, source, f"{root}/cleansed", rules, run_ts)
     stats = quality_counts(checked)
     if stats.first()["final"] == 0:
         raise EmptyResultError("no records remained after cleansing")
     cleansed = read_cleansed(spark, f"{root}/cleansed")
-    made = curate(spark, cleansed, f"{root}/curated", run_ts, write_tasks=write_tasks)
+    made = curate(spark, cleansed, f"{root}/curated", run_ts, full=True)
     fact = read_fact(spark, f"{root}/curated/sales")
     preview = profile.format_preview(profile.head(fact, preview_rows, ["timestamp", "transaction_id"]))
     return Report(step_drops(quality_funnel(checked)), stats, profile.run_summary(fact), made, preview)

@@ -16,8 +16,11 @@ def register_files(spark: SparkSession, table: str, path: str, columns: Sequence
     """Create or refresh a table over Parquet files already written; the data is not written again.
 
     ``columns`` limits what the table shows. New columns in the files are added to
-    an existing table, and partitions are recovered.
+    an existing table, and partitions are recovered. A table over another path is
+    made anew over this one; its files stay.
     """
+    if spark.catalog.tableExists(table) and _plain_path(_location(spark, table)) != _plain_path(path):
+        spark.sql(f"DROP TABLE {table}")
     found = spark.read.parquet(path)
     if columns:
         found = found.select(*columns)
@@ -33,6 +36,16 @@ def register_files(spark: SparkSession, table: str, path: str, columns: Sequence
     spark.catalog.refreshTable(table)
 
 
+def _location(spark: SparkSession, table: str) -> str:
+    row = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").filter("col_name = 'Location'").first()
+    return row["data_type"] if row else ""
+
+
+def _plain_path(path: str) -> str:
+    """A path without the ways to write the local file scheme and a trailing slash."""
+    return "/" + path.removeprefix("file:").strip("/") if path.startswith(("/", "file:")) else path.rstrip("/")
+
+
 def list_tables(spark: SparkSession, database: str) -> DataFrame:
     """Tables and views of a database by name."""
     return spark.sql(f"SHOW TABLES IN {database}").filter("NOT isTemporary").select("tableName", "namespace").orderBy("tableName")

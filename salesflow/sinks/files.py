@@ -16,37 +16,37 @@ FACT_PARTITIONS = ("year", "month", "day")
 def write_classified(checked: DataFrame, path: str) -> None:
     """Classified rows in one write, a directory per reason; ``reason=ok`` is the cleansed zone.
 
-    No repartitioning: the dedup shuffle already spread the rows, and adaptive
-    execution sizes the partitions it writes.
+    Kept rows stay where the dedup shuffle put them; the few rejects are brought
+    together by reason, so that not every task writes a small file for each.
     """
-    checked.write.mode("overwrite").partitionBy("reason").parquet(path)
+    kept = checked.filter(F.col("reason") == "ok")
+    rejects = checked.filter(F.col("reason") != "ok").hint("rebalance", F.col("reason"))
+    kept.unionByName(rejects).write.mode("overwrite").partitionBy("reason").parquet(path)
 
 
-def _by_day(fact: DataFrame, tasks: int | None) -> DataFrame:
+def _by_day(fact: DataFrame) -> DataFrame:
     """Rows of a day together, ready to be written.
 
-    By default adaptive execution balances bytes: small days share a task, and a
-    day too big for one task is split over several. ``tasks`` fixes the number of
-    tasks instead, for a small fact with many days, where opening files is the cost.
+    Adaptive execution balances bytes: small days share a task, and a day too big
+    for one task is split over several.
     """
-    columns = [F.col(c) for c in FACT_PARTITIONS]
-    return fact.repartition(tasks, *columns) if tasks else fact.hint("rebalance", *columns)
+    return fact.hint("rebalance", *[F.col(c) for c in FACT_PARTITIONS])
 
 
-def write_fact(fact: DataFrame, path: str, *, replace_days_only: bool = False, tasks: int | None = None) -> None:
+def write_fact(fact: DataFrame, path: str, *, replace_days_only: bool = False) -> None:
     """Fact rows by year, month and day.
 
     ``replace_days_only`` overwrites the days present in ``fact`` and leaves all
     others as they are.
     """
     mode = "dynamic" if replace_days_only else "static"
-    writer = _by_day(fact, tasks).write.mode("overwrite").option("partitionOverwriteMode", mode)
+    writer = _by_day(fact).write.mode("overwrite").option("partitionOverwriteMode", mode)
     writer.partitionBy(*FACT_PARTITIONS).parquet(path)
 
 
-def append_fact(fact: DataFrame, path: str, *, tasks: int | None = None) -> None:
+def append_fact(fact: DataFrame, path: str) -> None:
     """Add rows to their days without touching what is there."""
-    _by_day(fact, tasks).write.mode("append").partitionBy(*FACT_PARTITIONS).parquet(path)
+    _by_day(fact).write.mode("append").partitionBy(*FACT_PARTITIONS).parquet(path)
 
 
 def write_small(df: DataFrame, path: str) -> None:
@@ -80,7 +80,7 @@ def rewrite_days(spark: SparkSession, path: str, staging: str, days: DataFrame,
     """
     chosen = spark.read.parquet(path).join(days.select(*FACT_PARTITIONS).distinct(), list(FACT_PARTITIONS), "left_semi")
     write_fact(chosen, staging)
-    ordered = _by_day(spark.read.parquet(staging), None).sortWithinPartitions(*FACT_PARTITIONS, *sort_by)
+    ordered = _by_day(spark.read.parquet(staging)).sortWithinPartitions(*FACT_PARTITIONS, *sort_by)
     writer = ordered.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
     writer.partitionBy(*FACT_PARTITIONS).parquet(path)
 

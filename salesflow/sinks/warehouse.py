@@ -8,7 +8,7 @@ load leaves the table as it was.
 from __future__ import annotations
 
 import re
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -180,19 +180,20 @@ class LoadError(RuntimeError):
 
 def load_all(
     spark: SparkSession,
-    frames: Mapping[str, DataFrame],
+    frames: Mapping[str, DataFrame | Callable[[], DataFrame]],
     database: str,
     root: str,
     load_id: str,
     *,
     raise_on_failure: bool = True,
 ) -> DataFrame:
-    """Load every table; a failure is recorded, the rest still load, and the failures are raised at the end."""
+    """Load every table from a frame or a function that opens it; a failure is recorded, the rest still load, and the failures are raised at the end."""
     ensure_database(spark, database)
     outcome = []
     for spec in TABLES:
         try:
-            rows = load_table(spark, frames[spec.name], spec, database, root, load_id)
+            frame = frames[spec.name]
+            rows = load_table(spark, frame() if callable(frame) else frame, spec, database, root, load_id)
             outcome.append((spec.name, "SUCCESS", rows, None))
         except Exception as problem:  # any failure of one table must not stop the others
             outcome.append((spec.name, "FAILED", None, str(problem).splitlines()[0]))

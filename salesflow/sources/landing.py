@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import replace
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,8 +11,12 @@ from pyspark.sql import types as T
 
 from salesflow.operators.cleanse import add_missing_columns, clean_rows, fill_blank_ids, typed_projection
 from salesflow.rules import CLEANSED_COLUMNS, CONTRACT_COLUMNS, TEXT_SCHEMA, TYPED_SCHEMA, CleansingRules
+from salesflow.sinks.scratch import scratch_path
 
 CORRUPT = "_corrupt_record"
+ARRIVAL = ("_arrival_file", "_arrival_block", "_arrival_row")
+# ISO 8601 forms read beside the landing format.
+ISO_FORMATS = ("yyyy-MM-dd'T'HH:mm:ss", "yyyy-MM-dd'T'HH:mm:ss.SSS", "yyyy-MM-dd'T'HH:mm:ssXXX", "yyyy-MM-dd'T'HH:mm:ss.SSSXXX", "yyyy-MM-dd")
 
 
 class ContractError(ValueError):
@@ -32,8 +37,12 @@ def read_landing_csv(
     read instead of shifting values. Rows of the wrong length are padded or
     trimmed; ``keep_corrupt`` adds the raw line of each such row as
     ``_corrupt_record``. ``multi_line`` allows quoted line breaks but makes every
-    file one task, so it is off unless asked for.
+    file one task, so it is off unless asked for; without it, files that hold such
+    a break fail the read (one more scan of the text looks for them) unless
+    malformed rows are kept apart.
     """
+    if not multi_line and not keep_corrupt and not open_quotes(spark, path).isEmpty():
+        raise ContractError("a quoted value holds a line break: read with multi_line, or keep_corrupt to set such rows apart")
     schema = T.StructType([T.StructField(c, T.StringType()) for c in columns or csv_header(spark, path)])
     if keep_corrupt:
         schema = schema.add(CORRUPT, T.StringType())
@@ -49,6 +58,22 @@ def read_landing_csv(
     )
 
 
+def open_quotes(spark: SparkSession, path: str) -> DataFrame:
+    """Lines with an odd number of quotes: a quoted value is cut there."""
+    quotes = F.length("value") - F.length(F.replace(F.col("value"), F.lit('"'), F.lit("")))
+    return spark.read.text(path).filter(quotes % 2 == 1)
+
+
+def with_arrival(df: DataFrame) -> DataFrame:
+    """Rows of files with ARRIVAL: file, block and row number, which order them as they stand in the files."""
+    return df.withColumns({ARRIVAL[0]: F.col("_metadata.file_path"), ARRIVAL[1]: F.col("_metadata.file_block_start"), ARRIVAL[2]: F.monotonically_increasing_id()})
+
+
+def with_iso_times(rules: CleansingRules) -> CleansingRules:
+    """Rules that also read ISO 8601 timestamps, as uploads and records carry them."""
+    return replace(rules, timestamp_formats=(*rules.timestamp_formats, *ISO_FORMATS))
+
+
 def csv_header(spark: SparkSession, path: str) -> list[str]:
     """Column names of a CSV dataset; reads one line."""
     return spark.read.option("header", True).option("inferSchema", False).option("escape", '"').csv(path).columns
@@ -77,52 +102,37 @@ def read_uploaded_csv(
     path: str,
     rules: CleansingRules = CleansingRules(),
     on_missing: str = "fail",
-    limit: int | None = None,
     multi_line: bool = False,
 ) -> DataFrame:
     """A CSV whose header decides the column order: contract check, then typing."""
     raw = read_landing_csv(spark, path, multi_line=multi_line)
-    if limit is not None:
-        raw = raw.limit(limit)
-    return typed_projection(apply_contract(raw, on_missing).select(*CONTRACT_COLUMNS), rules)
+    return typed_projection(apply_contract(raw, on_missing).select(*CONTRACT_COLUMNS), with_iso_times(rules))
 
 
-def parse_csv_lines(lines: DataFrame, columns: Sequence[str] = CONTRACT_COLUMNS, header: bool = True) -> DataFrame:
-    """CSV text held in a ``value`` column, one record per row, parsed where it lies."""
+def parse_csv_lines(lines: DataFrame, columns: Sequence[str] = CONTRACT_COLUMNS) -> DataFrame:
+    """CSV records without a header held in a ``value`` column, one per row, parsed where they lie."""
     schema = ", ".join(f"`{c}` string" for c in columns)
-    if header:
-        lines = lines.filter(F.col("value") != ",".join(columns))
     parsed = F.from_csv(F.col("value"), F.lit(schema), {"escape": '"', "mode": "PERMISSIVE"})
     return lines.select(parsed.alias("row")).select("row.*")
 
 
-def payload_lines(spark: SparkSession, text: str) -> DataFrame:
-    """CSV text the caller holds, such as a request body, one record per row.
+def read_csv_payload(spark: SparkSession, path: str, rules: CleansingRules = CleansingRules()) -> DataFrame:
+    """Stored CSV payloads, each file with a header in any order, typed; absent contract columns are NULL.
 
-    Quoted line breaks stay inside their record.
+    The header is the first line wherever it stands in quotes or after blanks, and quoted line breaks stay inside their record.
     """
-    records, current = [], None
-    for line in text.splitlines():
-        current = line if current is None else f"{current}\n{line}"
-        if current.count('"') % 2 == 0:
-            records.append((current,))
-            current = None
-    if current is not None:
-        records.append((current,))
-    return spark.createDataFrame(records, "value string")
-
-
-def read_csv_text(
-    spark: SparkSession, text: str, rules: CleansingRules = CleansingRules(), limit: int | None = None,
-) -> DataFrame:
-    """CSV text with a header in any order, typed; absent contract columns are NULL."""
+    raw = spark.read.option("header", True).option("multiLine", True).option("escape", '"').option("ignoreLeadingWhiteSpace", True).csv(path)
+    named = raw.toDF(*[c.strip().strip('"') for c in raw.columns])
+    return typed_projection(apply_contract(named, "add_null").select(*CONTRACT_COLUMNS), with_iso_times(rules))
+
+
+def read_csv_text(spark: SparkSession, text: str, rules: CleansingRules = CleansingRules()) -> DataFrame:
+    """CSV text the caller holds, such as a request body: stored as one payload, then read by Spark."""
     if not text.strip():
         raise ContractError("no rows provided")
-    columns = [c.strip().strip('"') for c in text.splitlines()[0].split(",")]
-    raw = parse_csv_lines(payload_lines(spark, text), columns)
-    if limit is not None:
-        raw = raw.limit(limit)
-    return typed_projection(apply_contract(raw, "add_null").select(*CONTRACT_COLUMNS), rules)
+    path = scratch_path(spark, "payload")
+    spark.createDataFrame([(text.lstrip("\r\n"),)], "value string").coalesce(1).write.text(path)
+    return read_csv_payload(spark, path, rules)
 
 
 def from_records(
@@ -134,12 +144,12 @@ def from_records(
 ) -> DataFrame:
     """Record rows (JSON, manual entry) as typed rows.
 
-    ``default_ts`` replaces timestamps that are absent or do not parse;
+    Timestamps may also be ISO 8601. ``default_ts`` replaces those that are absent or do not parse;
     ``fill_ids`` gives blank transaction ids a fresh UUID.
     """
     if fill_ids:
         df = fill_blank_ids(df)
-    typed = typed_projection(apply_contract(df, "add_null"), rules)
+    typed = typed_projection(apply_contract(df, "add_null"), with_iso_times(rules))
     if default_ts is not None:
         typed = typed.withColumn("timestamp", F.coalesce("timestamp", default_ts))
     return typed
@@ -173,10 +183,9 @@ def read_fact(spark: SparkSession, path: str, *, merge_schema: bool = False) ->
     return spark.read.option("mergeSchema", merge_schema).parquet(path)
 
 
-def discover_csv_schema(spark: SparkSession, path: str, sampling_ratio: float = 1.0) -> T.StructType:
-    """Types inferred from a landing CSV, header names included."""
-    reader = spark.read.option("header", True).option("inferSchema", True).option("escape", '"')
-    return reader.option("samplingRatio", sampling_ratio).csv(path).schema
+def discover_csv_schema(spark: SparkSession, path: str) -> T.StructType:
+    """Types inferred from all rows of a landing CSV, header names included."""
+    return spark.read.option("header", True).option("inferSchema", True).option("escape", '"').csv(path).schema
 
 
 def compare_with_contract(spark: SparkSession, found: T.StructType) -> DataFrame:

@@ -42,11 +42,15 @@ def clean_stream(stream: DataFrame, rules: CleansingRules = CleansingRules()) ->
 
 
 def dedup_stream(stream: DataFrame, keys: Sequence[str], event_time: str, delay: str) -> DataFrame:
-    """First arrival per key among rows no more than ``delay`` apart.
+    """First arrival per key among rows no more than ``delay`` apart; rows with a NULL key are no copies and all stay.
 
     State is dropped once the watermark passes it, so it does not grow without bound.
     """
-    return stream.withWatermark(event_time, delay).dropDuplicatesWithinWatermark(list(keys))
+    keyed = F.lit(True)
+    for key in keys:
+        keyed = keyed & F.col(key).isNotNull()
+    timed = stream.withWatermark(event_time, delay)
+    return timed.filter(keyed).dropDuplicatesWithinWatermark(list(keys)).union(timed.filter(~keyed))
 
 
 def windowed_revenue(
@@ -60,33 +64,25 @@ def windowed_revenue(
     )
 
 
-def _run_available(spark: SparkSession, writer: DataStreamWriter, checkpoint: str, state_partitions: int | None) -> None:
+def _run_available(writer: DataStreamWriter, checkpoint: str) -> None:
     """Process the input present now and return.
 
-    The number of state partitions is fixed when a checkpoint is first used, so
-    it is chosen per stream from the size of its state, not left at the session's.
+    A new checkpoint fixes the number of state partitions at the session's
+    ``spark.sql.shuffle.partitions``.
     """
-    setting = "spark.sql.shuffle.partitions"
-    before = spark.conf.get(setting)
-    if state_partitions:
-        spark.conf.set(setting, state_partitions)
-    try:
-        query = writer.option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
-    finally:
-        spark.conf.set(setting, before)
-    query.awaitTermination()
-
-
-def append_available(stream: DataFrame, path: str, checkpoint: str, state_partitions: int | None = None) -> None:
+    writer.option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
+
+
+def append_available(stream: DataFrame, path: str, checkpoint: str) -> None:
     """Process what is there now into Parquet, exactly once per input file."""
     writer = stream.writeStream.format("parquet").outputMode("append").option("path", path)
-    _run_available(stream.sparkSession, writer, checkpoint, state_partitions)
+    _run_available(writer, checkpoint)
 
 
-def replace_with_totals(totals: DataFrame, path: str, checkpoint: str, state_partitions: int | None = None) -> None:
+def replace_with_totals(totals: DataFrame, path: str, checkpoint: str) -> None:
     """Process what is there now and write the complete totals, replacing those of earlier batches."""
     def write(batch: DataFrame, batch_id: int) -> None:
         batch.write.mode("overwrite").parquet(path)
 
     writer = totals.writeStream.outputMode("complete").foreachBatch(write)
-    _run_available(totals.sparkSession, writer, checkpoint, state_partitions)
+    _run_available(writer, checkpoint)

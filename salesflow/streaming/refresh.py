@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from salesflow.operators import kpis
-from salesflow.operators.cleanse import PK_NULL, classify, clean_rows, stamp_audit, standardise, typed_projection
+from salesflow.operators.cleanse import OK, PK_NULL, classify, clean_rows, stamp_audit, standardise, typed_projection
 from salesflow.operators.dedup import unseen_keys
 from salesflow.plans.jobs import write_kpis
 from salesflow.rules import CLEANSED_COLUMNS, KEY, CleansingRules
@@ -41,7 +41,7 @@ def _in_months(df: DataFrame, months: DataFrame) -> DataFrame:
 
 
 def apply_batch(
-    batch: DataFrame, batch_id: int, root: str, rules: CleansingRules = CleansingRules(), write_tasks: int | None = None,
+    batch: DataFrame, batch_id: int, root: str, rules: CleansingRules = CleansingRules()
 ) -> None:
     """Fold one batch of landing rows into the curated zone below ``root``."""
     spark = batch.sparkSession
@@ -50,13 +50,15 @@ def apply_batch(
 
     received = _stored(spark, received_path)
     replayed = _stored(spark, own_path) is not None
-    checked = standardise(classify(typed_projection(batch, rules), rules), rules).filter(F.col("reason") != PK_NULL)
+    checked = standardise(classify(typed_projection(batch, rules), rules), rules)
     if received is not None:
-        checked = unseen_keys(checked, received.filter(F.col("batch_id") < batch_id), KEY)
+        earlier = received.filter((F.col("batch_id") < batch_id) & (F.col("reason") != PK_NULL))
+        keyless = checked.filter(F.col("reason") == PK_NULL)  # no row without a key is a copy of another
+        checked = unseen_keys(checked.filter(F.col("reason") != PK_NULL), earlier, KEY).unionByName(keyless)
     stamp_audit(checked, rules).write.mode("overwrite").partitionBy("reason").parquet(own_path)
 
     own = _stored(spark, own_path)
-    if own is None:
+    if own is None or own.filter(F.col("reason") == OK).isEmpty():
         return
     fresh = kpis.add_date_parts(clean_rows(own).select(*CLEANSED_COLUMNS))
     touched = fresh.select("year", "month").distinct()
@@ -64,7 +66,7 @@ def apply_batch(
     to_append = fresh
     if replayed and fact is not None:
         to_append = unseen_keys(fresh, _in_months(fact, touched), KEY)
-    append_fact(to_append, fact_path, tasks=write_tasks)
+    append_fact(to_append, fact_path)
 
     fact = _stored(spark, fact_path)
     if fact is None:
@@ -78,11 +80,11 @@ def apply_batch(
 
 
 def refresh_available(
-    stream: DataFrame, root: str, checkpoint: str, rules: CleansingRules = CleansingRules(), write_tasks: int | None = None,
+    stream: DataFrame, root: str, checkpoint: str, rules: CleansingRules = CleansingRules()
 ) -> None:
     """Process the landing rows that arrived since the last call."""
     def fold(batch: DataFrame, batch_id: int) -> None:
-        apply_batch(batch, batch_id, root, rules, write_tasks)
+        apply_batch(batch, batch_id, root, rules)
 
     writer = stream.writeStream.foreachBatch(fold)
     query = writer.option("checkpointLocation", checkpoint).trigger(availableNow=True).start()

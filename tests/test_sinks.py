@@ -1,4 +1,5 @@
 import json
+from decimal import Decimal
 from pathlib import Path
 
 import pytest
@@ -39,11 +40,44 @@ def test_cleansed_zone(spark, curated):
         "_ingestion_ts", "_source_system", "_pipeline_version"]
     assert zone.count() == 594 and dict(zone.dtypes)["amount"] == "decimal(12,2)"
     assert zone.select("_ingestion_ts").distinct().count() == 1
-    assert checked.agg(F.sum("copies")).first()[0] == 603
+    assert checked.agg(F.sum("copies")).first()[0] == 606 and checked.filter("reason = 'duplicate'").agg(F.sum("copies")).first()[0] == 3
     plan = zone._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(reason" in plan
 
 
+def test_every_input_row_is_in_the_zone(spark, tmp_path):
+    rows = [("a", "c", "Books", "1", "2024-01-01 00:00:00", "us-east-1"), ("a", "c", "Books", "2", "2024-01-01 00:00:00", "us-east-1"),
+            (None, "x", "Gadgets", "abc", "2024-01-05T10:00:00", "nowhere"), (None, "y", None, "1e300", None, None), (None, "y", None, "1e300", None, None),
+            ("b", "c", "Gadgets", "0.5", "bad", "nowhere"), ("d", None, None, None, None, None), ("e", "c", "Books", "7", "bad", "eu-west-1")]
+    raw = spark.createDataFrame(rows, "transaction_id string, customer_id string, product_category string, amount string, timestamp string, region string")
+    zone = jobs.cleanse(spark, raw, str(tmp_path / "zone"))
+    rejects = zone.filter("reason <> 'ok'").collect()
+    back = [(r.transaction_id, r.customer_id, r.product_category, r.raw_amount, r.raw_timestamp, r.region) for r in rejects
+            for _ in range(r.copies if r.reason in ("duplicate", "pk_null") else 1)]
+    assert sorted(back, key=str) == sorted(rows[1:], key=str)
+    assert jobs.quality_funnel(zone).collect()[0].row_count == len(rows) and zone.filter("reason = 'ok'").count() == 1
+
+
+def test_table_follows_its_files(spark, tmp_path):
+    catalog.ensure_database(spark, "moved", str(tmp_path / "db"))
+    for name, n in (("one", 3), ("two", 5), ("two", 5)):
+        spark.range(n).write.mode("overwrite").parquet(str(tmp_path / name))
+        catalog.register_files(spark, "moved.t", str(tmp_path / name))
+        assert spark.table("moved.t").count() == n
+
+
+def test_curate_keeps_other_days_and_merges_late_rows(spark, tmp_path):
+    root = str(tmp_path / "curated")
+    columns = "transaction_id string, customer_id string, product_category string, amount decimal(12,2), moment string, region string"
+    make = lambda *rows: spark.createDataFrame([(k, "c", "Books", Decimal(a), m, "us-east-1") for k, a, m in rows], columns).withColumn("timestamp", F.col("moment").cast("timestamp")).drop("moment")
+    jobs.curate(spark, make(("a", 1, "2024-01-01"), ("b", 2, "2024-01-02")), root)
+    jobs.curate(spark, make(("c", 3, "2024-01-02"), ("d", 4, "2024-02-01")), root)
+    jobs.curate(spark, make(("c", 5, "2024-01-02")), root)
+    assert {(r.transaction_id, int(r.amount)) for r in landing.read_fact(spark, f"{root}/sales").collect()} == {("a", 1), ("b", 2), ("c", 5), ("d", 4)}
+    jobs.curate(spark, make(("z", 9, "2024-05-01")), root, full=True)
+    assert landing.read_fact(spark, f"{root}/sales").count() == 1
+
+
 def test_kpis_are_written_once_and_agree(spark, curated):
     _, _, made = curated
     total = {n: f.agg(F.sum("transaction_count")).first()[0] for n, f in made.items()}
@@ -77,7 +111,7 @@ def test_dynamic_overwrite_keeps_other_days(spark, tmp_path):
     assert sorted(r.transaction_id for r in landing.read_fact(spark, path).collect()) == ["a", "c"]
     files.append_fact(simple_fact(spark, ("d", 3.0, "2024-01-01")), path)
     assert sorted(r.transaction_id for r in landing.read_fact(spark, path).collect()) == ["a", "c", "d"]
-    files.write_fact(simple_fact(spark, ("e", 3.0, "2024-01-09")), path, tasks=2)
+    files.write_fact(simple_fact(spark, ("e", 3.0, "2024-01-09")), path)
     assert [r.transaction_id for r in landing.read_fact(spark, path).collect()] == ["e"]
 
 
@@ -122,8 +156,6 @@ def test_whole_run(spark, tmp_path):
     report = jobs.run(spark, source, str(tmp_path / "run"), preview_rows=3)
     assert report.summary.first().total_records == 4 and report.preview.count() == 3
     assert report.preview.first().timestamp == "2024-01-01 00:00:00"
-    limited = jobs.run(spark, source, str(tmp_path / "capped"), limit=2)
-    assert limited.stats.first().raw == 2
     with pytest.raises(jobs.EmptyResultError):
         jobs.run(spark, source.withColumn("amount", F.lit(0.5)), str(tmp_path / "empty"))
     with pytest.raises(landing.ContractError):
@@ -206,7 +238,7 @@ def test_command_line(spark, tmp_path, capsys):
     landing_dir, cleansed, curated_dir = (str(tmp_path / n) for n in ("landing", "cleansed", "curated"))
     main(["generate", "--rows", "40", "--landing", landing_dir])
     main(["cleanse", "--landing", landing_dir, "--cleansed", cleansed])
-    main(["curate", "--cleansed", cleansed, "--curated", curated_dir, "--write-tasks", "4"])
+    main(["curate", "--cleansed", cleansed, "--curated", curated_dir, "--full"])
     main(["load", "--curated", curated_dir, "--database", "dw_cli", "--warehouse", str(tmp_path / "dw")])
     assert spark.table("dw_cli.fact_sales").count() == 40
     assert "SUCCESS" in capsys.readouterr().out

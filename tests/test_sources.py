@@ -5,6 +5,8 @@ from pyspark.sql import functions as F
 
 from salesflow.operators import cleanse as ops
 from salesflow.rules import CATEGORIES, CATEGORY_WEIGHTS, CONTRACT_COLUMNS, REGIONS
+from salesflow.operators.cleanse import classify, typed_projection
+from salesflow.rules import CleansingRules
 from salesflow.sources import landing, synthetic
 
 HEADER = ",".join(CONTRACT_COLUMNS)
@@ -65,22 +67,41 @@ def test_upload_contract(spark, tmp_path):
     (tmp_path / "u.csv").write_text("amount,transaction_id\n5.5,t1\n6,t2\n7,t3\n")
     with pytest.raises(landing.ContractError, match="customer_id"):
         landing.read_uploaded_csv(spark, str(tmp_path / "u.csv"))
-    df = landing.read_uploaded_csv(spark, str(tmp_path / "u.csv"), on_missing="add_null", limit=2)
-    assert df.count() == 2 and df.columns == list(CONTRACT_COLUMNS)
+    df = landing.read_uploaded_csv(spark, str(tmp_path / "u.csv"), on_missing="add_null")
+    assert df.count() == 3 and df.columns == list(CONTRACT_COLUMNS)
     assert {r.region for r in df.collect()} == {None} and df.schema["amount"].dataType.simpleString() == "double"
 
 
 def test_csv_lines(spark):
-    lines = spark.createDataFrame([(HEADER,), ('t1,"a,b",Books,5,2024-01-01 00:00:00,eu-west-1',)], "value string")
+    lines = spark.createDataFrame([('t1,"a,b",Books,5,2024-01-01 00:00:00,eu-west-1',)], "value string")
     assert [tuple(r) for r in landing.parse_csv_lines(lines).collect()] == [
         ("t1", "a,b", "Books", "5", "2024-01-01 00:00:00", "eu-west-1")]
 
 
+def test_open_quotes_fail_the_read(spark, tmp_path):
+    (tmp_path / "m.csv").write_text(HEADER + '\nt1,"two\nlines",Books,1,2024-01-01 00:00:00,us-east-1\n')
+    with pytest.raises(landing.ContractError, match="line break"):
+        landing.read_landing_csv(spark, str(tmp_path / "m.csv"))
+
+
+def test_iso_times_and_arrival(spark, tmp_path):
+    for name, amount in (("a.csv", ""), ("b.csv", "7")):
+        (tmp_path / name).write_text(f"{HEADER}\nt1,c,Books,{amount},2024-01-05T10:00:00,us-east-1\n")
+    rows = landing.with_arrival(landing.read_landing_csv(spark, str(tmp_path)))
+    rules = CleansingRules(first_by=landing.ARRIVAL)
+    assert classify(typed_projection(rows, landing.with_iso_times(rules)), rules).collect()[0].reason == "amount_invalid"
+    assert classify(typed_projection(rows.drop(*landing.ARRIVAL), landing.with_iso_times(rules))).collect()[0].reason == "ok"
+    moment = F.lit("2020-01-01 00:00:00").cast("timestamp")
+    records = landing.records_from_rows(spark, [{"transaction_id": "1", "timestamp": "2024-01-05T10:00:00"}, {"transaction_id": "2", "timestamp": "2024-01-05"}, {"transaction_id": "3", "timestamp": "?"}])
+    assert [str(r.timestamp) for r in landing.from_records(records, default_ts=moment).orderBy("transaction_id").collect()] == ["2024-01-05 10:00:00", "2024-01-05 00:00:00", "2020-01-01 00:00:00"]
+
+
 def test_csv_text(spark):
     text = 'amount,transaction_id,customer_id\n5,t1,"two\nlines"\nx,t2,c\n6,t3,c\n'
     got = {r.transaction_id: (r.customer_id, r.amount, r.region) for r in landing.read_csv_text(spark, text).collect()}
     assert got == {"t1": ("two\nlines", 5.0, None), "t2": ("c", None, None), "t3": ("c", 6.0, None)}
-    assert landing.read_csv_text(spark, text, limit=2).count() == 2
+    quoted = '"amount", "transaction_id" ,region\n5,t1,r\namount,transaction_id,region\n'
+    assert [(r.transaction_id, r.amount) for r in landing.read_csv_text(spark, quoted).collect()] == [("t1", 5.0), ("transaction_id", None)]
     with pytest.raises(landing.ContractError):
         landing.read_csv_text(spark, "  ")
 
