@@ -4,7 +4,7 @@ from __future__ import annotations
 
 
 def all_sql() -> dict[str, str]:
-    return {"op8_mixture": OP8, "op9_exact_dedup": OP9}
+    return {"op6_warc": OP6, "op8_mixture": OP8, "op9_exact_dedup": OP9}
 
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -60,3 +60,14 @@ grouped AS (SELECT t, max(doc_id) AS keep_id, count(*)::BIGINT AS group_size FRO
 SELECT doc_id, keep_id, group_size, doc_id IS NOT DISTINCT FROM keep_id AS kept, sha256(t) AS text_sha256
 FROM plain JOIN grouped USING (t)
 """
+
+OP6 = """
+WITH plain AS (SELECT page_id, coalesce(html, '') AS payload FROM pages),
+first AS (SELECT payload, min(page_id) AS first_id FROM plain GROUP BY payload)
+SELECT page_id, strlen(payload)::BIGINT AS payload_bytes,
+       array_to_string(list_transform(range(0, 32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+         (((('0x' || substr(sha1(payload), (i // 4 * 5 + 1)::INT, 5))::INT >> (15 - 5 * (i % 4))::INT) & 31) + 1)::INT, 1)), '') AS payload_digest,
+       CASE WHEN page_id = first_id THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> first_id THEN first_id END AS refers_to
+FROM plain JOIN first USING (payload)
+"""

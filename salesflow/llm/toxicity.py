@@ -6,8 +6,8 @@ or signs inside words to the letters they stand for, in texts and lexicon alike.
 inside an exception phrase does not count: given phrases, and word pairs around entries which labelled clean texts use too. The sum of
 weights over matches, damped by the logarithm of the length, is turned into a probability by a logistic curve fitted on the same texts.
 
-The lexicon is learned from at most ``SAMPLE`` labelled texts, those with the least hashed ids; it holds at most ``ENTRIES`` entries. Every
-text is then scored whole, in blocks.
+The lexicon is learned from at most ``SAMPLE`` labelled texts, those with the least hashed ids; it holds at most ``ENTRIES`` entries, each in
+``SUPPORT`` toxic texts and ``SHARE`` of them at least. Every text is then scored whole, in blocks.
 
 Edge cases: null and empty texts have no match and get the clean score; null labels and ids are no training rows; without any toxic
 or clean training text the lexicon is empty and all scores are 0; a document labelled more than once counts as toxic if any label says so;
@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 
 from salesflow.llm.shared import crc_remainder
 
-SAMPLE, ENTRIES, SUPPORT, RATIO = 12_000, 5_000, 6, 3.0
+SAMPLE, ENTRIES, SUPPORT, SHARE, RATIO = 12_000, 5_000, 6, 0.01, 4.0
 SHORTEST, LONGEST = 3, 8
 BLOCK_CHARS = 1 << 18
 THRESHOLD = 0.3
@@ -167,7 +167,7 @@ def _pruned(rows: list[tuple[str, int, int]], n_toxic: int, n_clean: int) -> dic
     shorter one is a weaker sign.
     """
     weight = {g: math.log((t + 0.5) / (n_toxic + 1)) - math.log((c + 0.5) / (n_clean + 1)) for g, t, c in rows}
-    found = {g: t for g, t, _ in rows if weight[g] >= RATIO}
+    found = {g: t for g, t, _ in rows if weight[g] >= RATIO and t >= max(SUPPORT, SHARE * n_toxic)}
     longer: dict[str, int] = {}  # most texts that a beginning with one more letter matches
     for gram, texts in found.items():
         if gram.startswith("^"):
