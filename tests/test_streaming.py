@@ -109,7 +109,7 @@ def test_window_drops_rows_behind_the_watermark(spark, tmp_path):
     def run():
         stream = ingest.stream_parquet(spark, path, shape)
         totals = ingest.windowed_revenue(stream, "ts", "amount", [], "1 day", "1 hour")
-        ingest.append_available(totals, out, checkpoint, state_partitions=2)
+        ingest.append_available(totals, out, checkpoint)
 
     events(spark, path, ("a", "2024-01-01 10:00:00", 1.0), ("b", "2024-01-03 10:00:00", 2.0))
     run()
@@ -126,5 +126,13 @@ def test_dedup_within_watermark(spark, tmp_path):
     for rows in ([("a", "2024-01-01 10:00:00", 1.0), ("b", "2024-01-01 10:05:00", 2.0)], [("a", "2024-01-01 10:10:00", 1.0)]):
         events(spark, path, *rows)
         stream = ingest.stream_parquet(spark, path, shape)
-        ingest.append_available(ingest.dedup_stream(stream, ["id"], "ts", "1 day"), out, checkpoint, state_partitions=2)
+        ingest.append_available(ingest.dedup_stream(stream, ["id"], "ts", "1 day"), out, checkpoint)
     assert sorted(r.id for r in spark.read.parquet(out).collect()) == ["a", "b"]
+
+
+def test_null_keys_are_no_copies(spark, tmp_path):
+    rows = spark.createDataFrame([("a", "2024-01-01"), ("a", "2024-01-01"), (None, "2024-01-01"), (None, "2024-01-01")], "id string, moment string")
+    rows.select("id", rows["moment"].cast("timestamp").alias("ts")).write.parquet(str(tmp_path / "in"))
+    stream = ingest.stream_parquet(spark, str(tmp_path / "in"), spark.read.parquet(str(tmp_path / "in")).schema)
+    ingest.append_available(ingest.dedup_stream(stream, ["id"], "ts", "1 day"), str(tmp_path / "out"), str(tmp_path / "checkpoint"))
+    assert sorted(str(r.id) for r in spark.read.parquet(str(tmp_path / "out")).collect()) == ["None", "None", "a"]
