@@ -359,6 +359,10 @@ def all_sql() -> dict[str, str]:
         "stream_dedup": "SELECT event_id, user_id, event_type, value FROM events",
         "stream_windowed_revenue": f"""SELECT strftime(ts, '%Y-%m-%d') AS day, event_type,
             {hundredths('sum(CAST(round(value * 100) AS BIGINT))')} AS total_revenue, count(*) AS transaction_count FROM events GROUP BY 1, 2""",
+        "stream_closed_windows": f"""SELECT strftime(ts, '%Y-%m-%d') AS day, event_type,
+            {hundredths('sum(CAST(round(value * 100) AS BIGINT))')} AS total_revenue, count(*) AS transaction_count FROM events
+            WHERE date_trunc('day', ts) + INTERVAL 1 DAY <= (SELECT max(ts) - INTERVAL 1 DAY FROM events) GROUP BY 1, 2""",
         "stream_kpi_refresh": MONTHS_SQL,
+        "stream_kpi_refresh_categories": CATEGORIES_SQL,
         "stream_kpi_refresh_regions": REGIONS_SQL,
     }

@@ -845,6 +845,17 @@ def stream_windowed_revenue(spark, d):
         F.date_format("window.start", "yyyy-MM-dd").alias("day"), "event_type", "total_revenue", "transaction_count"))
 
 
+@register
+def stream_closed_windows(spark, d):
+    """Append mode: a day appears once the watermark, a day behind the latest event, has passed its end."""
+    root = scratch_path(spark, "stream-closed")
+    timed = _table_stream(spark, d, "events").withColumn("ts", F.col("ts").cast("timestamp"))
+    totals = ingest.windowed_revenue(timed, "ts", "value", ["event_type"])
+    ingest.append_available(ingest.closing_windows(totals), f"{root}/out", f"{root}/checkpoint")
+    return plain(spark.read.parquet(f"{root}/out").select(
+        F.date_format("window_start", "yyyy-MM-dd").alias("day"), "event_type", "total_revenue", "transaction_count"))
+
+
 def _refreshed(spark: SparkSession, d: str) -> str:
     """Sales rows arriving in three shipments, each folded into the curated zone."""
     def build() -> str:
@@ -866,6 +877,11 @@ def stream_kpi_refresh(spark, d):
     return plain(spark.read.parquet(f"{_refreshed(spark, d)}/kpis/monthly_sales_growth").drop("_computed_at"))
 
 
+@register
+def stream_kpi_refresh_categories(spark, d):
+    return plain(spark.read.parquet(f"{_refreshed(spark, d)}/kpis/revenue_per_category").drop("_computed_at"))
+
+
 @register
 def stream_kpi_refresh_regions(spark, d):
     return plain(spark.read.parquet(f"{_refreshed(spark, d)}/kpis/top_regions_by_volume").drop("_computed_at"))

@@ -1,8 +1,10 @@
 """Date parts, the measure form and the three KPIs.
 
 Measure form is what the KPIs aggregate: ``revenue``, ``txns``, ``low``, ``high``
-next to the grouping columns and ``customer_id``. Fact rows and the monthly rollup
-both come in this form, so each KPI is written once. Averages are derived from
+next to the grouping columns and ``customer_id``. Fact rows and the stored rollup
+both come in this form, so each KPI is written once. The rollup holds totals
+without the customer, a few thousand rows, and for each KPI the distinct pairs of
+its key and customer, from which the exact customer counts come. Averages are derived from
 sum and count. A distinct count is grouped by (key, customer) first, so neither
 a hot key nor the ``UNKNOWN`` customer gathers in one task.
 
@@ -12,6 +14,8 @@ month.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -51,6 +55,33 @@ def monthly_rollup(measures: DataFrame) -> DataFrame:
     )
 
 
+TOTAL_KEYS = ("year", "month", "product_category", "region")
+
+
+def monthly_totals(measures: DataFrame) -> DataFrame:
+    """Measures per month, category and region; they add up to those of any of the three."""
+    return measures.groupBy(*TOTAL_KEYS).agg(
+        F.sum("revenue").cast(MONEY_TOTAL).alias("revenue"),
+        F.sum("txns").alias("txns"),
+        F.min("low").alias("low"),
+        F.max("high").alias("high"),
+    )
+
+
+def customer_pairs(measures: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Each customer once under every key they bought in."""
+    return measures.select(*keys, "customer_id").distinct()
+
+
+def rolled_measures(totals: DataFrame, pairs: DataFrame) -> DataFrame:
+    """Measure form from the rollup, for KPIs grouped by the columns of ``pairs`` beside the customer."""
+    keys = [c for c in pairs.columns if c != "customer_id"]
+    kinds = {f.name: f.dataType for f in totals.schema.fields}
+    summed = totals.select(*keys, F.lit(None).cast("string").alias("customer_id"), "revenue", "txns", "low", "high")
+    present = pairs.select(*keys, "customer_id", *[F.lit(0 if c == "txns" else None).cast(kinds[c]).alias(c) for c in ("revenue", "txns", "low", "high")])
+    return summed.unionByName(present)
+
+
 def _total_revenue() -> Column:
     return F.sum("revenue").cast(MONEY_TOTAL).alias("total_revenue")
 

@@ -18,6 +18,7 @@ from salesflow.sources.landing import ARRIVAL, apply_contract, read_cleansed, re
 
 # KPI directory names.
 KPI_CATEGORY, KPI_MONTHLY, KPI_REGIONS = "revenue_per_category", "monthly_sales_growth", "top_regions_by_volume"
+KPI_KEYS = {KPI_CATEGORY: ("product_category",), KPI_MONTHLY: ("year", "month"), KPI_REGIONS: ("region",)}
 
 
 class EmptyResultError(ValueError):
@@ -63,8 +64,8 @@ def curate(
 
     Days that the rows touch are written anew, stored rows of theirs included
     unless a new row has their key; all other days stay. ``full`` replaces the
-    whole fact instead. The monthly rollup is written too: all three KPIs read it instead of
-    scanning the fact three times.
+    whole fact instead. The rollup is written too, from narrow scans of the fact:
+    month totals and the distinct customers under the key of each KPI.
     """
     dated = kpis.add_date_parts(cleansed)
     before = None if full else _fact_so_far(spark, f"{root}/sales")
@@ -74,8 +75,11 @@ def curate(
         _merged_days(dated, before).write.mode("overwrite").parquet(f"{root}/merged_days")  # a path is never overwritten by a plan that reads it
         files.write_fact(spark.read.parquet(f"{root}/merged_days"), f"{root}/sales", replace_days_only=True)
     fact = read_fact(spark, f"{root}/sales")
-    kpis.monthly_rollup(kpis.measure_form(fact)).write.mode("overwrite").parquet(f"{root}/rollup")
-    return write_kpis(spark, spark.read.parquet(f"{root}/rollup"), root, run_ts)
+    measures = kpis.measure_form(fact)
+    kpis.monthly_totals(measures).write.mode("overwrite").parquet(f"{root}/rollup/totals")
+    for name, keys in KPI_KEYS.items():
+        kpis.customer_pairs(measures, keys).write.mode("overwrite").parquet(f"{root}/rollup/{name}")
+    return write_kpis(spark, root, run_ts)
 
 
 def _fact_so_far(spark: SparkSession, path: str) -> DataFrame | None:
@@ -95,12 +99,14 @@ def _merged_days(new: DataFrame, before: DataFrame) -> DataFrame:
     return new.unionByName(touched.join(new.select(KEY, *days), [KEY, *days], "left_anti").select(*new.columns))
 
 
-def write_kpis(spark: SparkSession, measures: DataFrame, root: str, run_ts: Column | None = None) -> dict[str, DataFrame]:
-    """Compute and write the three KPIs, and read them back."""
+def write_kpis(spark: SparkSession, root: str, run_ts: Column | None = None) -> dict[str, DataFrame]:
+    """Compute the three KPIs from the rollup, write them and read them back."""
+    totals = spark.read.parquet(f"{root}/rollup/totals")
+    measures = {name: kpis.rolled_measures(totals, spark.read.parquet(f"{root}/rollup/{name}")) for name in KPI_KEYS}
     made = {
-        KPI_CATEGORY: kpis.revenue_per_category(measures),
-        KPI_MONTHLY: kpis.monthly_sales_growth(measures),
-        KPI_REGIONS: kpis.top_regions(measures),
+        KPI_CATEGORY: kpis.revenue_per_category(measures[KPI_CATEGORY]),
+        KPI_MONTHLY: kpis.monthly_sales_growth(measures[KPI_MONTHLY]),
+        KPI_REGIONS: kpis.top_regions(measures[KPI_REGIONS]),
     }
     for name, kpi in made.items():
         files.write_small(kpis.stamp_computed(kpi, run_ts), f"{root}/kpis/{name}")

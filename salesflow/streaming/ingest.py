@@ -64,6 +64,11 @@ def windowed_revenue(
     )
 
 
+def closing_windows(totals: DataFrame) -> DataFrame:
+    """Windowed totals with the window as ``window_start`` and ``window_end``, as a file sink in append mode takes them."""
+    return totals.select(F.col("window.start").alias("window_start"), F.col("window.end").alias("window_end"), *[c for c in totals.columns if c != "window"])
+
+
 def _run_available(writer: DataStreamWriter, checkpoint: str) -> None:
     """Process the input present now and return.
 

@@ -1,13 +1,14 @@
 """Incremental refresh: new landing rows into the curated fact and its KPIs.
 
 Layout below ``root``: ``received/`` holds the first copy of every transaction
-with its verdict, by batch; ``sales/`` is the fact; ``rollup/`` the monthly
-measures; ``kpis/`` the KPIs.
+with its verdict, by batch, and rows without a key; ``sales/`` is the fact;
+``rollup/`` the month totals and distinct customers by key; ``kpis/`` the KPIs.
 
 A batch that runs again gives the same result. Its transactions are compared
 with those of earlier batches only, its ``received`` directory is overwritten,
 fact rows already appended by the first attempt are left out, and the touched
-months of the rollup are recomputed from the fact.
+months of the rollup are recomputed from the fact; only customers new to a
+category or region are added to the other distinct sets.
 """
 
 from __future__ import annotations
@@ -19,7 +20,7 @@ from pyspark.sql import functions as F
 from salesflow.operators import kpis
 from salesflow.operators.cleanse import OK, PK_NULL, classify, clean_rows, stamp_audit, standardise, typed_projection
 from salesflow.operators.dedup import unseen_keys
-from salesflow.plans.jobs import write_kpis
+from salesflow.plans.jobs import KPI_CATEGORY, KPI_KEYS, KPI_MONTHLY, KPI_REGIONS, write_kpis
 from salesflow.rules import CLEANSED_COLUMNS, KEY, CleansingRules
 from salesflow.sinks.files import append_fact
 
@@ -71,12 +72,18 @@ def apply_batch(
     fact = _stored(spark, fact_path)
     if fact is None:
         return
-    rollup = kpis.monthly_rollup(kpis.measure_form(_in_months(fact, touched)))
-    writer = rollup.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-    writer.partitionBy("year", "month").parquet(rollup_path)
-    rolled = _stored(spark, rollup_path)
-    if rolled is not None:
-        write_kpis(spark, rolled, root)
+    measures = kpis.measure_form(_in_months(fact, touched))
+    by_month = {"totals": kpis.monthly_totals(measures), KPI_MONTHLY: kpis.customer_pairs(measures, KPI_KEYS[KPI_MONTHLY])}
+    for name, rows in by_month.items():
+        writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        writer.partitionBy("year", "month").parquet(f"{rollup_path}/{name}")
+    for name in (KPI_CATEGORY, KPI_REGIONS):
+        # Rows are only ever added, so a customer once met under a key stays: only new pairs are appended.
+        pairs = kpis.customer_pairs(kpis.measure_form(fresh), KPI_KEYS[name])
+        known = _stored(spark, f"{rollup_path}/{name}")
+        new = pairs if known is None else pairs.join(known, pairs.columns, "left_anti")
+        new.write.mode("append").parquet(f"{rollup_path}/{name}")
+    write_kpis(spark, root)
 
 
 def refresh_available(
