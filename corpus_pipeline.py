@@ -9,21 +9,24 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from salesflow.llm import decontaminate, exact_dedup, minhash, mixture, toxicity
-from salesflow.llm.shared import stored
+from salesflow.llm.shared import ship_package, stored
 
 
 def toxic_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the toxicity lexicon rejects go."""
+    ship_package(spark)
     return toxicity.drop_toxic(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
 def exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of equal texts stays, the one with the largest id."""
+    ship_package(spark)
     return exact_dedup.drop_copies(docs)
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies stays, the one with the least id: five-word shingles, similarity 0.8."""
+    ship_package(spark)
     return minhash.drop_near_copies(docs, words=5, percent=80)
 
 

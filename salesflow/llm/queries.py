@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from salesflow.llm import decontaminate, exact_dedup, langid, licenses, minhash, mixture, quality, toxicity, url_rules, warc
+from salesflow.llm.shared import ship_package
 
 Query = Callable[[SparkSession, str], DataFrame]
 _REGISTRY: dict[str, Query] = {}
@@ -19,6 +20,7 @@ def register(query: Query) -> Query:
 
 
 def table(spark: SparkSession, d: str, name: str, *columns: str) -> DataFrame:
+    ship_package(spark)
     return spark.read.parquet(f"{d}/{name}.parquet").select(*columns)
 
 

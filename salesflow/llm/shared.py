@@ -5,7 +5,9 @@ from __future__ import annotations
 import re
 import tempfile
 import uuid
+import zipfile
 from collections.abc import Iterator
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,6 +15,23 @@ from pyspark.sql import functions as F
 CHECKPOINT_DIR = "spark.checkpoint.dir"
 WHITE_SPACE = "[\\x20\\x09-\\x0D]+"
 BLOCK = 1 << 20
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Sends this package to the workers of the session, once: tasks import it wherever the driver was started.
+
+    Nothing is sent when the package itself was shipped as an archive.
+    """
+    context, root = spark.sparkContext, Path(__file__).resolve().parents[2]
+    if context.applicationId in _SHIPPED or not (root / "salesflow").is_dir():
+        return
+    archive = Path(tempfile.mkdtemp(prefix="package-")) / "salesflow_package.zip"  # on the driver, which serves it to executors
+    with zipfile.ZipFile(archive, "w") as packed:
+        for source in sorted((root / "salesflow").rglob("*.py")):
+            packed.write(source, source.relative_to(root))
+    context.addPyFile(str(archive))
+    _SHIPPED.add(context.applicationId)
 
 
 def work_path(spark: SparkSession, name: str) -> str:

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from salesflow.llm.shared import ascii_lower, stored
 
-SUPPORT, CONFIDENCE, LIFT = 0.003, 0.35, 1.3
+SUPPORT, CONFIDENCE, LIFT = 0.003, 0.5, 1.5
 BLOCK_TOKEN = "label=block"
 RULES = [("allow", "org", "/"), ("block", "example.org", "/es/"), ("block", "example.org", "/en/1"), ("allow", "com", "/fr/"), ("block", "com", "/de/")]
 
