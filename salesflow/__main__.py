@@ -7,6 +7,7 @@ from datetime import datetime, timezone
 
 from pyspark.sql import SparkSession
 
+from salesflow import session
 from salesflow.plans import jobs
 from salesflow.rules import CleansingRules
 from salesflow.sinks import files, warehouse
@@ -16,6 +17,7 @@ from salesflow.streaming import ingest, refresh
 
 def parser() -> argparse.ArgumentParser:
     root = argparse.ArgumentParser(prog="salesflow")
+    root.add_argument("--input-gb", type=float, help="size of the input, from which shuffle partitions and file splits follow")
     job = root.add_subparsers(dest="job", required=True)
     generate = job.add_parser("generate", help="write synthetic landing CSV")
     generate.add_argument("--rows", type=int, default=1_200_000)
@@ -45,6 +47,8 @@ def main(arguments: list[str] | None = None) -> None:
     args = parser().parse_args(arguments)
     spark = SparkSession.builder.appName(f"salesflow-{args.job}").getOrCreate()
     spark.conf.set("spark.sql.session.timeZone", "UTC")
+    if args.input_gb:
+        session.apply(spark, int(args.input_gb * 1e9))
     now = datetime.now(timezone.utc)
     run_ts = jobs.run_timestamp(now.strftime("%Y-%m-%d %H:%M:%S+00:00"))
     if args.job == "generate":

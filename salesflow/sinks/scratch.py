@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -16,7 +17,7 @@ def scratch_root(spark: SparkSession) -> str:
     configured = spark.conf.get(_SETTING, None)
     if configured:
         return configured.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):  # local-cluster has executors of its own
         raise RuntimeError(f"set {_SETTING} to a folder every executor can reach")
     if not _LOCAL:
         _LOCAL.append(tempfile.mkdtemp(prefix="salesflow-"))
