@@ -6,8 +6,9 @@ key, and texts that agree on one of ``BANDS`` keys are candidates: a pair at Jac
 1e-5; at 0.4 one pair in fourteen becomes a candidate. Links are confirmed on full shingle sets.
 
 Work stays linear in copies: texts with one shingle set are folded first; then each text is compared with one leader of its buckets and
-linked texts are joined into components; members of *different* components that still share a bucket remain. Of their pairs only those are
-compared that can reach the similarity: see ``_open_pairs``. No candidate link is lost and nothing is capped.
+linked texts are joined into components; members of *different* components that still share a bucket remain. Those near the middle of a
+family of edited copies are compared with that middle, and of the pairs still left only those are compared that can reach the
+similarity: see ``_open_pairs``. No candidate link is lost and nothing is capped.
 
 Edge cases: a text without words has no shingles, is linked with nothing and stays; with fewer words than a shingle the whole sequence is
 one; rows with one ``doc_id`` count as one document; a row without ``doc_id`` is linked with nothing, has a null component and stays; an
@@ -99,37 +100,62 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return pairs.join(left, "a").join(right, "b").where(common * 100 >= (F.size("of_a") + F.size("of_b") - common) * percent).select("a", "b")
 
 
-def _open_pairs(waiting: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b) of different parts that can be similar enough, from rows (key, rep, n_shingles, part) of shared buckets.
+def _ranked(waiting: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The shingles that several waiting texts hold: rep, n_shingles, shingle, holders, hot, leads.
 
-    Shingles are ordered rarest first, by how many of the waiting texts hold them. Two texts that are similar enough share a shingle within the
-    first n - ceil(percent * n / 100) + 1 of each. Either one that at most HOT texts hold is shared there: those pairs come from an index of
-    rare leading shingles, at most HOT of them to a row. Or all that the two share is held by more than HOT texts: then their intersection is no
-    larger than the smaller number of such shingles in either, which few pairs of a large family of edited copies satisfy.
+    ``hot`` is how many of the text's shingles more than HOT texts hold. ``leads`` marks those among the first
+    n - ceil(percent * n / 100) + 1 when shingles are ordered rarest first.
     """
-    texts = stored(waiting.select("rep", "n_shingles", "part").distinct(), "texts")
-    held = texts.join(sets, "rep").select("rep", "n_shingles", "part", F.explode("shingles").alias("shingle"))
+    texts = stored(waiting.select("rep", "n_shingles").distinct(), "texts")
+    held = texts.join(sets, "rep").select("rep", "n_shingles", F.explode("shingles").alias("shingle"))
     common = stored(held.groupBy("shingle").agg(F.count(F.lit(1)).alias("holders")).where("holders > 1"), "holders")
     of_text = Window.partitionBy("rep")
     several = F.count(F.lit(1)).over(of_text)
     place = F.col("n_shingles") - several + F.row_number().over(of_text.orderBy("holders", "shingle"))
     leading = F.col("n_shingles") - F.ceil(F.col("n_shingles") * percent / 100) + 1
     hot = F.count(F.when(F.col("holders") > HOT, 1)).over(of_text)
-    ranked = stored(held.join(common, "shingle").select("rep", "n_shingles", "part", "shingle", "holders", hot.alias("hot"), (place <= leading).alias("leads")), "ranked")
+    return stored(held.join(common, "shingle").select("rep", "n_shingles", "shingle", "holders", hot.alias("hot"), (place <= leading).alias("leads")), "ranked")
+
+
+def _bounded(waiting: DataFrame, ranked: DataFrame, percent: int) -> DataFrame:
+    """Waiting rows of texts that are mostly hot, with ``core`` (their hot share) and ``most``.
+
+    Two texts that share hot shingles only have an intersection no larger than either's ``hot``; with it, ``most`` is the largest number of
+    shingles that a partner of the text may have.
+    """
+    hot = ranked.where(f"hot * 100 >= n_shingles * {percent}").select("rep", "hot").distinct()
+    most = F.floor(F.col("hot") * (100 + percent) / percent) - F.col("n_shingles")
+    return stored(waiting.join(hot, "rep").select("key", "rep", "n_shingles", "part", (F.col("hot") / F.col("n_shingles")).alias("core"), most.alias("most")), "bounded")
+
+
+def _central_pairs(bounded: DataFrame) -> DataFrame:
+    """Each text with the text of its bucket that holds the largest share of hot shingles: the middle of a family of edited copies."""
+    middle = bounded.groupBy("key").agg(F.max(F.struct("core", (-F.col("rep")).alias("minus"), "n_shingles", "part", "most")).alias("m"))
+    met = bounded.join(stored(middle, "middle"), "key").where("part <> m.part AND n_shingles <= m.most AND m.n_shingles <= most")
+    other = -F.col("m.minus")
+    return met.select(F.least("rep", other).alias("a"), F.greatest("rep", other).alias("b")).distinct()
+
+
+def _open_pairs(bounded: DataFrame, ranked: DataFrame, parts: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) of different parts that can be similar enough.
+
+    Two texts that are similar enough share a leading shingle. Either one that at most HOT texts hold is shared there: those pairs come
+    from an index of rare leading shingles, at most HOT of them to a row. Or all that the two share is hot: then the bound of
+    ``_bounded`` holds for both, which few pairs of a large family of edited copies satisfy.
+    """
 
     def met(rows: DataFrame, on: str, further: str = "true") -> DataFrame:
         one, other = (rows.select(F.col(on).alias(f"{on}_{side}"), *[F.col(c).alias(f"{c}_{side}") for c in rows.columns if c != on]) for side in "ab")
         fits = f"n_shingles_a * 100 >= n_shingles_b * {percent} AND n_shingles_b * 100 >= n_shingles_a * {percent}"
         return one.join(other, F.expr(f"{on}_a = {on}_b AND rep_a < rep_b AND part_a <> part_b AND {fits} AND {further}")).select(F.col("rep_a").alias("a"), F.col("rep_b").alias("b"))
 
-    rare = met(ranked.where(f"leads AND holders <= {HOT}").select("shingle", "rep", "n_shingles", "part"), "shingle")
-    mostly_hot = ranked.where(f"hot * 100 >= n_shingles * {percent}").select("rep", "hot").distinct()
-    # The most shingles a partner may have, by the bound on the intersection; a row whose bucket has no partner so small is done.
-    bounded = stored(waiting.join(mostly_hot, "rep").withColumn("most", F.floor(F.col("hot") * (100 + percent) / percent) - F.col("n_shingles")), "bounded")
-    least = stored(bounded.groupBy("key").agg(F.min("n_shingles").alias("least"), F.min("part").alias("low"), F.max("part").alias("high")).where("low < high").select("key", "least"), "least")
-    left = bounded.join(least, "key").where("most >= least").select("key", "rep", "n_shingles", "part", "most")
-    frequent = met(left, "key", "n_shingles_b <= most_a AND n_shingles_a <= most_b")
-    return rare.union(frequent).distinct()
+    leading = ranked.where(f"leads AND holders <= {HOT}").select("shingle", "rep", "n_shingles")
+    rare = met(stored(leading.join(parts, "rep").select("shingle", "rep", "n_shingles", "part"), "leading"), "shingle")
+    placed = stored(bounded.drop("part").join(parts, "rep"), "bounded")
+    # A row whose bucket has no other part, or no partner so small, is done.
+    least = stored(placed.groupBy("key").agg(F.min("n_shingles").alias("least"), F.min("part").alias("low"), F.max("part").alias("high")).where("low < high").select("key", "least"), "least")
+    left = stored(placed.join(least, "key").where("most >= least").select("key", "rep", "n_shingles", "part", "most"), "left")
+    return rare.union(met(left, "key", "n_shingles_b <= most_a AND n_shingles_a <= most_b")).distinct()
 
 
 def near_groups(documents: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
@@ -154,7 +180,14 @@ def near_groups(documents: DataFrame, words: int = 5, percent: int = 80) -> Data
     placed = stored(bucketed.join(joined, bucketed["rep"] == joined["node"], "left").select("key", "rep", "n_shingles", F.coalesce("component", "rep").alias("part")), "placed")
     open_keys = stored(placed.groupBy("key").agg(F.min("part").alias("low"), F.max("part").alias("high")).where("low < high").select("key"), "open")
     waiting = stored(placed.join(open_keys, "key"), "waiting")
-    pairs = stored(_open_pairs(waiting, sets, percent), "pairs")
+    ranked = _ranked(waiting, sets, percent)
+    bounded = _bounded(waiting, ranked, percent)
+    central = stored(_confirmed(_central_pairs(bounded), sets, percent), "links")
+    if not central.isEmpty():
+        joined = components(central.union(joined.select("node", "component")))
+    texts = waiting.select("rep").distinct()
+    parts = stored(texts.join(joined, texts["rep"] == joined["node"], "left").select("rep", F.coalesce("component", "rep").alias("part")), "parts")
+    pairs = stored(_open_pairs(bounded, ranked, parts, percent), "pairs")
     second = stored(_confirmed(pairs, sets, percent), "links")
     final = joined if second.isEmpty() else components(second.union(joined.select("node", "component")))
 
