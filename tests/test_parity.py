@@ -1,5 +1,7 @@
 """Every registered query against its SQL on the smallest tables."""
 
+import re
+
 import __spark_entry__ as contract
 import pytest
 from compare import compare, duck
@@ -13,10 +15,12 @@ def con():
 
 
 def test_every_query_has_sql():
-    assert set(contract.queries()) == set(contract.oracle_sql())
+    """The text operators and their pipeline are tested in their own folder where SQL cannot express them."""
+    own = {name for name in contract.queries() if name != "pipeline" and not re.match(r"op\d+_", name)}
+    assert own <= set(contract.oracle_sql()) <= set(contract.queries())
 
 
-@pytest.mark.parametrize("name", list(contract.queries()))
+@pytest.mark.parametrize("name", list(contract.oracle_sql()))
 def test_same_rows(spark, con, name):
     difference = compare(spark, con, contract.queries()[name], contract.oracle_sql()[name], TABLES)
     assert difference is None, difference
