@@ -119,7 +119,7 @@ def mix(documents: DataFrame, weights: tuple[int, ...] = WEIGHTS) -> DataFrame:
     g = goal.withColumnRenamed("source", "named").withColumn("passes", passes)
     per_source = stored(b.join(g, b["of"].eqNullSafe(g["named"])).drop("named"), "plan")
     out = pool.join(per_source, pool["source"].eqNullSafe(per_source["of"]))
-    copies = (F.col("passes") + F.when(_taken(ROUNDS), 1).otherwise(0)).cast("int")
+    copies = F.least(F.lit(MAX_REPEATS), F.col("passes") + F.when(_taken(ROUNDS), 1).otherwise(0)).cast("int")  # only a wordless text could go beyond
     return out.select("doc_id", "size", F.col("source_size").cast("long").alias("source_size"), "target", (copies * F.col("size")).cast("long").alias("taken"), copies.alias("copies"))
 
 
