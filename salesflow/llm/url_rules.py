@@ -32,8 +32,8 @@ def host_of(url: Column) -> Column:
 
 
 def path_of(url: Column) -> Column:
-    """After the host up to ``?``, ``#`` or the end."""
-    return F.coalesce(F.regexp_extract(url, r"(?s)\A.*?://[^/?#]*(/[^?#]*)", 1), F.lit(""))
+    """After the host up to ``?``, ``#`` or the end; empty if the host is not followed by ``/``, whatever comes later."""
+    return F.coalesce(F.regexp_extract(url, r"(?s)\A(?>.*?://)[^/?#]*+(/[^?#]*)", 1), F.lit(""))
 
 
 def listed_rule(host: Column, path: Column, rules: list[tuple[str, str, str]]) -> Column:

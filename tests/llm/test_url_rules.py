@@ -23,6 +23,15 @@ def test_listed_rules_as_brute_force(spark):
         assert (r["host"], r["path"], r["rule"], r["verdict"]) == (host, path, rule, verdict or "allow")
 
 
+def test_later_scheme_is_no_host(spark):
+    urls = ["http://a.com?u=http://b.com/de/x", "http://a.com#http://b.com/de/x", "http://example.org?://y/es/", "://?://x/de/"]
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    out = {r["page_id"]: r for r in ops.judged(pages, spark.createDataFrame([], "url string, blocked boolean")).collect()}
+    for i, url in enumerate(urls):
+        host, path, rule, verdict = brute_listed(url)
+        assert (out[i]["host"], out[i]["path"], out[i]["rule"], out[i]["verdict"]) == (host, path, rule, verdict or "allow") and path == ""
+
+
 def test_mined_rules_match_as_brute_force(spark):
     rows = [(f"http://{'bad' if i % 3 == 0 else 'good'}.example.net/{'en' if i % 2 else 'de'}/{i}{'?ad=1' if i % 5 == 0 else ''}", i % 3 == 0 and i % 2 == 0 or i % 5 == 0) for i in range(400)]
     labelled = spark.createDataFrame(rows, "url string, blocked boolean")
