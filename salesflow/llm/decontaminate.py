@@ -2,10 +2,14 @@
 
 DataFrame functions only. Words are runs of ASCII letters, digits and non-ASCII characters, lowered. Every window that can pass the
 verification shares a shingle with an item, so windows are laid where a document has a shingle of an item: as long as the item, aligned by
-the shingle's place in it. Their 64-bit SimHash, over weighted shingles, is looked up among the items' by ``RADIUS + 1`` blocks: two
-fingerprints within ``RADIUS`` bits agree on a block at least (pigeonhole), so none within the radius is missed. A found pair is verified
-exactly: the weight of the item's shingles that the window holds, against the weight of all the item's shingles, must reach ``PERCENT``.
-A shingle weighs 1 + ln(items / items that hold it), so that phrases of many items count less.
+the shingle's place in it. Their 64-bit SimHash, over weighted shingles that some item holds, is looked up among the items' by
+``RADIUS + 1`` blocks: two fingerprints within ``RADIUS`` bits agree on a block at least (pigeonhole), so none within the radius is missed.
+A found pair is verified exactly: the weight of the item's shingles that the window holds, against the weight of all the item's shingles,
+must reach ``PERCENT``. A shingle weighs 1 + ln(items / items that hold it), so that phrases of many items count less.
+
+A fingerprint weighs its shingles by their squares, so a window that lacks a few heavy shingles can pass the verification outside the
+radius. Such pairs come from an index of each item's leading shingles: the heaviest ones that together weigh more than 100 - ``PERCENT``
+percent. A window without any of them cannot pass, so no pair is missed.
 
 Shingle places of the benchmark are counted first: up to ``BROADCAST_ROWS`` (about 30 MB) they are sent to all tasks and windows are cut while
 a text is read; beyond, narrow shingle rows are shuffled by key and only texts with a hit are read again.
@@ -18,7 +22,7 @@ their verdict. Other columns are ignored.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from salesflow.llm.shared import stored
@@ -82,6 +86,15 @@ def _windows_by_key(worded: DataFrame, places: DataFrame, length: int) -> DataFr
     return worded.join(hits, worded["doc_id"].eqNullSafe(hits["hit_id"])).select("doc_id", "n_words", F.lit(length).alias("length"), F.slice("words", F.col("begin") + 1, F.col("n_words")).alias("window"))
 
 
+def _leading(item_shingles: DataFrame) -> DataFrame:
+    """The heaviest shingles of each item whose weight exceeds what a passing window may lack: item_id, n_words, length, shingle."""
+    of_item = Window.partitionBy("item_id")
+    mass = F.col("weight") * F.col("times")
+    heavier = F.coalesce(F.sum(mass).over(of_item.orderBy(F.desc("weight"), "shingle").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0.0))
+    ranked = item_shingles.select("item_id", "n_words", "length", "shingle", heavier.alias("heavier"), F.sum(mass).over(of_item).alias("whole"))
+    return ranked.where(F.col("heavier") * 100 <= F.col("whole") * (100 - PERCENT) + 1e-6).select("item_id", "n_words", "length", "shingle")
+
+
 def contaminated_pairs(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
     """doc_id, item_id, similarity (0.8 to 1): items that a document holds."""
     parts = stored(_item_shingles(benchmark), "item_shingles")
@@ -89,7 +102,6 @@ def contaminated_pairs(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
     seen = parts.select("item_id", "shingle").distinct().groupBy("shingle").agg(F.count(F.lit(1)).alias("holders"))
     n_items = parts.select("item_id").distinct().count()
     weights = stored(seen.select("shingle", (F.lit(1.0) + F.log(F.lit(float(max(1, n_items))) / F.col("holders"))).alias("weight")), "weights")
-    heaviest = F.lit(1.0) + F.log(F.lit(float(max(1, n_items))))
     places = stored(parts.select("length", "shingle", "n_words", "at").distinct(), "places")
     lengths = sorted(r[0] for r in places.select("length").distinct().collect())  # at most WORDS numbers
     worded = documents.select(F.col("doc_id").cast("long").alias("doc_id"), words_of(F.col("text")).alias("words"))
@@ -107,8 +119,7 @@ def contaminated_pairs(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
     pieces = each.select("window_id", "n_words", "length", "window", F.posexplode("window").alias("pos", "word")).where(F.col("pos") <= F.size("window") - F.col("length"))
     by_length = F.coalesce(*[F.when(F.col("length") == n, _shingle(F.col("window"), F.col("pos"), n)) for n in lengths])
     held_shingles = pieces.select("window_id", "n_words", "length", by_length.alias("shingle"))
-    window_shingles = stored(held_shingles.groupBy("window_id", "n_words", "length", "shingle").agg(F.count(F.lit(1)).alias("times")).join(weights, "shingle", "left")
-                             .withColumn("weight", F.coalesce("weight", heaviest)), "window_shingles")
+    window_shingles = stored(held_shingles.groupBy("window_id", "n_words", "length", "shingle").agg(F.count(F.lit(1)).alias("times")).join(weights, "shingle"), "window_shingles")
     item_shingles = stored(folded.join(weights, "shingle"), "weighted_items")
 
     keys = ["n_words", "length"]
@@ -118,7 +129,8 @@ def contaminated_pairs(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
     w = of_windows.select("window_id", *keys, "fingerprint", F.inline(_blocks(F.col("fingerprint"))))
     i = of_items.select("item_id", *keys, F.col("fingerprint").alias("of_item"), F.inline(_blocks(F.col("fingerprint"))))
     near = w.join(i, [*keys, "block", "bits"]).where(F.bit_count(F.col("fingerprint").bitwiseXOR(F.col("of_item"))) <= RADIUS)
-    found = stored(near.select("window_id", "item_id").distinct(), "near")
+    led = window_shingles.join(_leading(item_shingles), [*keys, "shingle"])
+    found = stored(near.select("window_id", "item_id").union(led.select("window_id", "item_id")).distinct(), "near")
 
     whole = item_shingles.groupBy("item_id").agg(F.sum(weighted).alias("whole"))
     a = window_shingles.select("window_id", "shingle", F.col("times").alias("there"))

@@ -72,6 +72,25 @@ def test_as_brute_force(spark, monkeypatch, rows):
     assert all(r["contaminated"] == bool(r["item_ids"]) == (not r["kept"]) and (r["similarity"] >= 0.8) == r["contaminated"] for r in out)
 
 
+def shared_prompt(own, foreign, lost):
+    """Items of a common prompt and ``own`` words each; documents hold an item's part of the prompt and question among other words."""
+    prompt = [f"p{k}" for k in range(40)]
+    items = [(i, " ".join([*prompt, *[f"q{i}x{k}" for k in range(own)]])) for i in range(60)]
+    docs = []
+    for d in range(0, 60, 4):
+        kept = items[d][1].split()[foreign:40 + own - lost]
+        docs.append((d, " ".join([*[f"f{d}x{k}" for k in range(foreign)], *kept, *[f"g{d}x{k}" for k in range(30)]]), "x"))
+    return docs, items
+
+
+@pytest.mark.parametrize("own, foreign, lost", [(12, 16, 0), (1, 0, 1)])
+def test_shared_prompt_as_brute_force(spark, own, foreign, lost):
+    docs, items = shared_prompt(own, foreign, lost)
+    out = ops.decontaminate(spark.createDataFrame(docs, DOCS), spark.createDataFrame(items, ITEMS)).collect()
+    expected = brute(docs, items)
+    assert {r["doc_id"]: r["item_ids"] for r in out} == expected and any(expected.values())
+
+
 def test_empty_sides_and_repeated_rows(spark):
     docs = spark.createDataFrame([(1, "a b c d e f g", ""), (1, "a b c d e f g", ""), (None, "q", "")], DOCS)
     clean = ops.decontaminate(docs, spark.createDataFrame([], ITEMS)).collect()
