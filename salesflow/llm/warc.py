@@ -6,7 +6,7 @@ text writer, where the pages are read, so any store that Spark writes works and
 records as make ``ARCHIVE_BYTES`` at their mean size, an eighth of what the reader can take.
 
 Reading: an archive file is read whole by one task (Spark's binary source; at most 2 GB) and parsed record by record, plain or as gzip
-members. A record is checked: version line, header block, Content-Length within the file, the two line ends after the block, and the
+members. A record is checked: version line, header block of any length, Content-Length within the file, the two line ends after the block, and the
 payload digest if there is one. After a failed check the reader searches for the next gzip member or version line from which a
 record passes all checks, and logs the bytes in between as one ``gap`` row with the first reason. Nothing is dropped silently.
 
@@ -34,7 +34,6 @@ from salesflow.llm.shared import stored, work_path
 ID_PREFIX = "urn:page:"
 DATE = "2024-01-01T00:00:00Z"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
-LONGEST_HEAD = 1 << 16
 BATCH_BYTES = 4 << 20
 ARCHIVE_BYTES, HEAD_BYTES = 256 << 20, 600
 _VERSION = re.compile(rb"WARC/\d\.\d\r\n")
@@ -70,11 +69,14 @@ def records(pages: DataFrame, least_bytes: int = 0) -> DataFrame:
     return joined.select("page_id", F.concat(head, F.when(revisit, again).otherwise(response), F.lit("\r\n")).alias("record"))
 
 
-def write_archives(pages: DataFrame, path: str, least_bytes: int = 0) -> None:
-    """WARC files of about ARCHIVE_BYTES or less; the writer's line end completes each record."""
-    size = pages.agg(F.avg(F.coalesce(F.octet_length("html"), F.lit(0)))).first()[0] or 0
+def write_archives(pages: DataFrame, path: str, least_bytes: int = 0) -> int:
+    """WARC files of about ARCHIVE_BYTES or less; the writer's line end completes each record. Returns the number of pages."""
+    length = lambda name: F.coalesce(F.octet_length(name), F.lit(0)).cast("long")
+    n, mean = pages.agg(F.count(F.lit(1)), F.avg(length("html") + length("url"))).first()
+    size = mean or 0
     per_file = max(1, int(ARCHIVE_BYTES / (size + HEAD_BYTES)))
     records(pages, least_bytes).select("record").write.option("lineSep", "\r\n").option("maxRecordsPerFile", per_file).text(path)
+    return n
 
 
 @dataclass
@@ -90,18 +92,19 @@ def parse_record(data: bytes, at: int) -> tuple[Record | None, str]:
     version = _VERSION.match(data, at)
     if not version:
         return None, "no version line"
-    end = data.find(b"\r\n\r\n", at, at + LONGEST_HEAD)
-    if end < 0:
-        return None, "header without end"
+    end = version.end()
     headers: dict[str, str] = {}
-    for line in data[version.end():end].split(b"\r\n"):
-        name, colon, value = line.partition(b":")
+    while (line_end := data.find(b"\r\n", end)) != end:
+        if line_end < 0:
+            return None, "header without end"
+        name, colon, value = data[end:line_end].partition(b":")
         if not colon or not name.strip():
             return None, "malformed header"
         headers[name.strip().decode("utf-8", "replace").lower()] = value.strip().decode("utf-8", "replace")
+        end = line_end + 2
     if not re.fullmatch(r"[0-9]{1,18}", headers.get("content-length", ""), re.ASCII) or "warc-type" not in headers:
         return None, "missing length or type"
-    start = end + 4
+    start = end + 2
     stop = start + int(headers["content-length"])
     if stop + 4 > len(data):
         return None, "truncated"
@@ -188,12 +191,17 @@ def page_number(identifier: Column) -> Column:
 
 
 def archived(pages: DataFrame, least_bytes: int = 0) -> DataFrame:
-    """Writes archives to the shared folder, reads them back: page_id, payload_bytes, payload_digest, record_type, refers_to."""
+    """Writes archives to the shared folder, reads them back: page_id, payload_bytes, payload_digest, record_type, refers_to.
+
+    Fails if the number of records read is not that of the pages written.
+    """
     spark = pages.sparkSession
     path = work_path(spark, "warc")
-    write_archives(pages, path, least_bytes)
+    written = write_archives(pages, path, least_bytes)
     found = read_archives(spark, path, payloads=False).where("kind = 'record'")
     read = stored(found.select(page_number(F.col("record_id")).alias("page_id"), "payload_bytes", "payload_digest", "record_type", page_number(F.col("refers_to")).alias("refers_to")), "read")
+    if (n := read.count()) != written:
+        raise RuntimeError(f"{n} records read of {written} pages written")
     responses = read.where("record_type = 'response'")
     # Rows with one page_id may hold different payloads; the digest tells which is meant. Equal rows are folded first.
     sizes = stored(responses.groupBy(F.col("page_id").alias("of"), F.col("payload_digest").alias("digest")).agg(F.max("payload_bytes").alias("bytes")), "responses")

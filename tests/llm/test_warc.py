@@ -29,6 +29,18 @@ def test_round_trip(spark):
     assert ops.archived(spark.createDataFrame([], SCHEMA)).collect() == []
 
 
+def test_long_urls(spark):
+    pages = [(1, "http://h/" + "u" * 100_000, "same", ""), (2, "http://h/2", "same", ""), (3, "http://h/" + "é" * 500_000, "other", "")]
+    assert sorted(tuple(r) for r in ops.archived(spark.createDataFrame(pages, SCHEMA)).collect()) == expected(pages)
+
+
+def test_header_without_end():
+    parts = [record(1, b"one", b"X: " + b"y" * 200_000 + b"\r\n"), record(2, b"two")]
+    assert read(b"".join(parts)) == (list("12"), [])
+    assert read(parts[0] + b"WARC/1.0\r\nX: " + b"y" * 100_000) == (["1"], [(len(parts[0]), 100_013, "header without end")])
+    assert read(b"WARC/1.0\r\nX: " + b"y" * 100_000 + b"\r\n" + parts[1]) == (["2"], [(0, 100_015, "malformed header")])
+
+
 def test_null_and_repeated_ids(spark):
     pages = [(None, "u", "same", ""), (None, "u", "lone", ""), (4, "u", "same", ""), (4, "u", "same", ""), (9, "u", "same", "")]
     out = sorted((r["page_id"] or 0, r["record_type"], r["refers_to"], r["payload_bytes"]) for r in ops.archived(spark.createDataFrame(pages, SCHEMA)).collect())
