@@ -5,7 +5,7 @@ its chunks' identifiers. An identifier is a keyed 128-bit digest, and it is veri
 contents ever share a digest, all digests are made anew with the next key. After that, equal recipes mean equal texts, so the
 texts themselves are never sorted, grouped or joined; only recipes of a few bytes per kilobyte are.
 
-Edge cases: null and empty texts equal each other; rows with one ``doc_id`` count as one document and share ``kept``; a group whose ids
+Edge cases: null and empty texts equal each other; rows with one ``doc_id`` and text share ``kept``; a group whose ids
 are all null has a null ``keep_id`` and all its rows stay; an empty table gives an empty result; other columns are ignored.
 """
 
@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from salesflow.llm.shared import ascii_lower, stored
+from salesflow.llm.shared import ascii_lower, stored, without
 
 SMALLEST, LARGEST, MEAN_BITS, WINDOW = 512, 16384, 11, 32
 BLOCK = 1 << 20
@@ -119,6 +119,11 @@ def exact_groups(documents: DataFrame) -> DataFrame:
 
 
 def drop_copies(documents: DataFrame) -> DataFrame:
-    """``documents`` with one document of each group of equal texts, columns as they are."""
-    gone = stored(exact_groups(documents).where(~F.col("kept")).select("doc_id"), "dropped")
-    return documents.join(gone, "doc_id", "left_anti").select(*documents.columns)
+    """``documents`` with one row of each group of equal texts, columns as they are; rows of a group without any id all stay.
+
+    Rows are told apart by id and text: another text under a dropped row's id stays, and of repeated rows one.
+    """
+    copies = exact_groups(documents).where("group_size > 1 AND keep_id IS NOT NULL")
+    rows = stored(copies.groupBy(F.col("doc_id").alias("dropped_id"), F.col("text_sha256").alias("dropped_key"), "kept").agg(F.count(F.lit(1)).alias("n")), "copies")
+    marks = lambda which: rows.where(which).select("dropped_id", "dropped_key")
+    return without(documents, stored(marks("NOT kept"), "dropped"), stored(marks("kept AND n > 1"), "repeated"))

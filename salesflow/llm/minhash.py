@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from salesflow.llm.components import components
-from salesflow.llm.shared import ascii_lower, stored
+from salesflow.llm.shared import ascii_lower, stored, text_key, without
 from salesflow.llm.wordhash import mixed, shingle_sets, text_slices
 
 ROWS, BANDS = 7, 48
@@ -198,6 +198,20 @@ def near_groups(documents: DataFrame, words: int = 5, percent: int = 80) -> Data
 
 
 def drop_near_copies(documents: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
-    """``documents`` with the least id of each group of near copies, columns as they are."""
-    gone = stored(near_groups(documents, words, percent).where(~F.col("kept")).select(F.col("doc_id").alias("dropped_id")), "dropped")
-    return documents.join(gone, documents["doc_id"] == gone["dropped_id"], "left_anti").select(*documents.columns)
+    """``documents`` with the least id of each group of near copies, columns as they are.
+
+    Where ids are missing or reused, each different pair of id and text is a document of its own, in the order of id (null last) and
+    text key, and of equal pairs one row stays unless it is wordless.
+    """
+    keyed = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text", text_key(F.col("text")).alias("key"))
+    reused = documents.groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.count(F.lit(1)).alias("n")).where("n > 1 OR doc_id IS NULL")
+    if reused.isEmpty():
+        gone = stored(near_groups(documents, words, percent).where(~F.col("kept")).select(F.col("doc_id").alias("dropped_id")), "dropped")
+        return documents.join(gone, documents["doc_id"] == gone["dropped_id"], "left_anti").select(*documents.columns)
+    pairs = keyed.groupBy(F.col("doc_id").alias("dropped_id"), F.col("key").alias("dropped_key")).agg(F.count(F.lit(1)).alias("n"), F.max("text").alias("text"))
+    placed = pairs.orderBy(F.asc_nulls_last("dropped_id"), "dropped_key").withColumn("row_id", F.monotonically_increasing_id())
+    own = stored(placed, "numbered")
+    groups = stored(near_groups(own.select(F.col("row_id").alias("doc_id"), "text"), words, percent).select(F.col("doc_id").alias("row_id"), "n_shingles", "kept"), "groups")
+    judged = own.drop("text").join(groups, "row_id")
+    marks = lambda which: judged.where(which).select("dropped_id", "dropped_key")
+    return without(documents, stored(marks("NOT kept"), "dropped"), stored(marks("kept AND n > 1 AND n_shingles > 0"), "repeated"))

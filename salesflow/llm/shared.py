@@ -60,6 +60,30 @@ def ascii_lower(text: Column) -> Column:
     return F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
 
+def text_key(text: Column) -> Column:
+    """SHA-256 of a text, A-Z lowered and null as empty: with ``doc_id`` it tells rows apart where ids are reused."""
+    return F.sha2(ascii_lower(F.coalesce(text, F.lit(""))).cast("binary"), 256)
+
+
+def without(documents: DataFrame, gone: DataFrame, repeated: DataFrame) -> DataFrame:
+    """``documents`` without the rows of ``gone``, and one row for each of ``repeated``; both are stored (dropped_id, dropped_key) rows.
+
+    Of repeated rows that differ in other columns, the last by all columns as JSON stays.
+    """
+    columns = documents.columns
+    keyed = documents.withColumn("_key", text_key(F.col("text")))
+
+    def joined(rows: DataFrame, marks: DataFrame, how: str) -> DataFrame:
+        return rows.join(marks, rows["doc_id"].cast("long").eqNullSafe(marks["dropped_id"]) & (rows["_key"] == marks["dropped_key"]), how)
+
+    left = keyed if gone.isEmpty() else joined(keyed, gone, "left_anti")
+    if repeated.isEmpty():
+        return left.select(*columns)
+    whole = F.struct(*columns)
+    one = joined(left, repeated, "left_semi").groupBy(F.col("doc_id").cast("long").alias("_id"), "_key").agg(F.max_by(whole, F.to_json(whole)).alias("_row"))
+    return joined(left, repeated, "left_anti").select(*columns).unionByName(one.select("_row.*"))
+
+
 def crc_remainder(identifier: Column, divisor: int) -> Column:
     """CRC-32 of the identifier as text, modulo ``divisor``; null for a null identifier."""
     return F.crc32(identifier.cast("string")) % F.lit(divisor)

@@ -49,3 +49,9 @@ def test_stage_keeps_columns(spark):
     rows = [(1, "a", "x"), (2, "A", "y"), (None, "q", "z"), (None, "q", "z")]
     out = ops.drop_copies(spark.createDataFrame(rows, SCHEMA))
     assert out.columns == ["doc_id", "text", "kept"] and sorted(str(r["doc_id"]) for r in out.collect()) == ["2", "None", "None"]
+
+
+def test_stage_tells_rows_apart_by_id_and_text(spark):
+    rows = [(5, "x", "a"), (5, "y", "a"), (9, "x", "a"), (7, "z", "a"), (7, "z", "a"), (None, "y", "a"), (3, "w", "a"), (3, "W", "b"), (None, "v", "a")]
+    out = ops.drop_copies(spark.createDataFrame(rows, SCHEMA)).collect()
+    assert sorted(((r["doc_id"], r["text"].lower()) for r in out), key=str) == [(3, "w"), (5, "y"), (7, "z"), (9, "x"), (None, "v")]

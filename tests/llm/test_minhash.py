@@ -98,6 +98,13 @@ def test_stage_keeps_columns(spark):
     assert out.columns == ["doc_id", "text", "extra"] and sorted(r["doc_id"] for r in out.collect()) == [1, 3]
 
 
+def test_stage_tells_rows_apart_by_id_and_text(spark):
+    one, other, third = (" ".join(f"{c}{k}" for k in range(60)) for c in "xyz")
+    rows = [(5, one, ""), (5, other, ""), (2, one + " end", ""), (9, other + " end", ""), (7, third, ""), (7, third, ""), (None, third + " end", ""), (8, " ", ""), (8, " ", "")]
+    out = minhash.drop_near_copies(spark.createDataFrame(rows, SCHEMA)).collect()
+    assert sorted((r["doc_id"], r["text"]) for r in out) == sorted([(2, one + " end"), (5, other), (7, third), (8, " "), (8, " ")])
+
+
 def test_query_on_small_tables(spark):
     from salesflow.llm import queries
 
