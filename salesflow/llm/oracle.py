@@ -4,7 +4,7 @@ from __future__ import annotations
 
 
 def all_sql() -> dict[str, str]:
-    return {"op6_warc": OP6, "op8_mixture": OP8, "op9_exact_dedup": OP9}
+    return {"op6_warc": OP6, "op8_mixture": OP8, "op9_exact_dedup": OP9, "op12_lexical_search": OP12}
 
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -71,3 +71,22 @@ SELECT page_id, strlen(payload)::BIGINT AS payload_bytes,
        CASE WHEN page_id <> first_id THEN first_id END AS refers_to
 FROM plain JOIN first USING (payload)
 """
+
+OP12 = r"""
+WITH words AS (
+  SELECT doc_id, unnest(regexp_extract_all(translate(text, '%s', '%s'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM documents),
+posted AS (SELECT doc_id, term, count(*)::BIGINT AS tf FROM words GROUP BY doc_id, term),
+lengths AS (SELECT doc_id, sum(tf)::BIGINT AS n FROM posted GROUP BY doc_id),
+corpus AS (SELECT count(*)::BIGINT AS docs, sum(n)::BIGINT AS terms FROM lengths),
+weights AS (
+  SELECT term, floor(1000 * ln((2 * docs + 2)::DOUBLE / (2 * df + 1)))::BIGINT AS w
+  FROM (SELECT term, count(*)::BIGINT AS df FROM posted GROUP BY term), corpus),
+norms AS (SELECT doc_id, 100 - 75 + ((75 * n * docs) // terms) AS m FROM lengths, corpus),
+asked AS (
+  SELECT item_id, unnest(regexp_extract_all(translate(text, '%s', '%s'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark),
+scored AS (
+  SELECT item_id, doc_id, sum(w * ((1000000000 * tf) // (1000 * tf + 8 * m)))::BIGINT AS score
+  FROM asked JOIN posted USING (term) JOIN weights USING (term) JOIN norms USING (doc_id) GROUP BY item_id, doc_id),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INT AS rank FROM scored WHERE score > 0)
+SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 10
+""" % ((UPPER, LOWER) * 2)

@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from salesflow.llm import decontaminate, exact_dedup, langid, licenses, minhash, mixture, quality, toxicity, url_rules, warc
+from salesflow.llm import align, bpe, decontaminate, exact_dedup, langid, lexical, licenses, minhash, mixture, quality, toxicity, url_rules, warc
 from salesflow.llm.shared import ship_package
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -81,3 +82,23 @@ def op9_exact_dedup(spark: SparkSession, d: str) -> DataFrame:
 def op10_url_rules(spark: SparkSession, d: str) -> DataFrame:
     pages = table(spark, d, "pages", "page_id", "url")
     return url_rules.judged(pages, url_rules.labelled_pages(spark, pages, table(spark, d, "labels", "doc_id", "quality", "toxic"))).drop("confidence")
+
+
+@register
+def op11_tokenizer_alignment(spark: SparkSession, d: str) -> DataFrame:
+    paths = (public_tokenizers.path(name) for name in ("byte_bpe_50k.json", "piece_bpe_32k.model"))
+    return align.link_report(table(spark, d, "documents", "doc_id", "text"), *paths)
+
+
+@register
+def op12_lexical_search(spark: SparkSession, d: str) -> DataFrame:
+    documents, items = table(spark, d, "documents", "doc_id", "text"), table(spark, d, "benchmark", "item_id", "text")
+    return lexical.search(lexical.index(documents), items, 10)
+
+
+@register
+def op13_byte_bpe(spark: SparkSession, d: str) -> DataFrame:
+    path = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    back = bpe.decoded(bpe.encoded(table(spark, d, "documents", "doc_id", "text"), path), path)
+    ids = F.array_join(F.col("ids").cast("array<string>"), " ")
+    return back.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(ids, 256).alias("ids_sha256"), F.sha2("bytes", 256).alias("decoded_sha256"))
