@@ -11,8 +11,8 @@ family of edited copies are compared with that middle, and of the pairs still le
 similarity: see ``_open_pairs``. No candidate link is lost and nothing is capped.
 
 Edge cases: a text without words has no shingles, is linked with nothing and stays; with fewer words than a shingle the whole sequence is
-one; rows with one ``doc_id`` count as one document; a row without ``doc_id`` is linked with nothing, has a null component and stays; an
-empty table gives an empty result; other columns are ignored.
+one; rows with one ``doc_id`` are one document that has the links of all its texts; a row without ``doc_id`` is linked with nothing, has a null component and stays; an
+empty table gives an empty result; other columns are ignored; a text of any length is hashed whole, in blocks.
 """
 
 from __future__ import annotations
@@ -159,8 +159,30 @@ def _open_pairs(bounded: DataFrame, ranked: DataFrame, parts: DataFrame, percent
 
 
 def near_groups(documents: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
-    """A row per document: doc_id, n_shingles, component_id (least id reachable over links of ``percent`` similarity), kept."""
+    """A row per document: doc_id, n_shingles, component_id (least id reachable over links of ``percent`` similarity), kept.
+
+    Where an id is reused, its document has the links of all its texts, and each row the number of its own shingles.
+    """
     docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), ascii_lower(F.coalesce("text", F.lit(""))).alias("text"))
+    if docs.where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").isEmpty():
+        return _groups(docs, words, percent)
+    unnamed = _groups(docs.where("doc_id IS NULL"), words, percent)
+    keyed = docs.where("doc_id IS NOT NULL").withColumn("key", F.sha2(F.col("text").cast("binary"), 256))
+    pairs = keyed.groupBy("doc_id", "key").agg(F.max("text").alias("text"))
+    own = stored(pairs.orderBy("doc_id", "key").withColumn("row", F.monotonically_increasing_id()), "numbered")
+    groups = stored(_groups(own.select(F.col("row").alias("doc_id"), "text"), words, percent).select(F.col("doc_id").alias("row"), "n_shingles", "component_id"), "groups")
+    rows = stored(own.select("row", "doc_id", "key").join(groups, "row"), "rows")
+    first = rows.groupBy("doc_id").agg(F.min("row").alias("first"))
+    linked = components(rows.join(first, "doc_id").select("row", "first").union(rows.select("row", "component_id")))
+    # Rows are numbered in the order of ids, so the least row of a component has its least id.
+    least = linked.join(rows.select(F.col("row").alias("component"), F.col("doc_id").alias("least_id")), "component").select(F.col("node").alias("row"), "least_id")
+    found = rows.join(least, "row", "left").select("doc_id", "key", "n_shingles", F.coalesce("least_id", "doc_id").alias("component_id"))
+    met = keyed.select("doc_id", "key").join(found, ["doc_id", "key"])
+    return met.select("doc_id", "n_shingles", "component_id", (F.col("doc_id") == F.col("component_id")).alias("kept")).union(unnamed)
+
+
+def _groups(docs: DataFrame, words: int, percent: int) -> DataFrame:
+    """``near_groups`` of lowered texts with distinct or null ids."""
     signed = stored(_signed(docs, words), "signed")
     usable = signed.where("n_shingles > 0 AND doc_id IS NOT NULL")
     # Texts with one shingle set: the least id stands for all.

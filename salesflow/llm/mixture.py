@@ -89,9 +89,8 @@ def _threshold(pool: DataFrame, budgets: DataFrame) -> DataFrame:
     return state.select("source", "budget", "below", F.col("prefix").alias("border"), "at")
 
 
-def mix(documents: DataFrame, weights: tuple[int, ...] = WEIGHTS) -> DataFrame:
-    """A row per document: doc_id, size, source_size, target, taken (words), copies (whole times the mix takes it)."""
-    pool = stored(sized(documents), "sizes")
+def _plan(pool: DataFrame, weights: tuple[int, ...]) -> DataFrame:
+    """A row per source: its name as ``of``, source_size, target, passes, and the limits and rests of all rounds."""
     goal = stored(targets(pool, weights), "targets")
     passes = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(F.lit(0)).cast("long")
     budget = F.when(F.col("source_size") > 0, F.col("target") - passes * F.col("source_size")).otherwise(F.lit(0.0))
@@ -117,26 +116,41 @@ def mix(documents: DataFrame, weights: tuple[int, ...] = WEIGHTS) -> DataFrame:
             rest = left.where(~_taken(turn) & (F.col("size") <= F.col(f"left{turn}"))).select(*[pool[c] for c in pool.columns])
     b = bounds.withColumnRenamed("source", "of")
     g = goal.withColumnRenamed("source", "named").withColumn("passes", passes)
-    per_source = stored(b.join(g, b["of"].eqNullSafe(g["named"])).drop("named"), "plan")
+    return stored(b.join(g, b["of"].eqNullSafe(g["named"])).drop("named"), "plan")
+
+
+def _copies(of: str = "") -> Column:
+    """How many times a row is read, from its hash and size and its source's plan; ``of`` precedes all their names."""
+    once_more = F.when(_taken(ROUNDS, of), 1).otherwise(0)
+    return F.least(F.lit(MAX_REPEATS), F.col(f"{of}passes") + once_more).cast("int")  # only a wordless text could go beyond
+
+
+def mix(documents: DataFrame, weights: tuple[int, ...] = WEIGHTS) -> DataFrame:
+    """A row per document: doc_id, size, source_size, target, taken (words), copies (whole times the mix takes it)."""
+    pool = stored(sized(documents), "sizes")
+    per_source = _plan(pool, weights)
     out = pool.join(per_source, pool["source"].eqNullSafe(per_source["of"]))
-    copies = F.least(F.lit(MAX_REPEATS), F.col("passes") + F.when(_taken(ROUNDS), 1).otherwise(0)).cast("int")  # only a wordless text could go beyond
+    copies = _copies()
     return out.select("doc_id", "size", F.col("source_size").cast("long").alias("source_size"), "target", (copies * F.col("size")).cast("long").alias("taken"), copies.alias("copies"))
 
 
-def _taken(turns: int) -> Column:
+def _taken(turns: int, of: str = "") -> Column:
     """Whether one of the first ``turns`` thresholds takes the document; later rounds offer only what fits."""
-    out = F.col("hash") < F.col("limit1")
+    mine = lambda name: F.col(f"{of}{name}")
+    out = mine("hash") < mine("limit1")
     for turn in range(2, turns + 1):
-        out = out | ((F.col("size") <= F.col(f"left{turn - 1}")) & (F.col("hash") < F.col(f"limit{turn}")))
+        out = out | ((mine("size") <= mine(f"left{turn - 1}")) & (mine("hash") < mine(f"limit{turn}")))
     return out
 
 
 def take_mix(documents: DataFrame, weights: tuple[int, ...] = WEIGHTS) -> DataFrame:
     """The documents that the mix takes, columns as they are, and ``copies``: how many times each is to be read.
 
-    A clashing column ``copies`` of the input is replaced. Rows with a null id are hashed like any other.
+    Every row is judged where it is read, by its own size and hash and the plan of its source; rows with equal ids that differ in size may be
+    taken differently often. A clashing column ``copies`` of the input is replaced. Rows with a null id are hashed like any other.
     """
-    chosen = stored(mix(documents, weights).where("copies > 0").groupBy("doc_id").agg(F.max("copies").alias("mix_copies")), "mix")
-    c = chosen.withColumnRenamed("doc_id", "mix_id")
-    kept = documents.join(c, documents["doc_id"].cast("long").eqNullSafe(c["mix_id"]))
-    return kept.select(*[documents[x] for x in documents.columns if x != "copies"], F.col("mix_copies").alias("copies"))
+    per_source = _plan(stored(sized(documents), "sizes"), weights)
+    plan = per_source.select(F.struct(*per_source.columns).alias("_mix"))
+    own = F.struct("_mix.*", size_in_words(F.col("text")).alias("size"), hash60(F.col("doc_id")).alias("hash"))
+    met = documents.join(plan, documents["source"].eqNullSafe(plan["_mix"]["of"])).withColumn("_mix", own).withColumn("_copies", _copies("_mix."))
+    return met.where("_copies > 0").select(*[documents[x] for x in documents.columns if x != "copies"], F.col("_copies").alias("copies"))

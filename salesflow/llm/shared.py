@@ -15,14 +15,18 @@ from pyspark.sql import functions as F
 CHECKPOINT_DIR = "spark.checkpoint.dir"
 WHITE_SPACE = "[\\x20\\x09-\\x0D]+"
 BLOCK = 1 << 20
+BATCH_ROWS, BATCH_SETTING = "1000", "spark.sql.execution.arrow.maxRecordsPerBatch"
 _SHIPPED: set[str] = set()
 
 
 def ship_package(spark: SparkSession) -> None:
     """Sends this package to the workers of the session, once: tasks import it wherever the driver was started.
 
-    Nothing is sent when the package itself was shipped as an archive.
+    Nothing is sent when the package itself was shipped as an archive. Batches of rows between executors and their Python workers are
+    kept small, unless the session sets their size: whole texts stand in them, on both sides.
     """
+    if spark.conf.get(BATCH_SETTING) == "10000":
+        spark.conf.set(BATCH_SETTING, BATCH_ROWS)
     context, root = spark.sparkContext, Path(__file__).resolve().parents[2]
     if context.applicationId in _SHIPPED or not (root / "salesflow").is_dir():
         return

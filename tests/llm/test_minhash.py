@@ -111,3 +111,12 @@ def test_query_on_small_tables(spark):
     rows = duckdb.sql("SELECT doc_id, text FROM '/root/testdata/sf0.001/documents.parquet'").fetchall()
     out = queries.op1_near_dedup(spark, "/root/testdata/sf0.001")
     assert sorted(map(tuple, out.collect())) == brute(rows, 4, 80)
+
+
+@pytest.mark.parametrize("parts", [1, 2, 3, 5])
+def test_a_reused_id_has_the_links_of_all_its_texts(spark, parts):
+    a, b = (" ".join(f"{x}{k}" for k in range(60)) for x in "ab")
+    rows = [(1, a), (5, b), (5, a), (9, a + " more"), (10, b + " more"), (11, "alone"), (5, None), (None, a), (12, "alone too")]
+    out = minhash.near_groups(spark.createDataFrame([(*r, "x") for r in rows], "doc_id long, text string, key string").repartition(parts)).collect()
+    assert sorted(((r.doc_id, r.component_id) for r in out), key=str) == sorted([(1, 1), (5, 1), (5, 1), (5, 1), (9, 1), (10, 1), (11, 11), (None, None), (12, 12)], key=str)
+    assert all(r.kept == (r.doc_id == r.component_id and r.doc_id is not None or r.doc_id is None) for r in out)

@@ -39,3 +39,11 @@ def test_stage_and_empty_table(spark):
     out = ops.take_mix(spark.createDataFrame(made(), SCHEMA))
     assert out.columns == ["doc_id", "text", "source", "copies"] and all(1 <= r["copies"] <= 3 for r in out.collect())
     assert ops.mix(spark.createDataFrame([], SCHEMA)).collect() == []
+
+
+def test_rows_are_judged_one_by_one(spark):
+    """Two rows share an id and differ in size: the stage takes of each what the mix plans for it."""
+    rows = [(i % 9, "w " * (3 + 7 * i % 40), f"s{i % 3}", 1) for i in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, size int").repartition(4)
+    planned = ops.mix(docs).agg({"taken": "sum"}).first()[0]
+    assert sum(len(r["text"].split()) * r["copies"] for r in ops.take_mix(docs).collect()) == planned
