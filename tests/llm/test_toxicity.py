@@ -44,3 +44,38 @@ def test_held_out_accuracy(spark):
     wrong = [x for x in held if x[0] != x[1]]
     assert len(held) > 500 and len(wrong) <= 0.03 * len(held), (len(held), wrong)
     assert all(0 <= r["score"] <= 1 for r in out.values())
+
+
+def test_lexicon_as_brute_force(spark):
+    """Entries and weights from plain counts over the training rows."""
+    import math
+    import zlib
+
+    d = "/root/testdata/sf0.01"
+    texts = dict(duckdb.sql(f"SELECT doc_id, text FROM '{d}/documents.parquet'").fetchall())
+    labels = [(i, t) for i, t in duckdb.sql(f"SELECT doc_id, toxic FROM '{d}/labels.parquet'").fetchall() if zlib.crc32(str(i).encode()) % 4 != 2]
+    count, total = {}, [0, 0]
+    for i, toxic in labels:
+        total[toxic] += 1
+        for gram in ops._grams(texts[i] or ""):
+            count.setdefault(gram, [0, 0])[toxic] += 1
+    weight = {g: math.log((t + 0.5) / (total[1] + 1)) - math.log((c + 0.5) / (total[0] + 1)) for g, (c, t) in count.items() if t >= ops.SUPPORT}
+    docs = spark.read.parquet(f"{d}/documents.parquet").select("doc_id", "text")
+    lexicon = ops.learn(docs, spark.read.parquet(f"{d}/labels.parquet"))
+    fit = {g for g, w in weight.items() if w >= ops.RATIO}
+    assert set(lexicon.weights) <= fit and fit and all(abs(w - weight[g]) < 1e-9 for g, w in lexicon.weights.items())
+    kept, missed = ({g.removeprefix("^") for g in x} for x in (lexicon.weights, fit - set(lexicon.weights)))
+    assert all(any(k.startswith(m) or m.startswith(k) for k in kept) for m in missed)
+
+
+def test_held_out_labels_enter_no_choice(spark):
+    import zlib
+
+    d = "/root/testdata/sf0.001"
+    docs = spark.read.parquet(f"{d}/documents.parquet").select("doc_id", "text")
+    rows = [(r.doc_id, r.toxic) for r in spark.read.parquet(f"{d}/labels.parquet").collect()]
+    other = [(i, 1 - t if zlib.crc32(str(i).encode()) % 4 == 2 else t) for i, t in rows]
+    tables = [spark.createDataFrame(x, "doc_id long, toxic int") for x in (rows, other)]
+    assert rows != other
+    assert ops.cross_validated(docs, tables[0], [(2, 2.0)], 2) == ops.cross_validated(docs, tables[1], [(2, 2.0)], 2)
+    assert ops.learn(docs, tables[0]) == ops.learn(docs, tables[1])
