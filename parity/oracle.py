@@ -311,6 +311,13 @@ def all_sql() -> dict[str, str]:
         "curate_job_months": MONTHS_SQL,
         "curate_job_regions": REGIONS_SQL,
         "curate_two_batches": MONTHS_SQL,
+        "curate_moved_day": f"""{W_CLEAN}, moved AS (SELECT *, "timestamp" >= DATE '1997-01-01' AND "timestamp" < DATE '1997-04-01' AS resent FROM clean),
+            dated AS (SELECT *, CASE WHEN resent THEN CAST("timestamp" + INTERVAL 45 DAY AS DATE) ELSE CAST("timestamp" AS DATE) END AS on_day FROM moved)
+            SELECT transaction_id, customer_id, product_category, {hundredths('CASE WHEN resent THEN 2 * cents ELSE cents END')} AS amount, region,
+            CAST(year(on_day) AS INT) AS year, CAST(month(on_day) AS INT) AS month, CAST(day(on_day) AS INT) AS day FROM dated""",
+        "curate_moved_months": MONTHS_SQL.replace(
+            "FROM attributed)", """FROM (SELECT * REPLACE (CASE WHEN "timestamp" >= DATE '1997-01-01' AND "timestamp" < DATE '1997-04-01'
+            THEN "timestamp" + INTERVAL 365 DAY ELSE "timestamp" END AS "timestamp") FROM attributed))""", 1),
         "console_summary_categories": f"{W_CLEAN}, {CATEGORY} SELECT product_category, total_revenue, revenue_pct FROM category",
         "csv_export": f"{W_CLEAN}, {MONTHLY} SELECT month_label, total_revenue, prev_month_revenue, mom_growth_pct FROM monthly",
         "report_bundle": f"""{W_CLEAN}, {REGIONS} SELECT 'summary' AS section, CAST(NULL AS VARCHAR) AS region,
@@ -363,6 +370,10 @@ def all_sql() -> dict[str, str]:
             {hundredths('sum(CAST(round(value * 100) AS BIGINT))')} AS total_revenue, count(*) AS transaction_count FROM events
             WHERE date_trunc('day', ts) + INTERVAL 1 DAY <= (SELECT max(ts) - INTERVAL 1 DAY FROM events) GROUP BY 1, 2""",
         "stream_kpi_refresh": MONTHS_SQL,
+        "refresh_funnel": f"{W_JUDGED}, {FUNNEL} SELECT * FROM funnel",
+        "refresh_rejects": f"""WITH {LINES}, {JUDGED}, {ATTRIBUTES.format(source='judged')}
+            SELECT transaction_id, customer_id, product_category, amount, {STAMP.format('"timestamp"')} AS "timestamp", region, reason,
+            count(*) AS row_count FROM attributed WHERE reason <> 'ok' GROUP BY ALL""",
         "stream_kpi_refresh_categories": CATEGORIES_SQL,
         "stream_kpi_refresh_regions": REGIONS_SQL,
     }

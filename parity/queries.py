@@ -643,6 +643,29 @@ def curate_two_batches(spark, d):
     return plain(made[jobs.KPI_MONTHLY].drop("_computed_at"))
 
 
+@register
+def curate_moved_day(spark, d):
+    """The whole fact, then the sales of one quarter resent with other days and doubled amounts: each stands once, on its new day."""
+    root = scratch_path(spark, "moved")
+    zone = landing.read_cleansed(spark, _star_cleanse(spark, d))
+    jobs.curate(spark, zone, root, full=True)
+    quarter = zone.filter("timestamp >= '1997-01-01' AND timestamp < '1997-04-01'")
+    resent = quarter.withColumns({"timestamp": F.expr("timestamp + INTERVAL 45 DAYS"), "amount": (F.col("amount") * 2).cast("decimal(12,2)")})
+    jobs.curate(spark, resent, root)
+    return plain(landing.read_fact(spark, f"{root}/sales").select(KEY, "customer_id", "product_category", "amount", "region", "year", "month", "day"))
+
+
+@register
+def curate_moved_months(spark, d):
+    """The monthly KPI after a quarter moved by a year: its months are gone from the rollup, later ones have grown."""
+    root = scratch_path(spark, "moved")
+    zone = landing.read_cleansed(spark, _star_cleanse(spark, d))
+    jobs.curate(spark, zone, root, full=True)
+    quarter = zone.filter("timestamp >= '1997-01-01' AND timestamp < '1997-04-01'")
+    made = jobs.curate(spark, quarter.withColumn("timestamp", F.expr("timestamp + INTERVAL 365 DAYS")), root)
+    return plain(made[jobs.KPI_MONTHLY].drop("_computed_at"))
+
+
 @register
 def console_summary_categories(spark, d):
     root = _star_curated(spark, d)
@@ -887,5 +910,26 @@ def stream_kpi_refresh_regions(spark, d):
     return plain(spark.read.parquet(f"{_refreshed(spark, d)}/kpis/top_regions_by_volume").drop("_computed_at"))
 
 
+@register
+def refresh_funnel(spark, d):
+    """The funnel over all shipments, from the ledger of their counts."""
+    return refresh.funnel(spark, _refreshed(spark, d))
+
+
+def _listed_rejects(listed: DataFrame) -> DataFrame:
+    # A duplicate or keyless row stands for itself; an invalid first copy's duplicates are listed on their own.
+    rows = F.when(F.col("reason").isin("duplicate", "pk_null"), F.col("copies")).otherwise(1)
+    shown = [KEY, "customer_id", "product_category", F.col("raw_amount").cast("double").alias("amount"),
+             F.date_format(F.col("raw_timestamp").cast("timestamp"), TIMESTAMP_FORMAT).alias("timestamp"), "region", "reason"]
+    return listed.filter("reason <> 'ok'").select(*shown, rows.alias("row_count")).groupBy(
+        KEY, "customer_id", "product_category", "amount", "timestamp", "region", "reason").agg(F.sum("row_count").alias("row_count"))
+
+
+@register
+def refresh_rejects(spark, d):
+    """Every row of all shipments that was not kept, rows sent again in a later one included."""
+    return _listed_rejects(spark.read.parquet(f"{_refreshed(spark, d)}/received"))
+
+
 def all_queries() -> dict[str, Query]:
     return dict(_REGISTRY)

@@ -173,11 +173,32 @@ FUNNEL_STEPS = ("raw", "after_pk_null_drop", "after_dedup", "after_amount", "aft
 
 def quality_funnel(checked: DataFrame) -> DataFrame:
     """One row per step with the rows left after it."""
+    return funnel_steps(quality_counts(checked))
+
+
+def listed_counts(listed: DataFrame) -> DataFrame:
+    """The funnel as one row of counts, from a listing in which every input row stands: duplicates and rows without a key by ``copies``."""
+    folded = F.col("reason").isin(PK_NULL, DUPLICATE)
+    rows = F.when(folded, F.col("copies")).otherwise(1)
+
+    def total(kept: Column) -> Column:
+        return F.coalesce(F.sum(F.when(kept, rows)), F.lit(0)).cast("bigint")
+
+    keyed = F.col("reason") != PK_NULL
+    counts = listed.agg(
+        total(F.lit(True)).alias("raw"), total(keyed).alias("after_pk_null_drop"), total(~folded).alias("after_dedup"),
+        total(F.col("reason").isin(TIMESTAMP_NULL, OK)).alias("after_amount"), total(F.col("reason") == OK).alias("after_ts"),
+    )
+    return counts.withColumn("final", F.col("after_ts"))
+
+
+def funnel_steps(counts: DataFrame) -> DataFrame:
+    """A row of counts as one row per step."""
     steps = F.array(*[
         F.struct(F.lit(i + 1).alias("step_no"), F.lit(s).alias("step"), F.col(s).alias("row_count"))
         for i, s in enumerate(FUNNEL_STEPS)
     ])
-    return quality_counts(checked).select(F.inline(steps))
+    return counts.select(F.inline(steps))
 
 
 def step_drops(funnel: DataFrame) -> DataFrame:

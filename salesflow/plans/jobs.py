@@ -14,6 +14,7 @@ from salesflow.operators.cleanse import (
 )
 from salesflow.rules import CLEANSED_COLUMNS, KEY, CleansingRules
 from salesflow.sinks import catalog, files, warehouse
+from salesflow.sinks.history import BATCH, History
 from salesflow.sources.landing import ARRIVAL, apply_contract, read_cleansed, read_fact
 
 # KPI directory names.
@@ -60,26 +61,62 @@ def curate(
     spark: SparkSession, cleansed: DataFrame, root: str,
     run_ts: Column | None = None, *, full: bool = False,
 ) -> dict[str, DataFrame]:
-    """Merge the cleansed rows into the partitioned fact, then compute the KPIs from the whole fact.
+    """Merge the cleansed rows into the partitioned fact, then compute the KPIs from the rollup.
 
-    Days that the rows touch are written anew, stored rows of theirs included
-    unless a new row has their key; all other days stay. ``full`` replaces the
-    whole fact instead. The rollup is written too, from narrow scans of the fact:
-    month totals and the distinct customers under the key of each KPI.
+    A transaction stands once: rows replace stored ones with their key, also where these lie on another day. An index of keys and
+    their days, bucketed by key, tells which days a batch touches; only those are read and written, and only their months are summed
+    up again. ``full`` replaces the whole fact instead. The index is written before the fact and lists every day a key ever had, so a run
+    that broke off is made good by running it again.
     """
     dated = kpis.add_date_parts(cleansed)
-    before = None if full else _fact_so_far(spark, f"{root}/sales")
+    index = History(spark, f"{root}/days", {KEY: "string", **dict.fromkeys(files.FACT_PARTITIONS, "int")}, KEY)
+    fact_path = f"{root}/sales"
+    before = None if full else _fact_so_far(spark, fact_path)
     if before is None:
-        files.write_fact(dated, f"{root}/sales")
-    else:
-        _merged_days(dated, before).write.mode("overwrite").parquet(f"{root}/merged_days")  # a path is never overwritten by a plan that reads it
-        files.write_fact(spark.read.parquet(f"{root}/merged_days"), f"{root}/sales", replace_days_only=True)
+        index.fill(dated.withColumn(BATCH, F.lit(0)))
+        files.write_fact(dated, fact_path)
+        _roll_up(spark, root, None)
+        return write_kpis(spark, root, run_ts)
+    whole_rollup = index.is_new  # of a fact without an index, nothing is known to be summed up by month
+    if index.is_new:
+        index.write(before.filter(F.col(KEY).isNotNull()), 0)
+    _roll_up(spark, root, _merge(spark, dated, before, index, fact_path), all_months=whole_rollup)
+    return write_kpis(spark, root, run_ts)
+
+
+def _merge(spark: SparkSession, new: DataFrame, before: DataFrame, index: History, path: str) -> list[tuple[int, int]]:
+    """Replace the days that ``new`` touches; returns their months."""
+    days = list(files.FACT_PARTITIONS)
+    earlier = index.matching(new.select(KEY, *days)).select(*days)
+    touched = new.select(*days, F.lit(True).alias("own")).union(earlier.withColumn("own", F.lit(False))).groupBy(*days).agg(F.max("own").alias("own")).collect()  # bounded by the calendar
+    index.write(new.select(KEY, *days), index.next_batch())
+    number = (F.col("year") * 12 + F.col("month")) * 31 + F.col("day")
+    chosen = before.filter(number.isin([(r.year * 12 + r.month) * 31 + r.day for r in touched]))
+    stays = chosen.join(new.select(KEY), KEY, "left_anti")
+    left_behind = [(r.year, r.month, r.day) for r in touched if not r.own]
+    if left_behind:  # days from which every row has moved have none to be overwritten with
+        kept = {tuple(r) for r in stays.select(*days).distinct().collect()}
+        left_behind = [day for day in left_behind if day not in kept]
+    # The days are written beside the old ones and put in their place when all are done, so the plan may read what it replaces.
+    files.write_fact(new.unionByName(stays.select(*new.columns)), path, replace_days_only=True)
+    files.remove_partitions(spark, path, days, left_behind)
+    return sorted({(r.year, r.month) for r in touched})
+
+
+def _roll_up(spark: SparkSession, root: str, months: list[tuple[int, int]] | None, *, all_months: bool = False) -> None:
+    """Month totals, and by month the customers under the key of each KPI, from narrow scans of the given months of the fact (None: all)."""
     fact = read_fact(spark, f"{root}/sales")
+    every = months is None or all_months
+    if not every:
+        fact = fact.filter((F.col("year") * 12 + F.col("month")).isin([y * 12 + m for y, m in months]))
     measures = kpis.measure_form(fact)
-    kpis.monthly_totals(measures).write.mode("overwrite").parquet(f"{root}/rollup/totals")
+    files.write_months(kpis.monthly_totals(measures), f"{root}/rollup/totals", all_months=every)
     for name, keys in KPI_KEYS.items():
-        kpis.customer_pairs(measures, keys).write.mode("overwrite").parquet(f"{root}/rollup/{name}")
-    return write_kpis(spark, root, run_ts)
+        files.write_months(kpis.customer_pairs(measures, list(dict.fromkeys(("year", "month", *keys)))), f"{root}/rollup/{name}", all_months=every)
+    if not every:
+        kept = {tuple(r) for r in fact.select("year", "month").distinct().collect()}
+        for name in ("totals", *KPI_KEYS):
+            files.remove_partitions(spark, f"{root}/rollup/{name}", ("year", "month"), [m for m in months if m not in kept])
 
 
 def _fact_so_far(spark: SparkSession, path: str) -> DataFrame | None:
@@ -92,17 +129,11 @@ def _fact_so_far(spark: SparkSession, path: str) -> DataFrame | None:
         raise
 
 
-def _merged_days(new: DataFrame, before: DataFrame) -> DataFrame:
-    """All rows of the days that ``new`` touches: the new ones, and stored ones without a new version in their day."""
-    days = list(files.FACT_PARTITIONS)
-    touched = before.join(new.select(*days).distinct(), days, "left_semi")
-    return new.unionByName(touched.join(new.select(KEY, *days), [KEY, *days], "left_anti").select(*new.columns))
-
-
 def write_kpis(spark: SparkSession, root: str, run_ts: Column | None = None) -> dict[str, DataFrame]:
     """Compute the three KPIs from the rollup, write them and read them back."""
     totals = spark.read.parquet(f"{root}/rollup/totals")
-    measures = {name: kpis.rolled_measures(totals, spark.read.parquet(f"{root}/rollup/{name}")) for name in KPI_KEYS}
+    pairs = {name: spark.read.parquet(f"{root}/rollup/{name}").select(*keys, "customer_id") for name, keys in KPI_KEYS.items()}
+    measures = {name: kpis.rolled_measures(totals, pairs[name]) for name in KPI_KEYS}
     made = {
         KPI_CATEGORY: kpis.revenue_per_category(measures[KPI_CATEGORY]),
         KPI_MONTHLY: kpis.monthly_sales_growth(measures[KPI_MONTHLY]),

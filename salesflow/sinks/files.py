@@ -13,6 +13,20 @@ from salesflow.rules import TIMESTAMP_FORMAT
 FACT_PARTITIONS = ("year", "month", "day")
 
 
+def children(spark: SparkSession, path: str) -> list[str]:
+    """Names in a directory of any store Spark reaches; none if it is absent."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    store = place.getFileSystem(spark._jsc.hadoopConfiguration())
+    return [entry.getPath().getName() for entry in store.listStatus(place)] if store.exists(place) else []
+
+
+def remove_partitions(spark: SparkSession, path: str, columns: Sequence[str], values: Sequence[Sequence]) -> None:
+    """Delete directories of a partitioned dataset that have no rows any more; those already gone are left alone."""
+    for row in values:
+        place = spark._jvm.org.apache.hadoop.fs.Path("/".join([path, *(f"{c}={v}" for c, v in zip(columns, row))]))
+        place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
 def write_classified(checked: DataFrame, path: str) -> None:
     """Classified rows in one write, a directory per reason; ``reason=ok`` is the cleansed zone.
 
@@ -44,6 +58,12 @@ def write_fact(fact: DataFrame, path: str, *, replace_days_only: bool = False) -
     writer.partitionBy(*FACT_PARTITIONS).parquet(path)
 
 
+def write_months(df: DataFrame, path: str, *, all_months: bool) -> None:
+    """A rollup by year and month; unless ``all_months``, months that ``df`` lacks stay as they are."""
+    writer = df.write.mode("overwrite").option("partitionOverwriteMode", "static" if all_months else "dynamic")
+    writer.partitionBy("year", "month").parquet(path)
+
+
 def append_fact(fact: DataFrame, path: str) -> None:
     """Add rows to their days without touching what is there."""
     _by_day(fact).write.mode("append").partitionBy(*FACT_PARTITIONS).parquet(path)

@@ -183,6 +183,12 @@ def read_fact(spark: SparkSession, path: str, *, merge_schema: bool = False) ->
     return spark.read.option("mergeSchema", merge_schema).parquet(path)
 
 
+def in_months(df: DataFrame, months: DataFrame) -> DataFrame:
+    """Rows of the listed months. The months are calendar-bounded, so they become a partition filter."""
+    wanted = [row.month_no for row in months.select((F.col("year") * 12 + F.col("month")).alias("month_no")).distinct().collect()]
+    return df.filter((F.col("year") * 12 + F.col("month")).isin(wanted))
+
+
 def discover_csv_schema(spark: SparkSession, path: str) -> T.StructType:
     """Types inferred from all rows of a landing CSV, header names included."""
     return spark.read.option("header", True).option("inferSchema", True).option("escape", '"').csv(path).schema

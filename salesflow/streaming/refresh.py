@@ -1,12 +1,12 @@
 """Incremental refresh: new landing rows into the curated fact and its KPIs.
 
-Layout below ``root``: ``received/`` holds the first copy of every transaction
-with its verdict, by batch, and rows without a key; ``sales/`` is the fact;
-``rollup/`` the month totals and distinct customers by key; ``kpis/`` the KPIs.
+Layout below ``root``: ``received/`` holds every row with its verdict, by batch: the first copy of each transaction, the copies it replaces
+and rows sent again in a later batch as ``duplicate`` (equal ones of a batch folded with their number in ``copies``), and rows without a
+key; rejects keep amount and timestamp also as text. ``keys/`` is the bucketed history of transactions; ``ledger/`` the funnel counts of
+each batch, which add up; ``sales/`` is the fact; ``rollup/`` the month totals and distinct customers by key; ``kpis/`` the KPIs.
 
-A batch that runs again gives the same result. Its transactions are compared
-with those of earlier batches only, its ``received`` directory is overwritten,
-fact rows already appended by the first attempt are left out, and the touched
+A batch that runs again gives the same result. Its transactions are compared with those of earlier batches only, its ``received``,
+``keys`` and ``ledger`` directories are overwritten, fact rows already appended by the first attempt are left out, and the touched
 months of the rollup are recomputed from the fact; only customers new to a
 category or region are added to the other distinct sets.
 """
@@ -18,11 +18,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from salesflow.operators import kpis
-from salesflow.operators.cleanse import OK, PK_NULL, classify, clean_rows, stamp_audit, standardise, typed_projection
+from salesflow.operators.cleanse import (
+    DUPLICATE, FUNNEL_STEPS, OK, PK_NULL, classify, clean_rows, funnel_steps, listed_counts, replaced_copies, stamp_audit, standardise_kept, typed_projection,
+)
 from salesflow.operators.dedup import unseen_keys
 from salesflow.plans.jobs import KPI_CATEGORY, KPI_KEYS, KPI_MONTHLY, KPI_REGIONS, write_kpis
 from salesflow.rules import CLEANSED_COLUMNS, KEY, CleansingRules
+from salesflow.sinks import files
 from salesflow.sinks.files import append_fact
+from salesflow.sinks.history import History
+from salesflow.sources.landing import ARRIVAL
+from salesflow.sources.landing import in_months as _in_months
 
 
 def _stored(spark: SparkSession, path: str) -> DataFrame | None:
@@ -35,10 +41,33 @@ def _stored(spark: SparkSession, path: str) -> DataFrame | None:
         raise
 
 
-def _in_months(df: DataFrame, months: DataFrame) -> DataFrame:
-    """Rows of the listed months. The months are calendar-bounded, so they become a partition filter."""
-    wanted = [row.month_no for row in months.select((F.col("year") * 12 + F.col("month")).alias("month_no")).distinct().collect()]
-    return df.filter((F.col("year") * 12 + F.col("month")).isin(wanted))
+def key_history(spark: SparkSession, root: str, before: int) -> History:
+    """The transactions received so far. A zone that has none yet gets it from what earlier batches received."""
+    history = History(spark, f"{root}/keys", {KEY: "string"}, KEY)
+    received = _stored(spark, f"{root}/received") if history.is_new else None
+    if received is not None:
+        earlier = received.filter((F.col("batch_id") < before) & ~F.col("reason").isin(PK_NULL, DUPLICATE))
+        history.fill(earlier.select(KEY, "batch_id"))
+    return history
+
+
+def judged_batch(batch: DataFrame, history: History, batch_id: int, rules: CleansingRules = CleansingRules()) -> DataFrame:
+    """Every row of a batch with its verdict; transactions of earlier batches are duplicates."""
+    contract = batch.withColumns({f"raw_{c}": F.col(c).cast("string") for c in ("amount", "timestamp")})
+    typed = typed_projection(contract, rules)
+    checked = classify(typed, rules)
+    known = F.col("_known")
+    keyed = history.marked(checked.filter(F.col("reason") != PK_NULL), batch_id).withColumns({
+        "reason": F.when(known, DUPLICATE).otherwise(F.col("reason")), "copies": F.when(known, 1).otherwise(F.col("copies")),  # its copies are listed on their own
+    }).drop("_known")
+    copies = replaced_copies(typed, rules).withColumn("reason", F.lit(DUPLICATE))
+    return keyed.unionByName(checked.filter(F.col("reason") == PK_NULL)).unionByName(copies)
+
+
+def funnel(spark: SparkSession, root: str) -> DataFrame:
+    """The quality funnel over all batches so far."""
+    ledger = spark.read.parquet(f"{root}/ledger")
+    return funnel_steps(ledger.agg(*[F.sum(step).alias(step) for step in FUNNEL_STEPS]))
 
 
 def apply_batch(
@@ -46,20 +75,19 @@ def apply_batch(
 ) -> None:
     """Fold one batch of landing rows into the curated zone below ``root``."""
     spark = batch.sparkSession
-    received_path, fact_path, rollup_path = f"{root}/received", f"{root}/sales", f"{root}/rollup"
-    own_path = f"{received_path}/batch_id={batch_id}"
+    own_path, fact_path, rollup_path = f"{root}/received/batch_id={batch_id}", f"{root}/sales", f"{root}/rollup"
 
-    received = _stored(spark, received_path)
     replayed = _stored(spark, own_path) is not None
-    checked = standardise(classify(typed_projection(batch, rules), rules), rules)
-    if received is not None:
-        earlier = received.filter((F.col("batch_id") < batch_id) & (F.col("reason") != PK_NULL))
-        keyless = checked.filter(F.col("reason") == PK_NULL)  # no row without a key is a copy of another
-        checked = unseen_keys(checked.filter(F.col("reason") != PK_NULL), earlier, KEY).unionByName(keyless)
-    stamp_audit(checked, rules).write.mode("overwrite").partitionBy("reason").parquet(own_path)
+    history = key_history(spark, root, batch_id)
+    rows = standardise_kept(judged_batch(batch, history, batch_id, rules), rules).drop(*ARRIVAL)
+    files.write_classified(stamp_audit(rows, rules), own_path)
 
     own = _stored(spark, own_path)
-    if own is None or own.filter(F.col("reason") == OK).isEmpty():
+    if own is None:
+        return
+    history.write(own.filter(~F.col("reason").isin(PK_NULL, DUPLICATE)), batch_id)
+    files.write_small(listed_counts(own), f"{root}/ledger/batch_id={batch_id}")
+    if own.filter(F.col("reason") == OK).isEmpty():
         return
     fresh = kpis.add_date_parts(clean_rows(own).select(*CLEANSED_COLUMNS))
     touched = fresh.select("year", "month").distinct()

@@ -78,6 +78,36 @@ def test_curate_keeps_other_days_and_merges_late_rows(spark, tmp_path):
     assert landing.read_fact(spark, f"{root}/sales").count() == 1
 
 
+def test_a_moved_transaction_stands_once(spark, tmp_path):
+    root = str(tmp_path / "curated")
+    columns = "transaction_id string, customer_id string, product_category string, amount decimal(12,2), moment string, region string"
+    make = lambda *rows: spark.createDataFrame([(k, f"c{k}", "Books", Decimal(a), m, "us-east-1") for k, a, m in rows], columns).withColumn("timestamp", F.col("moment").cast("timestamp")).drop("moment")
+    rows = lambda: sorted((r.transaction_id, int(r.amount), r.year, r.month, r.day) for r in landing.read_fact(spark, f"{root}/sales").collect())
+    months = lambda: sorted((r.month_label, int(r.total_revenue)) for r in spark.read.parquet(f"{root}/kpis/monthly_sales_growth").collect())
+    jobs.curate(spark, make(("a", 1, "2024-01-01"), ("b", 2, "2024-01-02"), ("c", 3, "2024-02-01")), root)
+    jobs.curate(spark, make(("a", 5, "2024-01-02")), root)
+    assert rows() == [("a", 5, 2024, 1, 2), ("b", 2, 2024, 1, 2), ("c", 3, 2024, 2, 1)]
+    jobs.curate(spark, make(("c", 4, "2024-03-01"), ("d", 6, "2024-03-01")), root)
+    assert rows() == [("a", 5, 2024, 1, 2), ("b", 2, 2024, 1, 2), ("c", 4, 2024, 3, 1), ("d", 6, 2024, 3, 1)]
+    assert months() == [("2024-01", 7), ("2024-03", 10)]
+    jobs.curate(spark, make(("c", 4, "2024-03-01")), root)
+    assert len(rows()) == 4 and not (tmp_path / "curated/merged_days").exists()
+
+
+def test_curate_reads_only_touched_months(spark, tmp_path):
+    """The other months' files may even be unreadable."""
+    root = str(tmp_path / "curated")
+    columns = "transaction_id string, customer_id string, product_category string, amount decimal(12,2), moment string, region string"
+    make = lambda *rows: spark.createDataFrame([(k, "c", "Books", Decimal(a), m, "us-east-1") for k, a, m in rows], columns).withColumn("timestamp", F.col("moment").cast("timestamp")).drop("moment")
+    jobs.curate(spark, make(("a", 1, "2024-01-01"), ("b", 2, "2024-02-02")), root)
+    for part in (tmp_path / "curated/sales/year=2024/month=2").rglob("part-*"):
+        part.write_bytes(b"damaged on purpose")
+    for crc in (tmp_path / "curated/sales/year=2024/month=2").rglob(".*.crc"):
+        crc.write_bytes(b"")
+    made = jobs.curate(spark, make(("c", 3, "2024-01-01")), root)
+    assert sorted((r.month_label, int(r.total_revenue)) for r in made[jobs.KPI_MONTHLY].collect()) == [("2024-01", 4), ("2024-02", 2)]
+
+
 def test_kpis_are_written_once_and_agree(spark, curated):
     _, _, made = curated
     total = {n: f.agg(F.sum("transaction_count")).first()[0] for n, f in made.items()}

@@ -60,6 +60,52 @@ def test_replay_completes_a_half_written_batch(spark, tmp_path):
     assert sorted(k for k, *_ in facts(spark, root)) == ["a", "b", "c"]
 
 
+def test_ledger_and_listing_account_for_every_row(spark, tmp_path):
+    """Resends across batches are stored and counted; a replay changes nothing."""
+    root = str(tmp_path / "zone")
+    for i in (0, 1, 2, 1, 2):
+        refresh.apply_batch(sales(spark, *BATCHES[i]), i, root, RULES)
+    stored = spark.read.parquet(f"{root}/received")
+    rows = F.when(F.col("reason").isin("duplicate", "pk_null"), F.col("copies")).otherwise(1)
+    by_reason = {r.reason: r.n for r in stored.groupBy("reason").agg(F.sum(rows).alias("n")).collect()}
+    assert by_reason == {"ok": 4, "amount_invalid": 1, "duplicate": 4}
+    steps = [r.row_count for r in refresh.funnel(spark, root).orderBy("step_no").collect()]
+    assert steps == [9, 9, 5, 4, 4, 4]
+
+
+def test_rejects_keep_their_text(spark, tmp_path):
+    root = str(tmp_path / "zone")
+    refresh.apply_batch(sales(spark, ("x", "abc", "2024-01-01"), (None, "3", "2024-01-01"), (None, "3", "2024-01-01")), 0, root, RULES)
+    kept = {(r.reason, r.raw_amount) for r in spark.read.parquet(f"{root}/received").collect()}
+    assert kept == {("amount_invalid", "abc"), ("pk_null", "3")}
+    assert refresh.funnel(spark, root).orderBy("step_no").first().row_count == 3
+
+
+def test_key_history_is_not_shuffled(spark, tmp_path):
+    root = str(tmp_path / "zone")
+    refresh.apply_batch(sales(spark, *BATCHES[0]), 0, root, RULES)
+    history = refresh.key_history(spark, root, 1)
+    plan = refresh.judged_batch(sales(spark, *BATCHES[1]), history, 1, RULES)._jdf.queryExecution().executedPlan().toString()
+    lines = plan.splitlines()
+    scan = next(i for i, line in enumerate(lines) if "Bucketed: true" in line or "history_" in line and "Scan" in line)
+    depth = lambda line: len(line) - len(line.lstrip(" :|+-"))
+    above, at = [], depth(lines[scan])
+    for line in reversed(lines[:scan]):
+        if depth(line) < at:
+            above.append(line)
+            at = depth(line)
+        if "Join" in line and above and above[-1] == line:
+            break
+    assert "LeftSemi" in above[-1] and not [line for line in above if "Exchange" in line or "Sort " in line], plan
+
+
+def test_a_zone_without_history_gets_one(spark, tmp_path):
+    root = str(tmp_path / "zone")
+    checked = ops.standardise(ops.classify(ops.typed_projection(sales(spark, *BATCHES[0]), RULES), RULES))
+    ops.stamp_audit(checked).write.partitionBy("reason").parquet(f"{root}/received/batch_id=0")
+    assert sorted(r.transaction_id for r in refresh.key_history(spark, root, 1).read(1).collect()) == ["a", "b", "bad"]
+
+
 def test_only_touched_months_are_read(spark, tmp_path):
     root = str(tmp_path / "zone")
     refresh.apply_batch(sales(spark, *BATCHES[0], *BATCHES[1]), 0, root, RULES)
