@@ -38,18 +38,17 @@ MARK = "▁"
 
 def gallop(short: list[int], long: list[int]) -> list[int]:
     """For each value of ``short`` the number of smaller ones in ``long``; both ascend."""
-    at, n, out = 0, len(long), []
+    at, n = 0, len(long)
     long = [*long, float("inf")]
-    for value in short:
-        if long[at] < value:
-            at += 1
-            if long[at] < value:
-                step = 1
-                while at + step < n and long[at + step] < value:
-                    step += step
-                at = bisect_left(long, value, at + (step >> 1) + 1, min(at + step, n))
-        out.append(at)
-    return out
+
+    def further(value: int, at: int) -> int:
+        step = 1
+        while at + step < n and long[at + step] < value:
+            step += step
+        return bisect_left(long, value, at + (step >> 1) + 1, min(at + step, n))
+
+    # The search doubles its step from where the last one ended; the first two places are looked at in line.
+    return [at := at if long[at] >= value else at + 1 if long[at + 1] >= value else further(value, at + 1) for value in short]
 
 
 def common(ends_a: np.ndarray, ends_b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -110,14 +109,22 @@ class Pieces:
         self.tokens = [bytes([int(p[3:-1], 16)]) if self._library.is_byte(i) else p.replace(MARK, " ").encode() for i, p in enumerate(shown)]
         self.lengths = np.array(list(map(len, self.tokens)), np.int64)
         self.apart = not any(MARK in p.lstrip(MARK) for p in shown)
+        # Signs that no piece holds behind a letter or digit: between the two, nothing is ever joined.
+        inside = {y for p in shown for x, y in zip(p, p[1:]) if x.isascii() and x.isalnum()}
+        self.signs = [ord(c) for c in ",.;:!?)" if c not in inside] if self.apart else []
         self._space = [self._library.piece_to_id(MARK)]
+        self._lead = len(self._library.encode("a"))
 
     def encode(self, texts: list[bytes]) -> list[list[int]]:
-        return [ids or self._space for ids in self._library.encode([t[1:].decode() for t in texts], num_threads=1)]
+        """Ids of each text; one that begins with a sign is encoded behind a letter, whose ids are left out."""
+        spaced = [t.startswith(b" ") for t in texts]
+        found = self._library.encode([t[1:].decode() if own else "a" + t.decode() for t, own in zip(texts, spaced)], num_threads=1)
+        return [ids or self._space if own else ids[self._lead:] for ids, own in zip(found, spaced)]
 
 
-def words(data: bytes, starts: np.ndarray) -> np.ndarray:
-    """Where words begin: at ``starts``, and at spaces between two characters that are no blanks, where neither tokenizer joins across.
+def words(data: bytes, starts: np.ndarray, signs: list[int]) -> np.ndarray:
+    """Where words begin: at ``starts``, at spaces between two characters that are no blanks, and at ``signs`` behind an ASCII letter or
+    digit; neither tokenizer joins across these places.
 
     Characters whose first byte any other blank has count as blanks.
     """
@@ -127,7 +134,12 @@ def words(data: bytes, starts: np.ndarray) -> np.ndarray:
     blank[[0, *range(9, 14), *range(28, 33), 0xC2, 0xE1, 0xE2, 0xE3]] = True
     inner = at[at >= 3]
     inner = inner[~(blank[raw[inner + 1]] | (blank & (np.arange(256) < 128))[raw[inner - 1]] | (raw[inner - 2] == 0xC2) | ((raw[inner - 3] >= 0xE1) & (raw[inner - 3] <= 0xE3)))]
-    return np.union1d(inner, starts)
+    kind = np.zeros(256, np.uint8)
+    kind[[*range(48, 58), *range(65, 91), *range(97, 123)]] = 1
+    kind[signs] = 2
+    shown = kind[raw[:-1]]
+    sign = np.flatnonzero((shown[1:] == 2) & (shown[:-1] == 1)) + 1
+    return np.unique(np.concatenate((inner, starts, sign)))
 
 
 class Pair:
@@ -138,6 +150,7 @@ class Pair:
         # Each id in decimal, followed by what may follow it.
         self.parts = [f"{i}{sign}".encode() for n, signs in ((len(self.a.lengths), ",|"), (len(self.b.lengths), ",;")) for sign in signs for i in range(n)]
         self.known: dict[bytes, tuple[bytes, bytes] | None] = {}
+        self.older: dict[bytes, tuple[bytes, bytes] | None] = {}  # what was known before ``known`` was last full
 
     def _encoded(self, texts: list[bytes]) -> list[tuple[bytes, bytes] | None]:
         """The ids of both for each text, packed; nothing where the bytes of the tokens are not those of the text."""
@@ -154,18 +167,20 @@ class Pair:
         lead = [b" " + texts[i] for i in plain]
         data, sizes = b"".join(lead), np.array(list(map(len, lead)))
         ends = np.cumsum(sizes)
-        start = words(data, ends - sizes) if self.b.apart else ends - sizes
+        start = words(data, ends - sizes, self.b.signs) if self.b.apart else ends - sizes
         pieces = [data[a:b] for a, b in zip(start.tolist(), [*start[1:].tolist(), len(data)])]
         known = self.known
         found = [known.get(piece, known) for piece in pieces]
         if gaps := [i for i, ids in enumerate(found) if ids is known]:
-            missing = list({pieces[i] for i in gaps})
-            if len(known) + len(missing) > REMEMBERED:
-                known.clear()
-            new = dict(zip(missing, self._encoded(missing)))
+            wanted, older = {pieces[i] for i in gaps}, self.older
+            new = {piece: older[piece] for piece in wanted if piece in older}
+            missing = list(wanted - new.keys())
+            new.update(zip(missing, self._encoded(missing)))
             for i in gaps:
                 found[i] = new[pieces[i]]
-            known.update((piece, ids) for piece, ids in new.items() if len(piece) <= LONGEST_REMEMBERED)
+            if len(known) + len(new) > REMEMBERED:
+                self.older, self.known = known, {}
+            self.known.update((piece, ids) for piece, ids in new.items() if len(piece) <= LONGEST_REMEMBERED)
         bounds = np.searchsorted(start, np.concatenate(([0], ends)))
         whole = None not in found
         for i, text, low, high in zip(plain, lead, bounds[:-1].tolist(), bounds[1:].tolist()):
