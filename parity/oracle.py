@@ -337,6 +337,10 @@ def all_sql() -> dict[str, str]:
             {STAMP.format('"timestamp"')} AS transaction_ts, region, CAST(year AS SMALLINT) AS year,
             CAST(month AS SMALLINT) AS month, CAST(day AS SMALLINT) AS day, 'sales_csv_landing' AS _source_system,
             '1.0.0' AS _pipeline_version FROM clean""",
+        "warehouse_month_swap": f"""{W_CLEAN} SELECT transaction_id, product_category, region,
+            {hundredths('CASE WHEN year = 1998 AND month = 3 THEN 2 * cents ELSE cents END')} AS amount,
+            CAST(year AS SMALLINT) AS year, CAST(month AS SMALLINT) AS month, CAST(day AS SMALLINT) AS day
+            FROM clean WHERE NOT (year = 1998 AND month = 4)""",
         "warehouse_monthly": f"""{W_CLEAN}, {MONTHLY} SELECT * REPLACE (CAST(year AS SMALLINT) AS year, CAST(month AS SMALLINT) AS month)
             FROM monthly""",
         "warehouse_categories": CATEGORIES_SQL,

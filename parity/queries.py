@@ -738,6 +738,20 @@ def warehouse_fact(spark, d):
     return plain(fact).withColumn("transaction_ts", F.date_format("transaction_ts", TIMESTAMP_FORMAT))
 
 
+@register
+def warehouse_month_swap(spark, d):
+    """The fact loaded whole, then March 1998 anew with doubled amounts and April 1998 without rows; all other months stay."""
+    root = _star_curated(spark, d)
+    database = f"dw_{scratch_path(spark, 'x')[-12:]}"
+    catalog.ensure_database(spark, database, scratch_path(spark, "database"))
+    target, spec = scratch_path(spark, "month-warehouse"), warehouse.FACT_SALES
+    fact = landing.read_fact(spark, f"{root}/sales")
+    warehouse.load_table(spark, fact, spec, database, target, "1")
+    again = fact.filter("year = 1998 AND month = 3").withColumn("amount", F.col("amount") * 2)
+    warehouse.load_table(spark, again, spec, database, target, "2", months=[(1998, 3), (1998, 4)])
+    return plain(spark.table(f"{database}.fact_sales").select(KEY, "product_category", "amount", "region", "year", "month", "day"))
+
+
 @register
 def warehouse_monthly(spark, d):
     database, _ = _warehouse(spark, d)

@@ -28,6 +28,7 @@ def parser() -> argparse.ArgumentParser:
     cleanse.add_argument("--cleansed", required=True)
     cleanse.add_argument("--table", help="catalog table to register")
     cleanse.add_argument("--multi-line", action="store_true", help="values may hold quoted line breaks")
+    cleanse.add_argument("--malformed", help="write malformed lines here instead of trimming or padding them")
     curate = job.add_parser("curate", help="cleansed zone to the fact and the KPIs")
     curate.add_argument("--cleansed", required=True)
     curate.add_argument("--curated", required=True)
@@ -40,6 +41,7 @@ def parser() -> argparse.ArgumentParser:
     load.add_argument("--curated", required=True)
     load.add_argument("--database", default="sales_dw")
     load.add_argument("--warehouse", required=True)
+    load.add_argument("--months", nargs="*", help="load only these months of the fact, written 2024-05")
     return root
 
 
@@ -54,7 +56,11 @@ def main(arguments: list[str] | None = None) -> None:
     if args.job == "generate":
         files.write_csv(synthetic.generate_sales(spark, args.rows, args.seed), args.landing)
     elif args.job == "cleanse":
-        raw = landing.with_arrival(landing.read_landing_csv(spark, args.landing, multi_line=args.multi_line))
+        if args.malformed:
+            raw, malformed = landing.split_corrupt(landing.read_landing_lines(spark, args.landing))
+            malformed.write.mode("overwrite").parquet(args.malformed)
+        else:
+            raw = landing.with_arrival(landing.read_landing_csv(spark, args.landing, multi_line=args.multi_line))
         rules = CleansingRules(first_by=landing.ARRIVAL)
         checked = jobs.cleanse(spark, raw, args.cleansed, rules, run_ts=run_ts, table=args.table)
         jobs.step_drops(jobs.quality_funnel(checked)).show(truncate=False)
@@ -68,7 +74,8 @@ def main(arguments: list[str] | None = None) -> None:
         refresh.refresh_available(ingest.stream_landing_csv(spark, args.landing), args.curated, args.checkpoint)
     else:
         load_id = now.strftime("%Y%m%dT%H%M%S")
-        jobs.load(spark, args.curated, args.database, args.warehouse, load_id).show(truncate=False)
+        months = [tuple(int(part) for part in month.split("-")) for month in args.months] if args.months else None
+        jobs.load(spark, args.curated, args.database, args.warehouse, load_id, months=months).show(truncate=False)
         warehouse.create_views(spark, args.database)
 
 

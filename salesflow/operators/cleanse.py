@@ -127,10 +127,10 @@ def _ordered_copies(df: DataFrame, rules: CleansingRules) -> tuple[DataFrame, li
     return df.withColumn("_invalid", (~valid).cast("int")), ["_invalid", *rules.first_by]
 
 
-def replaced_copies(df: DataFrame, rules: CleansingRules = CleansingRules()) -> DataFrame:
-    """The rows that ``classify`` folds into a first copy, equal ones once with ``copies``."""
+def replaced_copies(df: DataFrame, rules: CleansingRules = CleansingRules(), repeated: DataFrame | None = None) -> DataFrame:
+    """The rows that ``classify`` folds into a first copy, equal ones once with ``copies``; ``repeated`` holds the keys of several rows, if known."""
     df, first_by = _ordered_copies(df, rules)
-    return dropped_copies(df, KEY, first_by).drop("_invalid")
+    return dropped_copies(df, KEY, first_by, repeated).drop("_invalid")
 
 
 def standardise_kept(checked: DataFrame, rules: CleansingRules = CleansingRules()) -> DataFrame:

@@ -35,14 +35,17 @@ def any_per_key(df: DataFrame, key: str) -> DataFrame:
     return df.dropDuplicates([key])
 
 
-def dropped_copies(df: DataFrame, key: str, first_by: Sequence[str] = ()) -> DataFrame:
+def dropped_copies(df: DataFrame, key: str, first_by: Sequence[str] = (), repeated: DataFrame | None = None) -> DataFrame:
     """The rows ``first_per_key`` leaves out, equal rows folded into one with ``copies``.
 
-    Each distinct row counts +1 per occurrence and -1 when it is the survivor.
-    Grouping by the whole row spreads the copies of a hot key and folds equal
-    ones before the shuffle.
+    Only rows of a ``repeated`` key take part; unless the caller knows those keys, a
+    count per key finds them, which reads the key alone. Each distinct row counts +1
+    per occurrence and -1 when it is the survivor. Grouping by the whole row spreads
+    the copies of a hot key and folds equal ones before the shuffle.
     """
-    keyed = df.filter(F.col(key).isNotNull())
+    if repeated is None:
+        repeated = df.groupBy(key).count().filter("count > 1")
+    keyed = df.join(repeated.select(key), key, "left_semi").select(*df.columns)
     survivors = first_per_key(keyed, key, first_by).drop("copies")
     signed = keyed.withColumn("copies", F.lit(1)).unionByName(survivors.withColumn("copies", F.lit(-1)))
     return signed.groupBy(*df.columns).agg(F.sum("copies").alias("copies")).filter("copies > 0")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
@@ -45,13 +46,21 @@ def cleanse(
     zone: rejects as they came, with amount and timestamp also as text in
     ``raw_amount`` and ``raw_timestamp``, and the copies that a first one replaces
     under ``reason=duplicate``, equal ones folded with their number in ``copies``.
+
+    The survivors are written first. They tell which keys were repeated, so only
+    rows with such keys are grouped for the copies, which are then added to the zone.
+    A run that broke off in between is made good by running it again.
     """
     contract = apply_contract(source).withColumns({f"raw_{c}": F.col(c).cast("string") for c in ("amount", "timestamp")})
     typed = typed_projection(contract, rules)
-    checked = classify(typed, rules)
-    copies = replaced_copies(typed, rules).withColumn("reason", F.lit(DUPLICATE))
-    rows = standardise_kept(checked.unionByName(copies), rules).drop(*ARRIVAL)
-    files.write_classified(stamp_audit(rows, rules, run_ts), path)
+
+    def finished(rows: DataFrame) -> DataFrame:
+        return stamp_audit(standardise_kept(rows, rules).drop(*ARRIVAL), rules, run_ts)
+
+    files.write_classified(finished(classify(typed, rules)), path)
+    repeated = spark.read.parquet(path).filter("copies > 1")
+    copies = replaced_copies(typed, rules, repeated).withColumn("reason", F.lit(DUPLICATE))
+    files.add_classified(finished(copies), path)
     if table:
         catalog.register_files(spark, table, f"{path}/reason=ok", CLEANSED_COLUMNS)
     return spark.read.parquet(path)
@@ -103,12 +112,16 @@ def _merge(spark: SparkSession, new: DataFrame, before: DataFrame, index: Histor
     return sorted({(r.year, r.month) for r in touched})
 
 
+def _month_number() -> Column:
+    return F.col("year") * 12 + F.col("month")
+
+
 def _roll_up(spark: SparkSession, root: str, months: list[tuple[int, int]] | None, *, all_months: bool = False) -> None:
     """Month totals, and by month the customers under the key of each KPI, from narrow scans of the given months of the fact (None: all)."""
     fact = read_fact(spark, f"{root}/sales")
     every = months is None or all_months
     if not every:
-        fact = fact.filter((F.col("year") * 12 + F.col("month")).isin([y * 12 + m for y, m in months]))
+        fact = fact.filter(_month_number().isin([y * 12 + m for y, m in months]))
     measures = kpis.measure_form(fact)
     files.write_months(kpis.monthly_totals(measures), f"{root}/rollup/totals", all_months=every)
     for name, keys in KPI_KEYS.items():
@@ -145,17 +158,22 @@ def write_kpis(spark: SparkSession, root: str, run_ts: Column | None = None) ->
 
 
 def load(
-    spark: SparkSession, root: str, database: str, warehouse_root: str, load_id: str, *, raise_on_failure: bool = True,
+    spark: SparkSession, root: str, database: str, warehouse_root: str, load_id: str, *,
+    months: Sequence[tuple[int, int]] | None = None, raise_on_failure: bool = True,
 ) -> DataFrame:
-    """Load the curated fact and KPIs into the warehouse tables."""
-    frames = {warehouse.FACT_SALES.name: lambda: read_fact(spark, f"{root}/sales")}
+    """Load the curated fact and KPIs into the warehouse tables; with ``months``, only these months of the fact are read and replaced."""
+    def fact() -> DataFrame:
+        rows = read_fact(spark, f"{root}/sales")
+        return rows if months is None else rows.filter(_month_number().isin([y * 12 + m for y, m in months]))
+
+    frames = {warehouse.FACT_SALES.name: fact}
     for spec, name in (
         (warehouse.KPI_CATEGORY, KPI_CATEGORY),
         (warehouse.KPI_MONTHLY, KPI_MONTHLY),
         (warehouse.KPI_REGIONS, KPI_REGIONS),
     ):
         frames[spec.name] = lambda name=name: spark.read.parquet(f"{root}/kpis/{name}")
-    return warehouse.load_all(spark, frames, database, warehouse_root, load_id, raise_on_failure=raise_on_failure)
+    return warehouse.load_all(spark, frames, database, warehouse_root, load_id, months=months, raise_on_failure=raise_on_failure)
 
 
 def console_summary(made: dict[str, DataFrame], months: int = 6) -> dict[str, DataFrame]:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def ensure_database(spark: SparkSession, database: str, location: str | None = None) -> None:
@@ -36,11 +37,17 @@ def register_files(spark: SparkSession, table: str, path: str, columns: Sequence
     spark.catalog.refreshTable(table)
 
 
-def _location(spark: SparkSession, table: str) -> str:
-    row = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").filter("col_name = 'Location'").first()
+def described(spark: SparkSession, table: str, item: str, partition: str | None = None) -> str:
+    """One item of the catalog's description of a table or of one of its partitions (``a=1, b=2``); empty if it has none."""
+    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {table}" + (f" PARTITION ({partition})" if partition else ""))
+    row = rows.filter(F.col("col_name") == item).first()
     return row["data_type"] if row else ""
 
 
+def _location(spark: SparkSession, table: str) -> str:
+    return described(spark, table, "Location")
+
+
 def _plain_path(path: str) -> str:
     """A path without the ways to write the local file scheme and a trailing slash."""
     return "/" + path.removeprefix("file:").strip("/") if path.startswith(("/", "file:")) else path.rstrip("/")

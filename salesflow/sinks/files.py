@@ -38,6 +38,11 @@ def write_classified(checked: DataFrame, path: str) -> None:
     kept.unionByName(rejects).write.mode("overwrite").partitionBy("reason").parquet(path)
 
 
+def add_classified(rejects: DataFrame, path: str) -> None:
+    """More rejects for a zone that ``write_classified`` began."""
+    rejects.hint("rebalance", F.col("reason")).write.mode("append").partitionBy("reason").parquet(path)
+
+
 def _by_day(fact: DataFrame) -> DataFrame:
     """Rows of a day together, ready to be written.
 

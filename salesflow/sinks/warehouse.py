@@ -2,37 +2,45 @@
 
 A load writes a new version of the table's files and then points the table at
 it, so readers see the old rows until the new ones are complete, and a failed
-load leaves the table as it was.
+load leaves the table as it was. The fact is partitioned by month: a load of some
+months writes these and points their partitions at the new files.
 """
 
 from __future__ import annotations
 
 import re
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from salesflow.operators.cleanse import complex_to_json
-from salesflow.sinks.catalog import ensure_database
+from salesflow.sinks.catalog import described, ensure_database
+from salesflow.sinks.files import children, cluster
 
 
 @dataclass(frozen=True)
 class TableSpec:
-    """A warehouse table: columns with SQL types, required columns, renames and sort key."""
+    """A warehouse table: columns with SQL types, required columns, renames, sort key and partitions.
+
+    ``distinguish`` names a column of many values, which splits rows that are equal in the sort key.
+    """
 
     name: str
     columns: Mapping[str, str]
     required: tuple[str, ...]
     renames: Mapping[str, str] = field(default_factory=dict)
     sort_by: tuple[str, ...] = ()
+    partition_by: tuple[str, ...] = ()
+    distinguish: tuple[str, ...] = ()
 
     def ddl(self, database: str, location: str) -> str:
         body = ", ".join(
             f"`{c}` {kind}{' NOT NULL' if c in self.required else ''}" for c, kind in self.columns.items()
         )
-        return f"CREATE TABLE IF NOT EXISTS {database}.{self.name} ({body}) USING parquet LOCATION '{location}'"
+        parts = f"PARTITIONED BY ({', '.join(self.partition_by)}) " if self.partition_by else ""
+        return f"CREATE TABLE IF NOT EXISTS {database}.{self.name} ({body}) USING parquet {parts}LOCATION '{location}'"
 
 
 # The warehouse tables, their types and their sort keys.
@@ -48,6 +56,8 @@ FACT_SALES = TableSpec(
               "year", "month", "day"),
     renames={"timestamp": "transaction_ts"},
     sort_by=("transaction_ts", "product_category"),
+    partition_by=("year", "month"),
+    distinguish=("transaction_id",),
 )
 KPI_CATEGORY = TableSpec(
     "kpi_revenue_per_category",
@@ -151,23 +161,72 @@ def create_tables(spark: SparkSession, database: str, root: str) -> None:
         spark.sql(spec.ddl(database, f"{root}/{spec.name}/empty"))
 
 
-def load_table(spark: SparkSession, df: DataFrame, spec: TableSpec, database: str, root: str, load_id: str) -> int:
+def load_table(
+    spark: SparkSession, df: DataFrame, spec: TableSpec, database: str, root: str, load_id: str,
+    months: Sequence[tuple[int, int]] | None = None,
+) -> int:
     """Replace the rows of one table, refresh its statistics and return its row count.
 
-    Rows are sorted within the partitions they arrive in. The curated fact arrives
-    by day, so file statistics on the sort key are tight without a shuffle.
+    With ``months`` (year and month), ``df`` holds the rows of these months of a partitioned table, and all others stay as they
+    are; a month without rows goes. The count comes from the statistics, which for new files read their footers only.
     """
-    version = f"{root}/{spec.name}/load={load_id}"
-    ordered = strict(df, spec)
+    version, table = f"{root}/{spec.name}/load={load_id}", f"{database}.{spec.name}"
+    rows = strict(df, spec)
+    if spec.partition_by:
+        ordered = cluster(rows, (*spec.partition_by, *spec.sort_by, *spec.distinguish))
+        ordered.write.mode("overwrite").partitionBy(*spec.partition_by).parquet(version)
+        spark.sql(spec.ddl(database, f"{root}/{spec.name}/empty"))
+        return _swap_partitions(spark, table, spec, version, months)
     if spec.sort_by:
-        ordered = ordered.sortWithinPartitions(*spec.sort_by)
-    ordered.write.mode("overwrite").parquet(version)
-    table = f"{database}.{spec.name}"
+        rows = rows.sortWithinPartitions(*spec.sort_by)
+    rows.write.mode("overwrite").parquet(version)
     spark.sql(spec.ddl(database, version))
     spark.sql(f"ALTER TABLE {table} SET LOCATION '{version}'")
     spark.catalog.refreshTable(table)
-    spark.sql(f"ANALYZE TABLE {table} COMPUTE STATISTICS")
-    return spark.table(table).count()
+    _analyse(spark, table)
+    return _row_count(described(spark, table, "Statistics"))
+
+
+def _swap_partitions(spark: SparkSession, table: str, spec: TableSpec, version: str, months: Sequence[tuple[int, int]] | None) -> int:
+    """Point the partitions at the files of ``version``; of the others, those that the load covers go. Partitions are months, so the calendar bounds the loops."""
+    def named(path: str) -> str:
+        return ", ".join(path.split("/"))
+
+    written = {f"{year}/{month}" for year in children(spark, version) if "=" in year for month in children(spark, f"{version}/{year}")}
+    present = {row[0] for row in spark.sql(f"SHOW PARTITIONS {table}").collect()}
+    covered = present if months is None else {"/".join(f"{c}={v}" for c, v in zip(spec.partition_by, m)) for m in months}
+    if months is not None and written - covered:
+        raise ValueError(f"rows outside the months to load: {sorted(written - covered)}")
+    for part in sorted(written & present):
+        spark.sql(f"ALTER TABLE {table} PARTITION ({named(part)}) SET LOCATION '{version}/{part}'")
+    if written - present:
+        added = " ".join(f"PARTITION ({named(part)}) LOCATION '{version}/{part}'" for part in sorted(written - present))
+        spark.sql(f"ALTER TABLE {table} ADD {added}")
+    gone = (covered & present) - written
+    if gone:
+        spark.sql(f"ALTER TABLE {table} DROP {', '.join(f'PARTITION ({named(part)})' for part in sorted(gone))}")
+    spark.catalog.refreshTable(table)
+    if months is None:
+        _analyse(spark, f"{table} PARTITION ({', '.join(spec.partition_by)})")
+    else:
+        for part in sorted(written):
+            _analyse(spark, f"{table} PARTITION ({named(part)})")
+    kept = (present | written) - gone
+    return sum(_row_count(described(spark, table, "Partition Statistics", named(part))) for part in kept)
+
+
+def _analyse(spark: SparkSession, what: str) -> None:
+    """Sizes first: where a size changes but the number of rows does not, one step alone would lose the number."""
+    spark.sql(f"ANALYZE TABLE {what} COMPUTE STATISTICS NOSCAN")
+    spark.sql(f"ANALYZE TABLE {what} COMPUTE STATISTICS")
+
+
+def _row_count(statistics: str) -> int:
+    """Rows by a table's or partition's statistics, such as ``1024 bytes, 12 rows``."""
+    match = re.search(r"(\d+) rows", statistics)
+    if not match:
+        raise ValueError(f"no row count in the statistics: {statistics!r}")
+    return int(match.group(1))
 
 
 class LoadError(RuntimeError):
@@ -185,15 +244,19 @@ def load_all(
     root: str,
     load_id: str,
     *,
+    months: Sequence[tuple[int, int]] | None = None,
     raise_on_failure: bool = True,
 ) -> DataFrame:
-    """Load every table from a frame or a function that opens it; a failure is recorded, the rest still load, and the failures are raised at the end."""
+    """Load every table from a frame or a function that opens it; a failure is recorded, the rest still load, and the failures are raised at the end.
+
+    ``months`` limits the load of partitioned tables to these; the others are replaced.
+    """
     ensure_database(spark, database)
     outcome = []
     for spec in TABLES:
         try:
             frame = frames[spec.name]
-            rows = load_table(spark, frame() if callable(frame) else frame, spec, database, root, load_id)
+            rows = load_table(spark, frame() if callable(frame) else frame, spec, database, root, load_id, months if spec.partition_by else None)
             outcome.append((spec.name, "SUCCESS", rows, None))
         except Exception as problem:  # any failure of one table must not stop the others
             outcome.append((spec.name, "FAILED", None, str(problem).splitlines()[0]))

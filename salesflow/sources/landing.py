@@ -60,8 +60,11 @@ def read_landing_csv(
 
 def open_quotes(spark: SparkSession, path: str) -> DataFrame:
     """Lines with an odd number of quotes: a quoted value is cut there."""
-    quotes = F.length("value") - F.length(F.replace(F.col("value"), F.lit('"'), F.lit("")))
-    return spark.read.text(path).filter(quotes % 2 == 1)
+    return spark.read.text(path).filter(_odd_quotes(F.col("value")))
+
+
+def _odd_quotes(line: Column) -> Column:
+    return (F.length(line) - F.length(F.replace(line, F.lit('"'), F.lit("")))) % 2 == 1
 
 
 def with_arrival(df: DataFrame) -> DataFrame:
@@ -79,6 +82,35 @@ def csv_header(spark: SparkSession, path: str) -> list[str]:
     return spark.read.option("header", True).option("inferSchema", False).option("escape", '"').csv(path).columns
 
 
+def parse_landing_lines(lines: DataFrame, columns: Sequence[str] = CONTRACT_COLUMNS) -> DataFrame:
+    """Lines of landing files in a ``value`` column as text columns, with the raw line of a malformed row in ``_corrupt_record``.
+
+    Malformed is a line of the wrong length, or with an odd number of quotes: a quoted value is cut at a line break there, and
+    both its ends are kept apart, so no value shifts. (A line in the middle of such a value that happens to
+    hold as many fields as a row cannot be told from one.) Header lines and blank lines go; a header with the
+    columns in another order fails the read. Works on batches and streams, a line at a time, so large files are split. Further columns stay.
+    """
+    schema = ", ".join(f"`{c}` string" for c in (*columns, CORRUPT))
+    options = {"escape": '"', "mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
+    text = lines.filter(F.trim("value") != "").select(F.rtrim(F.lit("\r"), F.col("value")).alias("_line"))
+    parsed = text.withColumn("_row", F.from_csv("_line", F.lit(schema), options))
+    values = F.array(*[F.col("_row")[c] for c in columns])
+    names = F.array(*[F.lit(c) for c in columns])
+    header = F.col("_row")[CORRUPT].isNull() & F.coalesce(F.array_sort(values) == F.array_sort(names), F.lit(False))
+    other = F.raise_error(F.concat(F.lit("a file has another header: "), F.col("_line"))).cast("boolean")
+    rows = parsed.filter(F.when(~header, True).when(values == names, False).otherwise(other))
+    broken = F.col("_row")[CORRUPT].isNotNull() | _odd_quotes(F.col("_line"))
+    kept = [F.when(~broken, F.col("_row")[c]).alias(c) for c in columns]
+    return rows.select(*kept, *others, F.when(broken, F.col("_line")).alias(CORRUPT))
+
+
+def read_landing_lines(spark: SparkSession, path: str) -> DataFrame:
+    """Landing CSV by lines, in one pass: columns as the first file's header names them, ARRIVAL, and malformed lines in ``_corrupt_record``."""
+    columns = csv_header(spark, path)
+    lines = with_arrival(spark.read.text(path))
+    return parse_landing_lines(lines, columns)
+
+
 def split_corrupt(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Well-formed rows, and the malformed rows with their raw line."""
     good = raw.filter(F.col(CORRUPT).isNull()).drop(CORRUPT)
@@ -194,6 +226,85 @@ def discover_csv_schema(spark: SparkSession, path: str) -> T.StructType:
     return spark.read.option("header", True).option("inferSchema", True).option("escape", '"').csv(path).schema
 
 
+# The types a column can have, from narrow to wide. Each is a bit; bits a value does not fit are set.
+_KINDS = ("int", "bigint", "double", "date", "timestamp", "boolean")
+_NUMBERS, _TIMES = ("int", "bigint", "double"), ("date", "timestamp")
+
+
+def _unfit_kinds(value: Column) -> Column:
+    """Bit ``i`` is set where a value does not read as type ``i``; 0 for NULL, which fits all."""
+    trimmed = F.trim(value)
+    plain_number = trimmed.rlike(r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$")
+    whole = trimmed.rlike(r"^[+-]?\d+$")
+    fits = {
+        "int": whole & trimmed.try_cast("int").isNotNull(), "bigint": whole & trimmed.try_cast("bigint").isNotNull(),
+        "double": plain_number, "date": trimmed.rlike(r"^\d{4}-\d{2}-\d{2}$") & trimmed.try_cast("date").isNotNull(),
+        "timestamp": trimmed.rlike(r"^\d{4}-\d{2}-\d{2}([ T]\d{2}:\d{2}.*)?$") & trimmed.try_cast("timestamp").isNotNull(),
+        "boolean": F.lower(trimmed).isin("true", "false"),
+    }
+    bits = F.lit(0)
+    for i, kind in enumerate(_KINDS):
+        bits = bits + F.when(F.coalesce(fits[kind], F.lit(True)), 0).otherwise(1 << i)
+    return bits
+
+
+def _narrowest(unfit: Column) -> Column:
+    """The narrowest type that all values fit; ``void`` if every type does, since there was no value."""
+    kind = F.when(unfit == 0, "void")
+    for i, name in enumerate(_KINDS):
+        kind = kind.when(unfit.bitwiseAND(1 << i) == 0, name)
+    return kind.otherwise("string")
+
+
+def file_schemas(spark: SparkSession, path: str) -> DataFrame:
+    """The columns of every CSV file below ``path`` under its own header: ``file``, ``column_name``, ``found_type``, ``unfit``.
+
+    Two passes over the text. The first finds each file's header, its first line, wherever tasks cut the file; the second tests
+    every value against every type and keeps a bit per type and column, a fixed-width sum per file. A row's fields beyond
+    its file's header are left out.
+    """
+    lines = spark.read.text(path).select(
+        "value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("row_no"))
+    first = lines.filter("block = 0").groupBy("file").agg(F.min(F.struct("row_no", "value")).alias("first"))
+    headers = first.select("file", F.col("first.row_no").alias("head_no"), _fields("first.value", _widest(first)).alias("names"))
+    width = headers.agg(F.max(F.size("names"))).first()[0] or 0
+    numbered = lines.join(headers.select("file", "head_no"), "file", "left").filter("NOT (block = 0 AND row_no = head_no) AND trim(value) <> ''")
+    values = numbered.select("file", _fields("value", width, keep_short=True).alias("v"))
+    masks = values.groupBy("file").agg(*[F.bit_or(_unfit_kinds(F.col("v")[i])).alias(f"c{i}") for i in range(width)])
+    found = headers.join(masks, "file", "left").select("file", F.posexplode("names").alias("position", "column_name"), F.array(*[F.col(f"c{i}") for i in range(width)]).alias("masks"))
+    unfit = F.coalesce(F.col("masks")[F.col("position")], F.lit(0))
+    return found.select("file", F.trim("column_name").alias("column_name"), _narrowest(unfit).alias("found_type"), unfit.alias("unfit"))
+
+
+def _widest(first: DataFrame) -> int:
+    """An upper bound of the fields in the first lines: one more than the commas of any."""
+    commas = F.length("first.value") - F.length(F.replace(F.col("first.value"), F.lit(","), F.lit("")))
+    return (first.agg(F.max(commas)).first()[0] or 0) + 1
+
+
+def _fields(line: str, width: int, keep_short: bool = False) -> Column:
+    """The fields of a CSV line, at most ``width``; without ``keep_short``, the fields after the last present one are cut off."""
+    schema = ", ".join(f"c{i} string" for i in range(width)) or "c0 string"
+    row = F.from_csv(F.col(line), F.lit(schema), {"escape": '"', "mode": "PERMISSIVE"})
+    fields = F.array(*[row[f"c{i}"] for i in range(max(width, 1))])
+    return fields if keep_short else F.filter(fields, lambda field: field.isNotNull())
+
+
+def combine_schemas(found: DataFrame) -> DataFrame:
+    """The schemas of all files as one: per column its joined type, the files that hold it, and whether their types are compatible.
+
+    Numbers widen to ``double``, dates to ``timestamp``, and a column without values takes on any type. Other differences have no
+    common type but ``string`` and are listed as not compatible, with the types met.
+    """
+    joined = found.groupBy("column_name").agg(
+        F.bit_or("unfit").alias("_all"), F.count_distinct("file").alias("files"),
+        F.array_sort(F.collect_set(F.when(F.col("found_type") != "void", F.col("found_type")))).alias("met"))  # at most seven types
+    families = [F.forall("met", lambda kind, f=family: kind.isin(*f)) for family in (_NUMBERS, _TIMES, ("boolean",), ("string",))]
+    compatible = families[0] | families[1] | families[2] | families[3]
+    return joined.select("column_name", F.when(F.size("met") == 0, "string").otherwise(_narrowest(F.col("_all"))).alias("joined_type"),
+                         "files", F.array_join("met", ",").alias("types_met"), compatible.alias("compatible"))
+
+
 def compare_with_contract(spark: SparkSession, found: T.StructType) -> DataFrame:
     """Each contract column with the discovered and the agreed type."""
     kinds = {f.name: f.dataType.simpleString() for f in found.fields}

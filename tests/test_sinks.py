@@ -235,6 +235,53 @@ def test_missing_required_value_fails_the_load(spark, curated, tmp_path):
         warehouse.load_table(spark, fact, warehouse.FACT_SALES, "default", str(tmp_path), "1")
 
 
+def _fact_rows(spark, start, count, amount):
+    """A sale every hour from the given moment on."""
+    moment = F.timestamp_seconds(F.unix_timestamp(F.lit(start).cast("timestamp")) + F.col("id") * 3600)
+    rows = spark.range(count).select(
+        F.concat(F.lit(f"{start}-"), F.col("id")).alias("transaction_id"), F.lit("c").alias("customer_id"), F.lit("Books").alias("product_category"),
+        F.lit(amount).alias("amount"), moment.alias("timestamp"), F.lit("North").alias("region"))
+    return kpis.add_date_parts(rows)
+
+
+def test_a_load_of_one_month_writes_one_month(spark, tmp_path):
+    spec = warehouse.FACT_SALES
+    first = _fact_rows(spark, "2024-01-01 00:00:00", 24 * 91, 1)  # January to March
+    assert warehouse.load_table(spark, first, spec, "default", str(tmp_path), "1") == 24 * 91
+    january = _files_of(spark, "default.fact_sales", "month = 1")
+    # As many rows as before under another size: the statistics still count them.
+    again = _fact_rows(spark, "2024-02-01 00:00:00", 24 * 29, 123456)
+    assert warehouse.load_table(spark, again, spec, "default", str(tmp_path), "2", [(2024, 2)]) == 24 * 91
+    assert files.children(spark, f"{tmp_path}/fact_sales/load=2/year=2024") == ["month=2"]
+    assert _files_of(spark, "default.fact_sales", "month = 1") == january
+    assert all("load=2" in name for name in _files_of(spark, "default.fact_sales", "month = 2"))
+    sums = {r.month: r.total for r in spark.table("default.fact_sales").groupBy("month").agg(F.sum("amount").alias("total")).collect()}
+    assert sums == {1: 24 * 31, 2: 24 * 29 * 123456, 3: 24 * 31}
+    assert warehouse.load_table(spark, again.limit(0), spec, "default", str(tmp_path), "3", [(2024, 1)]) == 24 * 60
+    with pytest.raises(ValueError, match="outside the months"):
+        warehouse.load_table(spark, again, spec, "default", str(tmp_path), "4", [(2024, 3)])
+    assert spark.table("default.fact_sales").count() == 24 * 60
+    assert warehouse.load_table(spark, again, spec, "default", str(tmp_path), "5") == 24 * 29
+    spark.sql("DROP TABLE default.fact_sales")
+
+
+def test_the_fact_is_clustered_and_pruned(spark, tmp_path):
+    rows = _fact_rows(spark, "2024-01-01 00:00:00", 24 * 60, 1).repartition(8)
+    ranged = files.cluster(warehouse.strict(rows, warehouse.FACT_SALES), ("year", "month", "transaction_ts", "transaction_id"), 6)
+    ranged.write.partitionBy("year", "month").parquet(str(tmp_path / "ranged"))
+    found = spark.read.parquet(str(tmp_path / "ranged")).groupBy(F.input_file_name().alias("file")).agg(
+        F.min("transaction_ts").alias("low"), F.max("transaction_ts").alias("high")).orderBy("low").collect()
+    assert len(found) >= 6 and all(a.high < b.low for a, b in zip(found, found[1:]))  # a span of time lies in few files
+    warehouse.load_table(spark, rows, warehouse.FACT_SALES, "default", str(tmp_path), "1")
+    february = spark.table("default.fact_sales").filter("year = 2024 AND month = 2 AND transaction_ts >= '2024-02-03'")
+    assert february.inputFiles() and all("month=2" in name for name in february.inputFiles())
+    spark.sql("DROP TABLE default.fact_sales")
+
+
+def _files_of(spark, table, where):
+    return sorted(r[0] for r in spark.table(table).filter(where).select(F.input_file_name()).distinct().collect())
+
+
 def test_conform_and_violations(spark):
     df = spark.createDataFrame(
         [("Books", "123.456", "7"), ("x" * 60, "1e30", None)], "product_category string, total_revenue string, transaction_count string")
