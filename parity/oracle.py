@@ -5,6 +5,8 @@ Money is whole cents in integers here; ``half_up`` rounds a quotient of integers
 
 from __future__ import annotations
 
+from salesflow import rules
+
 ARRIVAL = "l_shipdate, l_partkey, l_suppkey, l_extendedprice, l_quantity, l_discount, l_tax"
 
 LINES = """lines AS (
@@ -164,6 +166,26 @@ DISPLAY_MONTHS = f"""{W_CLEAN}
         FROM (SELECT year, month, {MEASURES} FROM clean GROUP BY 1, 2))"""
 
 
+STREAMS = [("customer", "customer"), ("amount-1", "amount1"), ("amount-2", "amount2"), ("moment", "moment"), ("category", "category"), ("region", "region")]
+
+
+def bits(stream: str, seed: int = 42) -> str:
+    return f"CAST('0x' || substr(md5('{seed}:{stream}:' || id), 1, 13) AS BIGINT)"
+
+
+def draw(stream: str) -> str:
+    return bits(stream).replace("|| id)", "|| o_orderkey)") + " / 4503599627370496.0"
+
+
+def picked(u: str, weights: dict[str, float]) -> str:
+    """The first value whose cumulated weight lies above the number."""
+    reached, cases = 0.0, ""
+    for value, weight in list(weights.items())[:-1]:
+        reached += weight
+        cases += f" WHEN {u} < {reached!r} THEN '{value}'"
+    return f"CASE{cases} ELSE '{list(weights)[-1]}' END"
+
+
 def all_sql() -> dict[str, str]:
     return {
         "raw_sales_map": f"""{W_RAW} SELECT transaction_id, customer_id, product_category, amount, "timestamp", region
@@ -294,6 +316,21 @@ def all_sql() -> dict[str, str]:
             UNION ALL SELECT 'product_category', 0 UNION ALL SELECT 'amount', n // 100 FROM n
             UNION ALL SELECT 'timestamp', 0 UNION ALL SELECT 'region', 0""",
         "synthetic_resends": "SELECT count(*) // 200 AS rows, count(*) // 200 AS keys, 20 AS key_length FROM orders",
+        "synthetic_values": f"""WITH drawn AS (SELECT o_orderkey AS id, {', '.join(f"{draw(name)} AS {alias}" for name, alias in STREAMS)} FROM orders)
+            SELECT id, 'TXN-332598-' || lpad(CAST(id AS VARCHAR), 9, '0') AS transaction_id,
+            'CUST-' || lpad(CAST(CAST(floor(customer * 100000) AS BIGINT) + 1 AS VARCHAR), 6, '0') AS customer_id,
+            {picked('category', dict(zip(rules.CATEGORIES, rules.CATEGORY_WEIGHTS)))} AS product_category, {picked('region', dict(zip(rules.REGIONS, rules.REGION_WEIGHTS)))} AS region,
+            least(greatest(round(exp(4.0 + 1.2 * sqrt(-2.0 * ln(1.0 - amount1)) * cos(2 * pi() * amount2)), 2), 1.0), 50000.0) AS amount,
+            strftime(TIMESTAMP '2022-01-01 00:00:00' + to_seconds(CAST(floor(moment * 94694399) AS BIGINT)), '%Y-%m-%d %H:%M:%S') AS "timestamp"
+            FROM drawn""",
+        "synthetic_gapped_nulls": f"""WITH ids AS (SELECT DISTINCT l_orderkey * 10 + l_linenumber AS id FROM lineitem), n AS (SELECT count(*) // 100 AS k FROM ids)
+            SELECT id, row_number() OVER (ORDER BY {bits('sample', 43)}, id) <= (SELECT k FROM n) AS no_amount,
+            row_number() OVER (ORDER BY {bits('sample', 44)}, id) <= (SELECT k FROM n) AS no_customer FROM ids""",
+        "synthetic_gapped_resends": f"""WITH ids AS (SELECT DISTINCT l_orderkey * 10 + l_linenumber AS id FROM lineitem), n AS (SELECT count(*) // 200 AS k FROM ids)
+            SELECT id FROM ids QUALIFY row_number() OVER (ORDER BY {bits('sample', 45)}, id) <= (SELECT k FROM n)""",
+        "schema_combination": """SELECT * FROM (VALUES ('o_orderkey', 'int', CAST(2 AS INT), 'int', true), ('total', 'double', 2, 'double,int', true),
+            ('placed', 'date', 1, 'date', true), ('flag', 'string', 2, 'boolean,int', false))
+            t(column_name, joined_type, files, types_met, compatible) WHERE (SELECT max(o_orderkey) FROM orders) < 2147483648""",
         "weighted_choice": """SELECT o_orderkey, CASE WHEN o_orderkey * 7919 % 1000 < 500 THEN 'a'
             WHEN o_orderkey * 7919 % 1000 < 800 THEN 'b' ELSE 'c' END AS choice FROM orders""",
         "cleanse_job": f"""{W_CLEAN} SELECT {CLEAN_ROWS},
@@ -370,6 +407,16 @@ def all_sql() -> dict[str, str]:
         "stream_dedup": "SELECT event_id, user_id, event_type, value FROM events",
         "stream_windowed_revenue": f"""SELECT strftime(ts, '%Y-%m-%d') AS day, event_type,
             {hundredths('sum(CAST(round(value * 100) AS BIGINT))')} AS total_revenue, count(*) AS transaction_count FROM events GROUP BY 1, 2""",
+        "stream_window_customers": """WITH e AS (SELECT strftime(ts, '%Y-%m-%d') AS day, event_type, user_id FROM events
+            UNION ALL SELECT 'all', event_type, user_id FROM events)
+            SELECT day, event_type, count(DISTINCT user_id) AS users, true AS within_five_errors FROM e GROUP BY 1, 2""",
+        "stream_malformed_rows": """WITH l AS (SELECT l_orderkey || '-' || l_linenumber || '-' || l_partkey AS k, l_linenumber = 7 AS short,
+            l_partkey % 3 AS kind, CAST(l_suppkey AS VARCHAR) AS s FROM lineitem)
+            SELECT k AS row_key, CASE kind WHEN 1 THEN 'with, comma' ELSE 'plain' END AS note, s AS supplier, CAST(NULL AS VARCHAR) AS line
+            FROM l WHERE kind <> 0 AND NOT short
+            UNION ALL SELECT NULL, NULL, NULL, k || ',' || CASE kind WHEN 1 THEN '"with, comma"' ELSE 'plain' END FROM l WHERE kind <> 0 AND short
+            UNION ALL SELECT NULL, NULL, NULL, k || ',"first' FROM l WHERE kind = 0
+            UNION ALL SELECT NULL, NULL, NULL, k || ' second"' || CASE WHEN short THEN '' ELSE ',' || s END FROM l WHERE kind = 0""",
         "stream_closed_windows": f"""SELECT strftime(ts, '%Y-%m-%d') AS day, event_type,
             {hundredths('sum(CAST(round(value * 100) AS BIGINT))')} AS total_revenue, count(*) AS transaction_count FROM events
             WHERE date_trunc('day', ts) + INTERVAL 1 DAY <= (SELECT max(ts) - INTERVAL 1 DAY FROM events) GROUP BY 1, 2""",

@@ -513,6 +513,20 @@ def schema_discovery(spark, d):
     return landing.compare_with_contract(spark, landing.discover_csv_schema(spark, path))
 
 
+@register
+def schema_combination(spark, d):
+    """Types over CSV files of different headers: the orders by priority, with totals whole or fractional and a date that one lacks."""
+    path = scratch_path(spark, "schemas")
+    orders = star.table(spark, d, "orders")
+    whole = F.col("o_totalprice").cast("bigint").cast("string")
+    urgent = orders.filter("o_orderpriority = '1-URGENT'").select("o_orderkey", whole.alias("total"), F.date_format("o_orderdate", "yyyy-MM-dd").alias("placed"), F.lit("7").alias("flag"))
+    others = orders.filter("o_orderpriority <> '1-URGENT'").select(
+        F.lit("true").alias("flag"), (F.col("o_totalprice").cast("decimal(14,2)") + F.lit(0.25).cast("decimal(14,2)")).cast("string").alias("total"), F.col("o_orderkey"))
+    for part in (urgent, others):
+        part.coalesce(1).write.mode("append").option("header", True).csv(path)
+    return landing.combine_schemas(landing.file_schemas(spark, path)).withColumn("files", F.col("files").cast("int"))
+
+
 @register
 def synthetic_funnel(spark, d):
     """Synthetic sales for the order keys, through the funnel."""
@@ -539,6 +553,33 @@ def synthetic_resends(spark, d):
                      F.min(F.length(KEY)).alias("key_length"))
 
 
+def _line_ids(spark: SparkSession, d: str) -> DataFrame:
+    """The ids of lines, which have gaps."""
+    return star.table(spark, d, "lineitem").select((F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("id")).distinct()
+
+
+@register
+def synthetic_values(spark, d):
+    """Sales rows for every order, value by value, from random numbers that SQL can repeat."""
+    ids = star.table(spark, d, "orders").select(F.col("o_orderkey").alias("id"))
+    rows = synthetic.sales_rows(ids, SEED, "serial", draw=synthetic.counter_uniform)
+    return plain(rows.withColumn("timestamp", F.date_format("timestamp", TIMESTAMP_FORMAT)))
+
+
+@register
+def synthetic_gapped_nulls(spark, d):
+    """NULLs in exact shares of rows whose ids have gaps."""
+    rows = _line_ids(spark, d).withColumns({"amount": F.lit(1), "customer_id": F.lit("c")})
+    marked = synthetic.inject_nulls(rows, None, SEED)
+    return marked.select("id", F.col("amount").isNull().alias("no_amount"), F.col("customer_id").isNull().alias("no_customer"))
+
+
+@register
+def synthetic_gapped_resends(spark, d):
+    """The lines sent again, an exact share of ids with gaps."""
+    return synthetic.resends(_line_ids(spark, d), None, SEED)
+
+
 @register
 def weighted_choice(spark, d):
     """A weighted pick per order from a number every SQL engine can compute."""
@@ -882,6 +923,43 @@ def stream_windowed_revenue(spark, d):
         F.date_format("window.start", "yyyy-MM-dd").alias("day"), "event_type", "total_revenue", "transaction_count"))
 
 
+@register
+def stream_window_customers(spark, d):
+    """Users per day and kind from streamed sketches, and per kind by uniting these; estimates are held against exact counts."""
+    root = scratch_path(spark, "stream-customers")
+    timed = _table_stream(spark, d, "events").withColumn("ts", F.col("ts").cast("timestamp"))
+    sketches = ingest.windowed_customers(timed, "ts", "user_id", ["event_type"])
+    ingest.replace_with_totals(ingest.closing_windows(sketches), f"{root}/out", f"{root}/checkpoint")
+    day = F.date_format("window_start", "yyyy-MM-dd").alias("day")
+    stored = spark.read.parquet(f"{root}/out").select(day, "event_type", "customers")
+    estimates = ingest.merged_customers(stored, ["day", "event_type"]).unionByName(
+        ingest.merged_customers(stored, ["event_type"]).withColumn("day", F.lit("all")))
+    events = star.table(spark, d, "events").select(F.date_format("ts", "yyyy-MM-dd").alias("day"), "event_type", "user_id")
+    exact = events.unionByName(events.withColumn("day", F.lit("all"))).groupBy("day", "event_type").agg(F.count_distinct("user_id").alias("users"))
+    error = F.abs(F.col("unique_customers") - F.col("users"))
+    return exact.join(estimates, ["day", "event_type"], "left").select(
+        "day", "event_type", "users", (error <= F.greatest(F.lit(1.0), F.col("users") * 0.065)).alias("within_five_errors"))
+
+
+@register
+def stream_malformed_rows(spark, d):
+    """Landing CSV in two batches, a third of whose notes hold a quoted line break and some rows a field too few: kept rows, and the lines set apart."""
+    root = scratch_path(spark, "malformed")
+    line = star.table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
+    key = F.concat_ws("-", F.col("l_orderkey"), F.col("l_linenumber"), F.col("l_partkey"))
+    broken = F.concat(F.lit('"first\n'), key, F.lit(' second"'))
+    note = F.when(F.col("l_partkey") % 3 == 0, broken).when(F.col("l_partkey") % 3 == 1, '"with, comma"').otherwise("plain")
+    row = F.when(F.col("l_linenumber") == 7, F.concat_ws(",", key, note)).otherwise(F.concat_ws(",", key, note, F.col("l_suppkey").cast("string")))
+    columns = ["row_key", "note", "supplier"]
+    for part in (line.filter("l_linenumber <= 3"), line.filter("l_linenumber > 3")):
+        part.select(row.alias("value")).write.mode("append").text(f"{root}/landing")
+        stream = ingest.stream_landing_lines(spark, f"{root}/landing", columns)
+        ingest.append_with_rejects(stream, f"{root}/out", f"{root}/rejects", f"{root}/checkpoint")
+    kept = spark.read.parquet(f"{root}/out").select(*columns, F.lit(None).cast("string").alias("line"))
+    lost = spark.read.parquet(f"{root}/rejects").select(*[F.lit(None).cast("string").alias(c) for c in columns], F.col(landing.CORRUPT).alias("line"))
+    return kept.unionByName(lost)
+
+
 @register
 def stream_closed_windows(spark, d):
     """Append mode: a day appears once the watermark, a day behind the latest event, has passed its end."""

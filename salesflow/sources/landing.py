@@ -92,7 +92,8 @@ def parse_landing_lines(lines: DataFrame, columns: Sequence[str] = CONTRACT_COLU
     """
     schema = ", ".join(f"`{c}` string" for c in (*columns, CORRUPT))
     options = {"escape": '"', "mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
-    text = lines.filter(F.trim("value") != "").select(F.rtrim(F.lit("\r"), F.col("value")).alias("_line"))
+    others = [c for c in lines.columns if c != "value"]
+    text = lines.filter(F.trim("value") != "").select(F.regexp_replace("value", r"\r$", "").alias("_line"), *others)
     parsed = text.withColumn("_row", F.from_csv("_line", F.lit(schema), options))
     values = F.array(*[F.col("_row")[c] for c in columns])
     names = F.array(*[F.lit(c) for c in columns])
@@ -232,7 +233,7 @@ _NUMBERS, _TIMES = ("int", "bigint", "double"), ("date", "timestamp")
 
 
 def _unfit_kinds(value: Column) -> Column:
-    """Bit ``i`` is set where a value does not read as type ``i``; 0 for NULL, which fits all."""
+    """Bit ``i`` is set where a value does not read as type ``i``; 0 for NULL and blanks, which fit all."""
     trimmed = F.trim(value)
     plain_number = trimmed.rlike(r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$")
     whole = trimmed.rlike(r"^[+-]?\d+$")
@@ -244,8 +245,8 @@ def _unfit_kinds(value: Column) -> Column:
     }
     bits = F.lit(0)
     for i, kind in enumerate(_KINDS):
-        bits = bits + F.when(F.coalesce(fits[kind], F.lit(True)), 0).otherwise(1 << i)
-    return bits
+        bits = bits + F.when(fits[kind], 0).otherwise(1 << i)
+    return F.when(value.isNull() | (trimmed == ""), 0).otherwise(bits)
 
 
 def _narrowest(unfit: Column) -> Column:
@@ -273,7 +274,7 @@ def file_schemas(spark: SparkSession, path: str) -> DataFrame:
     masks = values.groupBy("file").agg(*[F.bit_or(_unfit_kinds(F.col("v")[i])).alias(f"c{i}") for i in range(width)])
     found = headers.join(masks, "file", "left").select("file", F.posexplode("names").alias("position", "column_name"), F.array(*[F.col(f"c{i}") for i in range(width)]).alias("masks"))
     unfit = F.coalesce(F.col("masks")[F.col("position")], F.lit(0))
-    return found.select("file", F.trim("column_name").alias("column_name"), _narrowest(unfit).alias("found_type"), unfit.alias("unfit"))
+    return found.select("file", F.coalesce(F.trim("column_name"), F.concat(F.lit("_c"), "position")).alias("column_name"), _narrowest(unfit).alias("found_type"), unfit.alias("unfit"))
 
 
 def _widest(first: DataFrame) -> int:
@@ -287,7 +288,12 @@ def _fields(line: str, width: int, keep_short: bool = False) -> Column:
     schema = ", ".join(f"c{i} string" for i in range(width)) or "c0 string"
     row = F.from_csv(F.col(line), F.lit(schema), {"escape": '"', "mode": "PERMISSIVE"})
     fields = F.array(*[row[f"c{i}"] for i in range(max(width, 1))])
-    return fields if keep_short else F.filter(fields, lambda field: field.isNotNull())
+    last = F.array_max(F.transform(fields, lambda field, i: F.when(field.isNotNull(), i + 1).otherwise(0)))
+    return fields if keep_short else F.slice(fields, 1, last)
+
+
+def _all_of(met: str, family: Sequence[str]) -> Column:
+    return F.forall(met, lambda kind: kind.isin(*family))
 
 
 def combine_schemas(found: DataFrame) -> DataFrame:
@@ -299,8 +305,7 @@ def combine_schemas(found: DataFrame) -> DataFrame:
     joined = found.groupBy("column_name").agg(
         F.bit_or("unfit").alias("_all"), F.count_distinct("file").alias("files"),
         F.array_sort(F.collect_set(F.when(F.col("found_type") != "void", F.col("found_type")))).alias("met"))  # at most seven types
-    families = [F.forall("met", lambda kind, f=family: kind.isin(*f)) for family in (_NUMBERS, _TIMES, ("boolean",), ("string",))]
-    compatible = families[0] | families[1] | families[2] | families[3]
+    compatible = _all_of("met", _NUMBERS) | _all_of("met", _TIMES) | (F.size("met") <= 1)
     return joined.select("column_name", F.when(F.size("met") == 0, "string").otherwise(_narrowest(F.col("_all"))).alias("joined_type"),
                          "files", F.array_join("met", ",").alias("types_met"), compatible.alias("compatible"))
 

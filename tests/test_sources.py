@@ -169,3 +169,34 @@ def test_exact_sample_step_fits_a_long_at_scale(spark):
 def test_serial_style(spark):
     row = synthetic.sales_rows(spark.range(1), style="serial", customers=500_000).first()
     assert row.transaction_id.startswith("TXN-") and len(row.transaction_id) == 20 and row.customer_id.startswith("CUST-")
+
+
+def test_malformed_lines_are_kept_apart(spark, tmp_path):
+    (tmp_path / "a.csv").write_text('a,b,c\n1,"x, ""y""",3\n2,short\n"4\n4",y,z\n5,y,"z\nz"\n\n6,,7\r\n')
+    rows = landing.read_landing_lines(spark, str(tmp_path / "a.csv")).drop(*landing.ARRIVAL)
+    good, bad = landing.split_corrupt(rows)
+    assert sorted(map(tuple, good.collect())) == [("1", 'x, "y"', "3"), ("6", None, "7")]
+    assert sorted(r[0] for r in bad.select(landing.CORRUPT).collect()) == ['"4', '2,short', '4",y,z', '5,y,"z', 'z"']
+    assert all(r.a is None and r.b is None and r.c is None for r in bad.collect())
+    (tmp_path / "b.csv").write_text("b,a,c\n1,2,3\n")
+    with pytest.raises(Exception, match="another header"):
+        landing.parse_landing_lines(spark.read.text(str(tmp_path)), ["a", "b", "c"]).collect()
+
+
+def test_schemas_of_files_are_combined(spark, tmp_path):
+    (tmp_path / "a.csv").write_text('n,when,who,only\n1,2024-01-01,x,\n3000000000,2024-01-02,"y,z",\n')
+    (tmp_path / "b.csv").write_text("who,n,when\n7,0.5,2024-01-03 10:00:00\n8,1e3,\n")
+    (tmp_path / "c.csv").write_text("n,empty\n")
+    found = {r.column_name: tuple(r)[1:] for r in landing.combine_schemas(landing.file_schemas(spark, str(tmp_path))).collect()}
+    assert found == {
+        "n": ("double", 3, "bigint,double", True), "when": ("timestamp", 2, "date,timestamp", True),
+        "who": ("string", 2, "int,string", False), "only": ("string", 1, "", True), "empty": ("string", 1, "", True)}
+
+
+def test_exact_sample_of_ids_with_gaps(spark):
+    ids = spark.range(5000).select((F.col("id") * F.col("id") * 7 + 3).alias("id"))
+    hashed = sorted((r.h, r.id) for r in ids.select("id", synthetic.counter_bits(F.col("id"), 5, "sample").alias("h")).collect())
+    for size in (0, 1, 37, 2500, 5000, 6000):
+        got = {r.id for r in ids.filter(synthetic.smallest_hashes(ids, size, 5)).collect()}
+        assert got == {i for _, i in hashed[:size]}
+    assert ids.limit(0).filter(synthetic.smallest_hashes(ids.limit(0), 3, 5)).count() == 0

@@ -183,3 +183,23 @@ def test_null_keys_are_no_copies(spark, tmp_path):
     stream = ingest.stream_parquet(spark, str(tmp_path / "in"), spark.read.parquet(str(tmp_path / "in")).schema)
     ingest.append_available(ingest.dedup_stream(stream, ["id"], "ts", "1 day"), str(tmp_path / "out"), str(tmp_path / "checkpoint"))
     assert sorted(str(r.id) for r in spark.read.parquet(str(tmp_path / "out")).collect()) == ["None", "None", "a"]
+
+
+def test_sketches_of_batches_merge_to_that_of_all(spark):
+    rows = spark.range(20000).select(F.timestamp_seconds(F.col("id") * 10).alias("at"), (F.col("id") % 7000).alias("who"), F.lit("k").alias("kind"))
+    def sketched(part):
+        return ingest.windowed_customers(part, "at", "who", ["kind"])
+    apart = sketched(rows.filter("id < 9000")).unionByName(sketched(rows.filter("id >= 9000")))
+    merged = ingest.merged_customers(apart, ["kind"]).first().unique_customers
+    assert merged == ingest.merged_customers(sketched(rows), ["kind"]).first().unique_customers
+    assert abs(merged - 7000) < 7000 * 0.065
+
+
+def test_malformed_lines_of_a_stream_land_in_rejects(spark, tmp_path):
+    root, columns = str(tmp_path), ["transaction_id", "amount"]
+    (tmp_path / "in").mkdir()
+    for part, text in (("a", 'transaction_id,amount\nt1,5\n"t2\nx",7\n'), ("b", "transaction_id,amount\nt3\nt4,9\n")):
+        (tmp_path / "in" / f"{part}.csv").write_text(text)
+        ingest.append_with_rejects(ingest.stream_landing_lines(spark, f"{root}/in", columns), f"{root}/out", f"{root}/bad", f"{root}/at")
+    assert sorted((r.transaction_id, r.amount) for r in spark.read.parquet(f"{root}/out").collect()) == [("t1", 5.0), ("t4", 9.0)]
+    assert sorted(r[0] for r in spark.read.parquet(f"{root}/bad").select("_corrupt_record").collect()) == ['"t2', "t3", 'x",7']
