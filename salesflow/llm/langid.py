@@ -9,8 +9,9 @@ The model is fitted on at most ``SAMPLE`` labelled texts, those with the least h
 slices. A vocabulary file is read on the driver only; its letter pieces travel with the tasks.
 
 Edge cases: null texts and texts without a letter are ``und`` with score 0; so are all texts if nothing could be learned; a letter outside
-the vocabulary has one small probability in every language; a run of more than ``RUN`` letters is scored in pieces of RUN letters; ties
-go to the language first by code point; other columns are ignored.
+the vocabulary has one small probability in every language; runs of letters of any length are scored whole, their forward values scaled so
+that none underflows; in fitting, a run of more than ``RUN`` letters counts in pieces of RUN letters; ties go to the language first by code
+point; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -33,6 +34,7 @@ SAMPLE, STEPS = 6_000, 3
 RUN, UNKNOWN = 48, 1e-7
 POOLED, UNIFORM = 0.04, 0.01
 CACHE_WORDS, SLICE_CHARS = 400_000, 1 << 20
+GROUP_LETTERS, SCALE_EVERY = 1 << 18, 8
 UNDETERMINED = "und"
 _MARK = "▁"
 _LETTERS = re.compile(r"[^\W\d_]+")
@@ -112,14 +114,48 @@ def log_likelihoods(pieces: Pieces, model: np.ndarray, words: list[str]) -> np.n
     """Log probability of each marked word in each language, all segmentations summed; ``model`` has a zero row for no piece."""
     out = np.zeros((len(words), model.shape[1]))
     for places, group in _by_length(words):
-        lattice, n = _lattice(pieces, group), len(group[0])
-        forward = [np.ones((len(group), model.shape[1]))]
-        for j in range(1, n + 1):
-            forward.append(sum(forward[i] * _chances(model, lattice[i, j], j - i == 1) for i in range(max(0, j - pieces.longest), j)))
-        out[places] = np.log(np.maximum(forward[n], 1e-300))
+        out[places] = _forward_logs(pieces, model, _codes(group))
     return out
 
 
+def _forward_logs(pieces: Pieces, model: np.ndarray, codes: np.ndarray) -> np.ndarray:
+    """The forward algorithm over words of equal length (words, letters), a stretch of letters at a time.
+
+    ``forward`` holds the values at the last ``longest`` places and those of the stretch. Every SCALE_EVERY letters the
+    values still needed are divided by the latest and its logarithm is kept, so words of any length neither underflow nor
+    fill the memory. A letter lowers a value by UNKNOWN at most, so the values of a reach stay far from the least number.
+    """
+    count, n = codes.shape
+    reach, logs = pieces.longest, np.zeros((count, model.shape[1]))
+    stretch = max(1, GROUP_LETTERS // count)
+    power = np.multiply.accumulate(np.concatenate((np.ones(1, np.uint64), np.full(reach, _BASE))))
+    tail = np.zeros((reach, count, model.shape[1]))
+    tail[-1] = 1.0
+    for start in range(0, n, stretch):
+        first, end = max(0, start + 1 - reach), min(n, start + stretch)
+        prefix = np.zeros((end - first + 1, count), np.uint64)
+        for k in range(first, end):
+            prefix[k - first + 1] = prefix[k - first] * _BASE + codes[:, k]
+        # ids[j, reach - k]: the piece of k letters that ends after letter start + j.
+        ids = np.full((end - start, reach, count), pieces.none, np.int32)
+        for k in range(1, min(reach, end) + 1):
+            low = max(start + 1, k)
+            if low <= end:
+                hashes = prefix[low - first:] - prefix[low - k - first:end - k - first + 1] * power[k]
+                ids[low - start - 1:, reach - k] = pieces.ids(hashes.ravel()).reshape(hashes.shape)
+        forward = np.concatenate((tail, np.zeros((end - start, count, model.shape[1]))))
+        for j in range(end - start):
+            chances = model[ids[j]]
+            chances[-1][ids[j, -1] == pieces.none] = UNKNOWN
+            forward[reach + j] = np.einsum("kwl,kwl->wl", chances, forward[j:reach + j])
+            if (start + j + 1) % SCALE_EVERY == 0:
+                scale = np.maximum(forward[reach + j], 1e-300)
+                logs += np.log(scale)
+                forward[j + 1:reach + j + 1] /= scale
+        tail = forward[-reach:]
+    return logs + np.log(np.maximum(tail[-1], 1e-300))
+
+
 def expected_counts(pieces: Pieces, model: np.ndarray, words: list[str], counts: np.ndarray) -> np.ndarray:
     """Expected uses of each piece by language, for words with counts (words, languages)."""
     total = np.zeros_like(model)
@@ -140,9 +176,13 @@ def expected_counts(pieces: Pieces, model: np.ndarray, words: list[str], counts:
     return total
 
 
-def _marked(text: str) -> list[str]:
-    """The words of a text, marked; long runs of letters cut at RUN."""
-    found = _LETTERS.findall(text.lower())
+def _words(text: str) -> list[str]:
+    return _LETTERS.findall(text.lower())
+
+
+def _words_to_fit(text: str) -> list[str]:
+    """The words of a text, long runs of letters cut at RUN."""
+    found = _words(text)
     if any(len(w) > RUN for w in found):
         found = [w[at:at + RUN] for w in found for at in range(0, len(w), RUN)]
     return found
@@ -199,7 +239,7 @@ class Model:
 
             for row, text in enumerate(batch["text"].to_pylist()):
                 for part in _pieces_of(text or ""):
-                    found = _marked(part)
+                    found = _words(part)
                     letters[row] |= any(c.isalpha() for w in found for c in w)
                     words += found
                     owner.append((row, len(found)))
@@ -222,7 +262,7 @@ def _word_counts(sample: DataFrame) -> DataFrame:
             found: dict[str, Counter] = {}
             for text, lang in zip(batch["text"].to_pylist(), batch["lang"].to_pylist()):
                 for part in _pieces_of(text):
-                    found.setdefault(lang, Counter()).update(_marked(part))
+                    found.setdefault(lang, Counter()).update(_words_to_fit(part))
             for lang, words in found.items():
                 yield pa.RecordBatch.from_pydict({"lang": [lang] * len(words), "word": list(words), "n": list(words.values())}, schema=_COUNTS)
 

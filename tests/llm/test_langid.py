@@ -28,6 +28,27 @@ def test_forward_sums_all_segmentations():
             assert row[k] == pytest.approx(np.log(brute(w, dict(zip(PIECES, model[:, k])))))
 
 
+def plain_log(word, chance):
+    """The forward algorithm in logarithms, letter by letter."""
+    values = [0.0]
+    for j in range(1, len(word) + 1):
+        terms = [values[i] + np.log(chance.get(word[i:j], ops.UNKNOWN if j - i == 1 else 0.0)) for i in range(max(0, j - 3), j) if chance.get(word[i:j]) or j - i == 1]
+        values.append(np.logaddexp.reduce(terms))
+    return values[-1]
+
+
+def test_long_words_keep_their_evidence(monkeypatch):
+    model = np.vstack((np.random.default_rng(3).random((len(PIECES), 2)) / 1000, np.zeros((1, 2))))
+    words = [ops._MARK + w for w in ("z" * 44 + "aaa", "z" * 30 + "aaa", "z" * 4000 + "ab", "abcz" * 300, "ba" * 5)]
+    for letters in (ops.GROUP_LETTERS, 7):
+        monkeypatch.setattr(ops, "GROUP_LETTERS", letters)
+        found = ops.log_likelihoods(ops.Pieces(PIECES), model, words)
+        for w, row in zip(words, found):
+            for k in range(2):
+                assert row[k] == pytest.approx(plain_log(w, dict(zip(PIECES, model[:, k]))), rel=1e-9)
+        assert found[0, 0] - found[0, 1] == pytest.approx(found[1, 0] - found[1, 1])
+
+
 def test_expected_counts_by_differentiation():
     model = np.vstack((np.random.default_rng(2).random((len(PIECES), 2)), np.zeros((1, 2))))
     words, counts = [ops._MARK + "abab", ops._MARK + "bac"], np.array([[2.0, 1.0], [3.0, 0.0]])
