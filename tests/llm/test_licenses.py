@@ -58,3 +58,29 @@ def test_phrase_over_block_border(monkeypatch):
     scanner = ops.Scanner(ops.TEMPLATES, ops.BASE)
     n, places, matches = scanner.scan(b"a bb General Public   License, released under the MIT License")
     assert (n, places) == (10, [(2, "gpl"), (8, "mit")]) and (5, 10) in [m[:2] for m in matches]
+
+
+NOTICES = {
+    "Licensed under CC BY-SA 4.0": ["cc-by-sa"], "Licensed under CC BY-NC-SA 4.0": ["cc-by-nc-sa"], "Licensed under CC BY 4.0": ["cc-by"], "Licensed under CC BY-XX 4.0": [],
+    "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.": ["cc-by-sa"],
+    "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as published by the Free Software Foundation": ["agpl"],
+    "this project is licensed under the terms of our own proprietary agreement": [],
+    "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that": ["isc"],
+    "without any express or implied warranty. Permission is granted to anyone to use this software for any purpose, including commercial applications, and to alter it and redistribute it freely": ["zlib"],
+    "We provide the software as is, without warranty of any kind, express or implied, including but not limited to the warranties of merchantability": [],
+}
+
+
+@pytest.mark.parametrize("text", NOTICES)
+def test_deciding_words(text):
+    found = ops.default_scanner().report(text.encode())
+    phrases = [label for label, phrase in ops.BASE.items() if phrase in text.lower()]
+    assert found[5] == sorted({*NOTICES[text], *phrases}) and (found[6] > 0) == bool(NOTICES[text])
+
+
+def test_every_template_names_its_label():
+    scanner = ops.default_scanner()
+    for label, texts in ops.TEMPLATES.items():
+        for text in texts:
+            n, _, _, _, base, labels, score, _ = scanner.report(text.encode())
+            assert label in labels and set(labels) <= {label, *base} and score == 1.0
