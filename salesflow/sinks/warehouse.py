@@ -49,8 +49,8 @@ FACT_SALES = TableSpec(
     {
         "transaction_id": "varchar(36)", "customer_id": "varchar(20)", "product_category": "varchar(50)",
         "amount": "decimal(12,2)", "transaction_ts": "timestamp", "region": "varchar(20)",
-        "year": "smallint", "month": "smallint", "day": "smallint",
-        "_ingestion_ts": "timestamp", "_source_system": "varchar(60)", "_pipeline_version": "varchar(10)",
+        "day": "smallint", "_ingestion_ts": "timestamp", "_source_system": "varchar(60)", "_pipeline_version": "varchar(10)",
+        "year": "smallint", "month": "smallint",  # Spark keeps the partition columns last
     },
     required=("transaction_id", "customer_id", "product_category", "amount", "transaction_ts", "region",
               "year", "month", "day"),
