@@ -2,14 +2,15 @@
 
 DataFrame functions and Spark's FP-growth only. A list rule fits its host and all subdomains if the path starts with the rule's; the
 longest rule wins. Pages without a fitting rule get the verdict of the mined rules: FP-growth finds frequent combinations of URL tokens and
-the label token among labelled URLs; combinations that imply ``block`` with at least ``CONFIDENCE`` and ``LIFT`` over the base rate are
+the label token among labelled URLs. Tokens that stand in exactly the same URLs are folded into the least of them first, as otherwise every
+subset of them would be mined; this loses nothing, since a rule holds alike for each token of such a class. Combinations that imply ``block`` with at least ``CONFIDENCE`` and ``LIFT`` over the base rate are
 kept, and one that is implied by a smaller rule of no less confidence is pruned. Kept rules are indexed by their rarest token. URLs are reduced
 to the tokens that occur in rules, equal reduced sets are matched once, and a set takes the rule of highest confidence. Without a
 matching rule a page is allowed.
 
 Tokens: labels of the host with their kind, the public suffix last; path segments with digits as ``#``; the file extension; query names.
 
-Edge cases: a null url or one without ``://`` has empty host and path, no list rule and no token, and is allowed; labels that are null,
+Edge cases: very long urls and many tokens are read whole, and tokens too rare for any rule are left out before URLs are mined; a null url or one without ``://`` has empty host and path, no list rule and no token, and is allowed; labels that are null,
 or of no page, train nothing; without block labels nothing is mined; repeated rows get equal results; other columns are ignored.
 """
 
@@ -59,17 +60,43 @@ def tokens_of(url: Column) -> Column:
     return F.when(host == "", F.array().cast("array<string>")).otherwise(F.array_sort(F.array_distinct(tokens)))
 
 
+def folded(rows: DataFrame, least: float) -> DataFrame:
+    """token, one: tokens in at least ``least`` of the ``items`` rows (``of`` them alike), and the least token that stands in exactly the same rows.
+
+    Sums of two hashes of the rows' token sets propose the classes. A class of which some row holds a part only, as equal sums by chance
+    would make, is not folded. There are at most as many tokens as stand in a row on average, over the share asked for.
+    """
+    sets = stored(rows.groupBy("tokens").agg(F.count(F.lit(1)).alias("of")).withColumn("set_key", F.sha2(F.array_join("tokens", "\n"), 256)), "sets")
+    each = sets.select("set_key", "of", F.explode("tokens").alias("token"))
+    added = lambda c: F.sum(c.cast("decimal(20,0)"))
+    marks = each.groupBy("token").agg(F.sum("of").alias("n"), added(F.xxhash64("set_key")).alias("h"), added(F.xxhash64(F.lit(1), "set_key")).alias("g"))
+    marks = stored(marks.where(F.col("n") >= least), "frequent")
+    classes = marks.groupBy("n", "h", "g").agg(F.min("token").alias("one"), F.count(F.lit(1)).alias("members"))
+    proposed = stored(marks.join(classes, ["n", "h", "g"]).select("token", "one", "members"), "proposed")
+    several = proposed.where("members > 1")
+    torn = each.join(several, "token").groupBy("set_key", "one").agg(F.count(F.lit(1)).alias("here"), F.first("members").alias("members"))
+    torn = torn.where("here < members").select("one").distinct().withColumn("torn", F.lit(True))
+    return stored(proposed.join(torn, "one", "left").select("token", F.when(F.col("torn"), F.col("token")).otherwise(F.col("one")).alias("one")), "folded")
+
+
 def mined_rules(labelled: DataFrame, support: float = SUPPORT, confidence: float = CONFIDENCE, lift: float = LIFT) -> DataFrame:
-    """antecedent (sorted tokens), confidence, support, anchor (rarest token) from (url, blocked) rows."""
+    """antecedent (sorted tokens, each for its class), members (of each antecedent token the tokens of its class), confidence, support,
+    anchor (rarest token) from (url, blocked) rows."""
     rows = labelled.where(F.col("blocked").isNotNull()).select(tokens_of(F.col("url")).alias("tokens"), "blocked").where(F.size("tokens") > 0)
-    rows = stored(rows.select(F.when(F.col("blocked"), F.array_append("tokens", F.lit(BLOCK_TOKEN))).otherwise(F.col("tokens")).alias("items")), "labelled")
-    shape = "antecedent array<string>, confidence double, support double, anchor string"
-    if rows.where(F.array_contains("items", BLOCK_TOKEN)).isEmpty():
+    rows = stored(rows, "tokens")
+    shape = "antecedent array<string>, members array<array<string>>, confidence double, support double, anchor string"
+    if rows.where("blocked").isEmpty():
         return rows.sparkSession.createDataFrame([], shape)
+    total = rows.count()
+    base = rows.where("blocked").count() / total
+    classes = folded(rows, support * total)
+    # Each different set of tokens is reduced once.
+    different = rows.select("tokens").distinct()
+    reduced = different.select("tokens", F.explode("tokens").alias("token")).join(classes, "token").groupBy("tokens").agg(F.collect_set("one").alias("ones"))
+    items = F.coalesce("ones", F.array().cast("array<string>"))
+    rows = stored(rows.join(reduced, "tokens", "left").select(F.when(F.col("blocked"), F.array_append(items, F.lit(BLOCK_TOKEN))).otherwise(items).alias("items")), "labelled")
     model = FPGrowth(itemsCol="items", minSupport=support, minConfidence=confidence).fit(rows)
     sets = stored(model.freqItemsets.select(F.array_sort("items").alias("items"), "freq"), "itemsets")
-    total = rows.count()
-    base = rows.where(F.array_contains("items", BLOCK_TOKEN)).count() / total
     with_label = sets.where(F.array_contains("items", BLOCK_TOKEN) & (F.size("items") > 1)).select(F.array_remove("items", BLOCK_TOKEN).alias("antecedent"), F.col("freq").alias("both"))
     plain = sets.where(~F.array_contains("items", BLOCK_TOKEN)).select(F.col("items").alias("antecedent"), "freq")
     rules = with_label.join(plain, "antecedent").select("antecedent", (F.col("both") / F.col("freq")).alias("confidence"), (F.col("both") / F.lit(float(total))).alias("support"))
@@ -80,21 +107,24 @@ def mined_rules(labelled: DataFrame, support: float = SUPPORT, confidence: float
     idle = shorter.join(parts, "part").where("surer >= confidence").select("antecedent").distinct()
     kept = strong.join(idle, "antecedent", "left_anti")
     single = plain.where(F.size("antecedent") == 1).select(F.col("antecedent")[0].alias("token"), "freq")
-    anchored = kept.select("*", F.explode("antecedent").alias("token")).join(single, "token").groupBy("antecedent").agg(
-        F.first("confidence").alias("confidence"), F.first("support").alias("support"), F.min(F.struct("freq", "token"))["token"].alias("anchor"))
-    return stored(anchored.select("antecedent", "confidence", "support", "anchor"), "rules")
+    alike = classes.groupBy(F.col("one").alias("token")).agg(F.array_sort(F.collect_list("token")).alias("alike"))
+    anchored = kept.select("*", F.explode("antecedent").alias("token")).join(single, "token").join(alike, "token").groupBy("antecedent").agg(
+        F.first("confidence").alias("confidence"), F.first("support").alias("support"), F.min(F.struct("freq", "token"))["token"].alias("anchor"),
+        F.array_sort(F.collect_list(F.struct("token", "alike")))["alike"].alias("members"))
+    return stored(anchored.select("antecedent", "members", "confidence", "support", "anchor"), "rules")
 
 
 def judged(pages: DataFrame, labelled: DataFrame, rules: list[tuple[str, str, str]] = RULES) -> DataFrame:
     """A row per page: page_id, host, path, rule (of the list, else null), verdict, confidence (of the mined rule that blocked it)."""
     mined = mined_rules(labelled)
-    known = stored(mined.select(F.explode("antecedent").alias("token")).distinct(), "tokens")
+    pairs = mined.select(F.explode(F.arrays_zip("antecedent", "members")).alias("x"))
+    known = stored(pairs.select(F.col("x.antecedent").alias("one"), F.explode("x.members").alias("token")).distinct(), "tokens")
     url = F.col("url")
     base = pages.select(F.col("page_id").cast("long").alias("page_id"), host_of(url).alias("host"), path_of(url).alias("path"), tokens_of(url).alias("tokens"))
     faced = base.withColumn("listed", listed_rule(F.col("host"), F.col("path"), rules))
-    # Different token sets among pages without a listed rule; each keeps the tokens that rules know, and is matched through the index.
+    # Different token sets among pages without a listed rule; each keeps the tokens that rules know, under the name of their class, and is matched through the index.
     sets = stored(faced.where("listed IS NULL").select("tokens").distinct().withColumn("set_key", F.sha2(F.array_join("tokens", "\n"), 256)), "token_sets")
-    useful = sets.select("set_key", F.explode("tokens").alias("token")).join(known, "token").groupBy("set_key").agg(F.collect_set("token").alias("has"))
+    useful = sets.select("set_key", F.explode("tokens").alias("token")).join(known, "token").groupBy("set_key").agg(F.collect_set("one").alias("has"))
     found = useful.select("set_key", "has", F.explode("has").alias("anchor")).join(mined, "anchor").where(F.size(F.array_except("antecedent", "has")) == 0)
     best = stored(found.groupBy("set_key").agg(F.max("confidence").alias("confidence")), "matched")
     keyed = faced.withColumn("set_key", F.sha2(F.array_join("tokens", "\n"), 256)).drop("tokens")

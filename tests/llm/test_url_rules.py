@@ -1,5 +1,7 @@
 import re
 
+from pyspark.sql import functions as F
+
 from salesflow.llm import url_rules as ops
 
 
@@ -53,3 +55,47 @@ def test_mined_rules_match_as_brute_force(spark):
 def test_empty_pages(spark):
     none = spark.createDataFrame([], "page_id long, url string")
     assert ops.judged(none, spark.createDataFrame([("http://a.net/x", None)], "url string, blocked boolean")).collect() == []
+
+
+def shared_names(n, names):
+    """Urls of which some share query names; the shared ones are mostly blocked."""
+    tail = "?" + "&".join(f"n{k:02d}=1" for k in range(names))
+    return [(f"http://h{i % 7}.net/p{tail if i % 10 == 0 else ''}", i % 10 == 0 and i % 50 != 0 or i % 7 == 3) for i in range(n)]
+
+
+def test_folding_gives_the_rules_of_all_subsets(spark):
+    """All subsets of frequent tokens as rules, pruned by one token less, against the folded rules with each class's tokens put in."""
+    from itertools import combinations, product
+
+    labelled = spark.createDataFrame(shared_names(280, 3), "url string, blocked boolean")
+    sets = [(frozenset(r["t"]), r["blocked"]) for r in labelled.select(ops.tokens_of(labelled["url"]).alias("t"), "blocked").collect()]
+    base = sum(b for _, b in sets) / len(sets)
+    counts = {}
+    for t, b in sets:
+        for k in range(1, len(t) + 1):
+            for x in combinations(sorted(t), k):
+                n, hit = counts.get(x, (0, 0))
+                counts[x] = n + 1, hit + b
+    sure = {x: hit / n for x, (n, hit) in counts.items() if hit >= ops.SUPPORT * len(sets) and hit / n >= max(ops.CONFIDENCE, ops.LIFT * base)}
+    kept = {(x, round(c, 9)) for x, c in sure.items() if not any(sure.get(tuple(y for y in x if y != z), -1) >= c for z in x)}
+    found = ops.mined_rules(labelled).collect()
+    expanded = {(tuple(sorted(choice)), round(r["confidence"], 9)) for r in found for choice in product(*r["members"])}
+    assert kept and expanded == kept and all(a in m for r in found for a, m in zip(r["antecedent"], r["members"]))
+
+
+def test_many_names_that_stand_together(spark):
+    """40 shared names have 2 ** 40 subsets; any one of them still names its pages."""
+    rows = shared_names(600, 40)
+    labelled = spark.createDataFrame(rows, "url string, blocked boolean")
+    assert ops.mined_rules(labelled).count() < 20
+    pages = spark.createDataFrame([(1, "http://new.org/x?n17=5"), (2, "http://new.org/x?m17=5"), (3, rows[10][0]), (4, "http://new.net/" + "a/" * 50_000 + "?n39")], "page_id long, url string")
+    out = {r["page_id"]: r["verdict"] for r in ops.judged(pages, labelled).collect()}
+    assert out[2] == "allow" and out[3] == "block" and out[4] == "block"
+
+
+def test_tokens_that_part_in_one_row_are_not_folded(spark):
+    rows = [("http://a.net/x?p=1&q=1", True)] * 10 + [("http://a.net/x?p=1", True), ("http://b.net/y", False)] * 3
+    tokens = spark.createDataFrame(rows, "url string, blocked boolean").select(ops.tokens_of(F.col("url")).alias("tokens"))
+    classes = {r["token"]: r["one"] for r in ops.folded(tokens, 1).collect()}
+    assert classes == {"host=a": "domain=a.net", "domain=a.net": "domain=a.net", "path=x": "domain=a.net", "query=p": "domain=a.net", "query=q": "query=q",
+                       "host=net": "host=net", "host=b": "domain=b.net", "domain=b.net": "domain=b.net", "path=y": "domain=b.net"}
