@@ -356,12 +356,38 @@ def all_sql() -> dict[str, str]:
             "FROM attributed)", """FROM (SELECT * REPLACE (CASE WHEN "timestamp" >= DATE '1997-01-01' AND "timestamp" < DATE '1997-04-01'
             THEN "timestamp" + INTERVAL 365 DAY ELSE "timestamp" END AS "timestamp") FROM attributed))""", 1),
         "console_summary_categories": f"{W_CLEAN}, {CATEGORY} SELECT product_category, total_revenue, revenue_pct FROM category",
+        "console_summary_months": f"""{W_CLEAN}, {MONTHLY} SELECT month_label, total_revenue, mom_growth_pct FROM monthly
+            ORDER BY year DESC, month DESC LIMIT 6""",
+        "console_summary_regions": f"{W_CLEAN}, {REGIONS} SELECT rank, region, transaction_count, volume_share_pct FROM regions WHERE rank <= 5",
         "csv_export": f"{W_CLEAN}, {MONTHLY} SELECT month_label, total_revenue, prev_month_revenue, mom_growth_pct FROM monthly",
         "report_bundle": f"""{W_CLEAN}, {REGIONS} SELECT 'summary' AS section, CAST(NULL AS VARCHAR) AS region,
             CAST(NULL AS BIGINT) AS transaction_count, CAST(NULL AS DOUBLE) AS revenue_share_pct, count(*) AS total_records,
             {hundredths('sum(cents)')} AS total_revenue FROM clean
             UNION ALL SELECT 'top_regions_by_volume', region, transaction_count, revenue_share_pct, NULL, total_revenue
             FROM regions WHERE rank <= 5""",
+        "report_sections": f"""{W_CLEAN}, {REGIONS}
+            SELECT 'stats' AS section, 'dropped,retained_pct,row_count,step,step_no' AS fields, CAST(6 AS BIGINT) AS row_count
+            UNION ALL SELECT 'summary', 'avg_transaction,total_records,total_revenue,unique_customers', 1
+            UNION ALL SELECT 'revenue_per_category',
+              '_computed_at,avg_transaction_value,max_amount,min_amount,product_category,revenue_pct,total_revenue,transaction_count,unique_customers',
+              count(DISTINCT product_category) FROM clean
+            UNION ALL SELECT 'monthly_sales_growth',
+              '_computed_at,avg_transaction_value,mom_growth_pct,month,month_label,prev_month_revenue,total_revenue,transaction_count,unique_customers,year',
+              count(DISTINCT (year, month)) FROM clean
+            UNION ALL SELECT 'top_regions_by_volume',
+              '_computed_at,avg_revenue_per_txn,rank,region,revenue_share_pct,total_revenue,transaction_count,unique_customers,volume_share_pct',
+              count(*) FROM regions WHERE rank <= 5
+            UNION ALL SELECT 'raw_preview', 'amount,customer_id,product_category,region,timestamp,transaction_id', least(count(*), 100) FROM clean""",
+        "report_stats": f"""{W_JUDGED}, {FUNNEL} SELECT step_no, step, row_count,
+            greatest(lag(row_count, 1, row_count) OVER (ORDER BY step_no) - row_count, 0) AS dropped,
+            CAST({half_up('row_count', '(first(row_count) OVER (ORDER BY step_no))', 3)} AS DOUBLE) / 10 AS retained_pct FROM funnel""",
+        "report_summary": f"""{W_CLEAN} SELECT count(*) AS total_records, {hundredths('sum(cents)')} AS total_revenue,
+            {average('CAST(sum(cents) AS HUGEINT)', 'count(*)')} AS avg_transaction, count(DISTINCT customer_id) AS unique_customers FROM clean""",
+        "report_categories": CATEGORIES_SQL,
+        "report_months": MONTHS_SQL,
+        "report_regions": REGIONS_SQL,
+        "report_preview": f"""{W_CLEAN} SELECT transaction_id, customer_id, product_category, {hundredths('cents')} AS amount,
+            {STAMP.format('"timestamp"')} AS "timestamp", region FROM clean ORDER BY clean."timestamp", transaction_id LIMIT 100""",
         "warehouse_load_status": f"""{W_CLEAN}, {REGIONS} SELECT 'fact_sales' AS table_name, 'SUCCESS' AS status, count(*) AS row_count FROM clean
             UNION ALL SELECT 'kpi_revenue_per_category', 'SUCCESS', count(DISTINCT product_category) FROM clean
             UNION ALL SELECT 'kpi_monthly_sales_growth', 'SUCCESS', count(DISTINCT (year, month)) FROM clean

@@ -707,12 +707,25 @@ def curate_moved_months(spark, d):
     return plain(made[jobs.KPI_MONTHLY].drop("_computed_at"))
 
 
-@register
-def console_summary_categories(spark, d):
+def _console(spark: SparkSession, d: str, name: str) -> DataFrame:
     root = _star_curated(spark, d)
     names = (jobs.KPI_CATEGORY, jobs.KPI_MONTHLY, jobs.KPI_REGIONS)
-    stored = {name: spark.read.parquet(f"{root}/kpis/{name}") for name in names}
-    return plain(jobs.console_summary(stored)[jobs.KPI_CATEGORY])
+    return plain(jobs.console_summary({n: spark.read.parquet(f"{root}/kpis/{n}") for n in names})[name])
+
+
+@register
+def console_summary_categories(spark, d):
+    return _console(spark, d, jobs.KPI_CATEGORY)
+
+
+@register
+def console_summary_months(spark, d):
+    return _console(spark, d, jobs.KPI_MONTHLY)
+
+
+@register
+def console_summary_regions(spark, d):
+    return _console(spark, d, jobs.KPI_REGIONS)
 
 
 @register
@@ -724,18 +737,69 @@ def csv_export(spark, d):
         F.col(c).cast("double").alias(c) for c in ("total_revenue", "prev_month_revenue", "mom_growth_pct")])
 
 
+def _report(spark: SparkSession, d: str) -> DataFrame:
+    """A whole run from landing rows, its report written as JSON and read back: section, value."""
+    def build() -> DataFrame:
+        root = scratch_path(spark, "run")
+        report = jobs.run(spark, _star_landing(spark, d), root, RULES, jobs.run_timestamp("2024-06-01 00:00:00"))
+        report.write(f"{root}/report")
+        return spark.read.text(f"{root}/report")
+
+    return _once(spark, d, "report", build)
+
+
+def _section(spark: SparkSession, d: str, name: str, fields: str) -> DataFrame:
+    return _report(spark, d).filter(F.col("section") == name).select(F.from_json("value", fields).alias("b")).select("b.*")
+
+
 @register
 def report_bundle(spark, d):
-    """A whole run from landing rows, its report written as JSON and read back."""
-    root = scratch_path(spark, "run")
-    report = jobs.run(spark, _star_landing(spark, d), root, RULES, jobs.run_timestamp("2024-06-01 00:00:00"))
-    report.write(f"{root}/report")
-    lines = spark.read.text(f"{root}/report")
     body = F.from_json("value", "region string, transaction_count bigint, revenue_share_pct double, total_records bigint, total_revenue double")
-    wanted = lines.filter(F.col("section").isin("summary", "top_regions_by_volume"))
+    wanted = _report(spark, d).filter(F.col("section").isin("summary", "top_regions_by_volume"))
     return wanted.select("section", body.alias("b")).select("section", "b.*")
 
 
+@register
+def report_sections(spark, d):
+    """Every section of the report with its rows and the names of its fields."""
+    names = F.array_join(F.array_sort(F.json_object_keys("value")), ",")
+    return _report(spark, d).groupBy("section", names.alias("fields")).agg(F.count(F.lit(1)).alias("row_count"))
+
+
+@register
+def report_stats(spark, d):
+    return _section(spark, d, "stats", "step_no int, step string, row_count bigint, dropped bigint, retained_pct double")
+
+
+@register
+def report_summary(spark, d):
+    return _section(spark, d, "summary", "total_records bigint, total_revenue double, avg_transaction double, unique_customers bigint")
+
+
+@register
+def report_categories(spark, d):
+    fields = "product_category string, total_revenue double, transaction_count bigint, avg_transaction_value double, min_amount double, max_amount double, unique_customers bigint, revenue_pct double"
+    return _section(spark, d, jobs.KPI_CATEGORY, fields)
+
+
+@register
+def report_months(spark, d):
+    fields = "year int, month int, total_revenue double, transaction_count bigint, unique_customers bigint, avg_transaction_value double, month_label string, prev_month_revenue double, mom_growth_pct double"
+    return _section(spark, d, jobs.KPI_MONTHLY, fields)
+
+
+@register
+def report_regions(spark, d):
+    fields = "region string, transaction_count bigint, total_revenue double, avg_revenue_per_txn double, unique_customers bigint, volume_share_pct double, revenue_share_pct double, rank int"
+    return _section(spark, d, jobs.KPI_REGIONS, fields)
+
+
+@register
+def report_preview(spark, d):
+    """The first hundred rows of the fact, which is what the report shows."""
+    return _section(spark, d, "raw_preview", "transaction_id string, customer_id string, product_category string, amount double, timestamp string, region string")
+
+
 def _warehouse(spark: SparkSession, d: str) -> tuple[str, DataFrame]:
     def build() -> tuple[str, DataFrame]:
         root = _star_curated(spark, d)

@@ -54,5 +54,8 @@ def _plain_path(path: str) -> str:
 
 
 def list_tables(spark: SparkSession, database: str) -> DataFrame:
-    """Tables and views of a database by name."""
-    return spark.sql(f"SHOW TABLES IN {database}").filter("NOT isTemporary").select("tableName", "namespace").orderBy("tableName")
+    """Tables and views of a database by name, with their owner: the database's where the catalog keeps none for tables."""
+    found = spark.sql(f"DESCRIBE DATABASE EXTENDED {database}").filter("info_name = 'Owner'").first()
+    owner = F.nullif(F.regexp_extract("information", r"(?m)^Owner: (.*)$", 1), F.lit(""))
+    listed = spark.sql(f"SHOW TABLE EXTENDED IN {database} LIKE '*'").filter("NOT isTemporary")
+    return listed.select("tableName", "namespace", F.coalesce(owner, F.lit(found["info_value"] if found else None)).alias("owner")).orderBy("tableName")

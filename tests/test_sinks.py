@@ -200,7 +200,7 @@ def test_catalog_table_gains_new_columns(spark, tmp_path):
     spark.range(3).withColumn("extra", F.lit("x")).write.mode("overwrite").parquet(path)
     catalog.register_files(spark, "cat_test.t", path)
     assert spark.table("cat_test.t").filter("extra = 'x'").count() == 3
-    assert [r.tableName for r in catalog.list_tables(spark, "cat_test").collect()] == ["t"]
+    assert [(r.tableName, r.owner) for r in catalog.list_tables(spark, "cat_test").collect()] == [("t", spark.sparkContext.sparkUser())]
 
 
 def test_load_by_name_and_views(spark, curated, tmp_path):
