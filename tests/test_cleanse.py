@@ -154,3 +154,37 @@ def test_audit_columns_share_the_run_timestamp(raw):
     df = ops.stamp_audit(raw(row("a"), row("b")), run_ts=stamp)
     assert {(str(r._ingestion_ts), r._source_system, r._pipeline_version) for r in df.collect()} == {
         ("2024-06-01 00:00:00", "sales_csv_landing", "1.0.0")}
+
+
+@pytest.mark.parametrize("frequent", [(), ("hot",), ("hot", "k1", "absent")])
+def test_listed_copies_match_brute_force(spark, frequent):
+    """First copies and replaced ones in one listing, whichever way a key's rows take."""
+    rows = [("hot" if i % 3 == 0 else f"k{i % 50}", (i * 37) % 11 if i % 7 else None, (i * 13) % 5 if i % 4 else None) for i in range(3000)]
+    df = spark.createDataFrame(rows, "k string, a int, b int").repartition(16)
+    rank = lambda r: (r[1] is not None, r[1] or 0, r[2] is None, r[2] or 0)
+    expected, left = Counter(), Counter(rows)
+    for k, n in Counter(r[0] for r in rows).items():
+        first = min((r for r in rows if r[0] == k), key=rank)
+        expected[(*first, n, False)] += 1
+        left[first] -= 1
+    expected.update((*r, n, True) for r, n in left.items() if n)
+    assert Counter(map(tuple, dedup.listed_copies(df, "k", ("a",), frequent).select("k", "a", "b", "copies", "replaced").collect())) == expected
+
+
+def test_listing_moves_rows_once(spark):
+    """Once before, the wide rows moved for the first copies and twice more for the replaced ones."""
+    df = spark.range(1000).selectExpr("CAST(id % 300 AS string) AS transaction_id", "CAST(id AS double) AS amount", "current_timestamp() AS timestamp")
+    plan = ops.judged_copies(df)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange ") == 1 and "SortAggregate" not in plan
+
+
+def test_frequent_keys_are_found(spark):
+    df = spark.range(400_000).selectExpr("CASE WHEN id % 2 = 0 THEN 'hot' WHEN id % 9 > 0 THEN CAST(id AS string) END AS k", "id AS v")
+    assert dedup.frequent_keys(df, "k") == ["hot"] and dedup.frequent_keys(df.limit(1000), "k") == []
+
+
+def test_raw_text_comes_back(spark):
+    df = spark.sql("SELECT * FROM VALUES ('a', 0.0D), ('b', -0.0D), ('c', 1.5D), ('d', double('NaN')), ('e', NULL) AS t(transaction_id, amount)").withColumn("timestamp", F.lit(TS).cast("timestamp"))
+    got = ops.restored_text(ops.with_raw_text(df)).collect()
+    assert {r.transaction_id: r.raw_amount for r in got} == {"a": "0.0", "b": "-0.0", "c": "1.5", "d": "NaN", "e": None}
+    assert {r.raw_timestamp for r in got} == {TS}
