@@ -188,3 +188,24 @@ def test_raw_text_comes_back(spark):
     got = ops.restored_text(ops.with_raw_text(df)).collect()
     assert {r.transaction_id: r.raw_amount for r in got} == {"a": "0.0", "b": "-0.0", "c": "1.5", "d": "NaN", "e": None}
     assert {r.raw_timestamp for r in got} == {TS}
+
+
+def test_copies_lie_where_the_join_left_them(spark, monkeypatch):
+    monkeypatch.setattr(dedup, "TASK_ROWS", 10)
+    df = spark.createDataFrame([(f"{i % 97}-{i % 3}", i % 97, i) for i in range(900)], "k string, part int, b int")
+    side = spark.createDataFrame([(i, f"s{i}") for i in range(97)], "part int, name string").hint("merge")
+    placed = dedup.spread(df, 900, "part").join(side, "part", "left")
+    listed = dedup.listed_copies(placed, "k", ("b",), near=("part",))
+    plan = listed._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning(") == 2 and "hashpartitioning(part#" in plan and ", 90), REPARTITION_BY_NUM" in plan
+    columns = ["k", "part", "b", "name", "copies", "replaced"]
+    expected = dedup.listed_copies(df.join(side, "part", "left"), "k", ("b",)).select(*columns).collect()
+    assert Counter(listed.select(*columns).collect()) == Counter(expected)
+
+
+def test_partitions_follow_the_rows(spark, monkeypatch):
+    monkeypatch.setattr(dedup, "TASK_ROWS", 10)
+    df = spark.createDataFrame([(f"k{i}", i) for i in range(900)], "k string, b int")
+    assert dedup.listed_copies(df, "k", ("b",), rows=900).rdd.getNumPartitions() == 90
+    keys, rows = dedup.sampled_keys(spark.range(400_000).selectExpr("if(id % 3 = 0, 'hot', string(id)) k"), "k")
+    assert keys == ["hot"] and 300_000 < rows < 500_000
